@@ -24,6 +24,14 @@ CHANNELS = {
     "seviri_ir12_": 10,
     "seviri_ir134_": 11,
 }
+# Bands that are also offered standardised per tile.
+TILE_SCORES = {
+    "zscore-seviri_vis06": 1,
+    "zscore-seviri_nir16": 3,
+    "zscore-seviri_ir39": 4,
+    "zscore-seviri_ir108": 9,
+    "zscore-seviri_ir12": 10,
+}
 # Label codes and the scales and missing codes of the static layers.
 LABEL_NODATA, LABEL_FIRE_ABOVE, LABEL_STRICT_MAX = 32767, 7, 9
 CHANNEL_SCALE, HRV_SCALE, ZERO_DENOMINATOR = 1000.0, 255.0, 0.001
@@ -84,7 +92,10 @@ def time_feature(label_file: Column) -> Column:
 
 
 def feature_builders(band: str = "b") -> dict[str, Column]:
-    """All per-pixel features in model order, over columns b1..b11, hrv, label_file and the static layers."""
+    """All per-pixel features in model order, over columns b1..b11, hrv, label_file and the static layers.
+
+    The per-tile scores are read from columns of their own name, which ``tile_zscore`` makes.
+    """
     def b(i: int) -> Column:
         return F.col(f"{band}{i}")
 
@@ -93,6 +104,7 @@ def feature_builders(band: str = "b") -> dict[str, Column]:
     built["seviri_ir39/seviri_nir16"] = band_ratio(b(4), b(3))
     built["seviri_ir108/seviri_ir39"] = band_ratio(b(9), b(4))
     built["seviri_ir39-seviri_ir108"] = band_difference(b(4), b(9))
+    built.update({name: F.col(f"`{name}`") for name in TILE_SCORES})
     built["time"] = time_feature(F.col("label_file"))
     for layer in ("elevation", "slope", "aspect", "tpi", "fuel", "cover", "height"):
         built[layer] = static_feature(layer, F.col(layer))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.grid import Grid, cell_of, in_box
 from gridloom.functions.physics import haversine_m
-from gridloom.session import clean, lookup_join
+from gridloom.session import clean, is_small, lookup_join, settle
 
 CELL = ["row", "col"]
 
@@ -83,6 +83,25 @@ def hourly_bracket_interp(
     return joined.withColumn(out, mixed).drop(hour, "v0", "v1")
 
 
+def interp_fields(fields: DataFrame, times: DataFrame, by: Sequence[str], ts: str = "ts", hour: str = "hour") -> DataFrame:
+    """Hourly fields (variable, hour, row, col, value) at one time per group of ``by``.
+
+    Each time is turned into two weighted hours (by whole minutes), so only those hours of the fields
+    are read on, and the two terms are added by one aggregation. Where an hour is absent the value is NULL.
+    """
+    minute = F.minute(F.col(ts)).cast("double")
+    start = F.date_trunc("hour", F.col(ts)).cast(fields.schema[hour].dataType)
+    terms = F.array(
+        F.struct(start.alias("h"), ((F.lit(60.0) - minute) / F.lit(60.0)).alias("w")),
+        F.struct((start + F.expr("interval 1 hour")).alias("h"), (minute / F.lit(60.0)).alias("w")),
+    )
+    wanted = settle(times.select(*by, F.explode(terms).alias("t")).select(*by, F.col("t.h").alias("_h"), F.col("t.w").alias("_w")))
+    side = F.broadcast(wanted) if is_small(wanted) else wanted
+    joined = fields.join(side, F.col(hour) == F.col("_h"))
+    mixed = F.when(F.count(clean("value")) == 2, F.sum(clean("value") * F.col("_w")))
+    return joined.groupBy(*by, "variable", "row", "col").agg(mixed.alias("value"))
+
+
 def bbox_index_window(
     points: DataFrame, box: tuple[float, float, float, float], by: Sequence[str] = (), lon: str = "lon", lat: str = "lat",
     row: str = "row", col: str = "col",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,18 +35,25 @@ def apply_standardize(df: DataFrame, fitted: DataFrame, columns: Sequence[str])
     return with_params(df, wide).withColumns(standardize_columns(columns)).drop("_fit")
 
 
-def tile_zscore(pixels: DataFrame, tile: Sequence[str], value: str = "value", out: str = "zscore") -> DataFrame:
-    """Per tile (x - mean) / max(std, 1/sqrt(n)), population deviation.
+def tile_zscore(pixels: DataFrame, tile: Sequence[str], columns: Mapping[str, str]) -> DataFrame:
+    """Per tile (x - mean) / max(std, 1/sqrt(n)), population deviation; ``columns`` maps output to input.
 
-    The statistics are a partial-then-final aggregation joined back, so a very large tile is not
-    gathered in one task as it would be by a window.
+    The statistics of all columns are one partial-then-final aggregation joined back, so a very large
+    tile is not gathered in one task as it would be by a window.
     """
-    x = clean(_c(value))
-    stats = pixels.groupBy(*tile).agg(F.avg(x).alias("_mean"), F.stddev_pop(x).alias("_std"), F.count(x).alias("_n"))
-    joined = lookup_join(pixels, stats, list(tile))
-    floor = F.lit(1.0) / F.sqrt(F.col("_n").cast("double"))
-    z = (x - F.col("_mean")) / F.greatest(F.col("_std"), floor)
-    return joined.withColumn(out, F.when(F.col("_n") > 0, z)).drop("_mean", "_std", "_n")
+    stats = []
+    for i, c in enumerate(columns.values()):
+        x = clean(_c(c))
+        stats += [F.avg(x).alias(f"_mean{i}"), F.stddev_pop(x).alias(f"_std{i}"), F.count(x).alias(f"_n{i}")]
+    joined = lookup_join(pixels, pixels.groupBy(*tile).agg(*stats), list(tile))
+    scores = {}
+    for i, (out, c) in enumerate(columns.items()):
+        n = F.col(f"_n{i}")
+        floor = F.lit(1.0) / F.sqrt(n.cast("double"))
+        z = (clean(_c(c)) - F.col(f"_mean{i}")) / F.greatest(F.col(f"_std{i}"), floor)
+        scores[out] = F.when(n > 0, z)
+    made = [f"_{name}{i}" for i in range(len(columns)) for name in ("mean", "std", "n")]
+    return joined.withColumns(scores).drop(*made)
 
 
 # Acklam's rational approximation of the inverse normal distribution.

@@ -87,3 +87,8 @@ def clean(c: Column | str) -> Column:
     """NaN means missing: turn it into NULL before any comparison (Spark orders NaN above all numbers)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.when(~F.isnan(c), c)
+
+
+def with_row_key(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """A unique number per row for tables that have no key, settled so that it stays the same."""
+    return settle(df.withColumn(name, F.monotonically_increasing_id()))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +23,23 @@ def pixel_scan(df: DataFrame, array: str, width: int, keys: list[str], value: st
     )
 
 
-def grid_rows(df: DataFrame, grid: Grid, value: Column, nodata: float = NODATA) -> DataFrame:
-    """Rows of an output grid: date, row, col, upper-left lon and lat, and a float value or nodata."""
+def grid_rows(df: DataFrame, grid: Grid, value: Column, nodata: float = NODATA, keys: Sequence[str] = ("date",)) -> DataFrame:
+    """Rows of an output grid: keys, row, col, upper-left lon and lat, and a float value or nodata.
+
+    A cell without a row is nodata as well.
+    """
     lon, lat = pixel_coords(grid, F.col("row"), F.col("col"))
     return df.select(
-        "date", "row", "col", lon.alias("lon"), lat.alias("lat"),
+        *keys, "row", "col", lon.alias("lon"), lat.alias("lat"),
         F.coalesce(clean(value), F.lit(nodata)).cast("float").alias("value"),
     )
 
 
-def grid_sink(df: DataFrame, grid: Grid, value: Column, path: str, nodata: float = NODATA) -> None:
+def grid_sink(
+    df: DataFrame, grid: Grid, value: Column, path: str, nodata: float = NODATA, keys: Sequence[str] = ("date",)
+) -> None:
     """Write the grid partitioned by date. Tasks write what they hold, so one huge date is not one task."""
-    rows = grid_rows(df, grid, value, nodata)
+    rows = grid_rows(df, grid, value, nodata, keys)
     rows.write.partitionBy("date").option("maxRecordsPerFile", 50_000_000).parquet(path)
 
 

@@ -60,7 +60,7 @@ def j4(spark, d):
 @query(
     "j5_hourly_bracket_interp",
     """WITH h AS (SELECT event_type, date_trunc('hour', ts) AS hour, avg(value) AS v FROM events GROUP BY ALL)
-    SELECT e.event_id, round((b.v * minute(e.ts) + a.v * (60 - minute(e.ts))) / 60, 6) AS value_at
+    SELECT e.event_id, round((b.v * minute(e.ts) + a.v * (60 - minute(e.ts))) / 60, 9) AS value_at
     FROM events e LEFT JOIN h a ON a.event_type = e.event_type AND a.hour = date_trunc('hour', e.ts)
     LEFT JOIN h b ON b.event_type = e.event_type AND b.hour = date_trunc('hour', e.ts) + INTERVAL '1 hour'""",
 )
@@ -68,7 +68,7 @@ def j5(spark, d):
     events = t.table(spark, d, "events").select("event_id", "event_type", "ts", "value")
     hourly = events.groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(F.avg("value").alias("value"))
     found = align.hourly_bracket_interp(events.drop("value"), hourly, keys=["event_type"])
-    return found.select("event_id", t.r6(F.col("value_at")).alias("value_at"))
+    return found.select("event_id", t.r6(F.col("value_at"), 9).alias("value_at"))
 
 
 BOX_TEST = f"lon BETWEEN {t.BOX[0]}::DOUBLE AND {t.BOX[2]}::DOUBLE AND lat BETWEEN {t.BOX[1]}::DOUBLE AND {t.BOX[3]}::DOUBLE"
@@ -137,9 +137,9 @@ def j9(spark, d):
     k AS (SELECT r, c, i AS y, j AS x, (1 - u) * (1 - v) AS w FROM n UNION ALL SELECT r, c, i, j + 1, u * (1 - v) FROM n
       UNION ALL SELECT r, c, i + 1, j, (1 - u) * v FROM n UNION ALL SELECT r, c, i + 1, j + 1, u * v FROM n),
     g AS (SELECT tile, r, c, sum(w * value) / nullif(sum(w), 0) AS value FROM s JOIN k ON s."row" = k.y AND s.col = k.x GROUP BY tile, r, c)
-    SELECT tile, CAST(a.r AS INTEGER) AS "row", CAST(b.c AS INTEGER) AS col, round(g.value, 6) AS value
-    FROM (SELECT vec_id AS tile FROM embeddings), range(16) a(r), range(16) b(c)
-    LEFT JOIN g USING (tile, r, c)""",
+    SELECT e.tile, CAST(e.r AS INTEGER) AS "row", CAST(e.c AS INTEGER) AS col, round(g.value, 6) AS value
+    FROM (SELECT vec_id AS tile, r, c FROM embeddings, range(16) a(r), range(16) b(c)) e
+    LEFT JOIN g ON g.tile = e.tile AND g.r = e.r AND g.c = e.c""",
 )
 def j10(spark, d):
     value = F.when(F.col("bad"), F.lit(t.TILE_NODATA)).otherwise(F.col("value"))

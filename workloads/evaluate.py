@@ -46,7 +46,7 @@ def scored(spark, d):
     return metrics.composite_score(scaled).select("alpha", "composite_score")
 
 
-@query("a4_composite_score", f"SELECT alpha, round(composite_score, 6) AS composite_score FROM ({SCORE_SQL})")
+@query("a4_composite_score", f"SELECT alpha, round(composite_score, 6) + 0 AS composite_score FROM ({SCORE_SQL})")
 def a4(spark, d):
     return scored(spark, d).withColumn("composite_score", t.r6(F.col("composite_score")))
 

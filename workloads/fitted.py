@@ -35,7 +35,7 @@ def e1(spark, d):
     FROM ({t.TILES_SQL}) WINDOW w AS (PARTITION BY tile)""",
 )
 def e2(spark, d):
-    done = scaling.tile_zscore(t.tiles(spark, d).select("tile", "row", "col", "value"), ["tile"])
+    done = scaling.tile_zscore(t.tiles(spark, d).select("tile", "row", "col", "value"), ["tile"], {"zscore": "value"})
     return done.select("tile", "row", "col", t.r6(F.col("zscore")).alias("zscore"))
 
 
@@ -61,8 +61,8 @@ def e4(spark, d):
       (SELECT min(y) AS lo, max(y) AS hi, stddev_pop(y) AS sd, (quantile_cont(y, 0.75) - quantile_cont(y, 0.25)) / 1.34::DOUBLE AS iqr, count(y)::DOUBLE AS n FROM s)),
     c AS (SELECT floor((y - lo) / step + 0.5::DOUBLE) AS j, count(*) AS c FROM s, p WHERE y IS NOT NULL GROUP BY 1),
     g AS (SELECT k, sum(c * exp(-0.5::DOUBLE * pow((k - j) * step / h, 2))) / any_value(n * h * sqrt(2 * pi())) AS d FROM range(512) r(k), c, p GROUP BY k),
-    x AS (SELECT event_id, y, (y - lo) / step AS at, least(greatest(floor((y - lo) / step), 0), 510) AS k FROM s, p),
-    dens AS (SELECT event_id, a.d + (at - x.k) * (b.d - a.d) AS p FROM x LEFT JOIN g a ON a.k = x.k LEFT JOIN g b ON b.k = x.k + 1),
+    x AS (SELECT event_id, y, (y - lo) / step AS pos, least(greatest(floor((y - lo) / step), 0), 510) AS k FROM s, p),
+    dens AS (SELECT event_id, a.d + (pos - x.k) * (b.d - a.d) AS p FROM x LEFT JOIN g a ON a.k = x.k LEFT JOIN g b ON b.k = x.k + 1),
     w AS (SELECT event_id, CASE WHEN p IS NOT NULL THEN greatest(1 - 0.9::DOUBLE * ((p - pmin) / (pmax - pmin)), 1e-6::DOUBLE) END AS half,
       CASE WHEN p IS NOT NULL THEN greatest(1 - (p - pmin) / (pmax - pmin), 1e-6::DOUBLE) END AS whole FROM dens, (SELECT min(p) AS pmin, max(p) AS pmax FROM dens))
     SELECT event_id, round(half / (SELECT avg(half) FROM w), 6) AS w09, round(whole / (SELECT avg(whole) FROM w), 6) AS w10,

@@ -209,13 +209,13 @@ STATIC = {
 
 @query(
     "f17_static_feature",
-    "SELECT event_id, " + ", ".join(f"round({sql}, 6) + 0 AS {n}" for n, (_, sql) in STATIC.items())
+    "SELECT event_id, " + ", ".join(f"round({sql}, 8) + 0 AS {n}" for n, (_, sql) in STATIC.items())
     + " FROM (SELECT event_id, CASE WHEN event_id % 13 = 0 THEN 0 ELSE value END AS v FROM events)",
 )
 def f17(spark, d):
     def layer(name, code):
         raw = F.when(F.col("event_id") % 13 == 0, F.lit(code)).otherwise(F.col("value"))
-        return t.r6(fire.static_feature(name, raw)).alias(name)
+        return t.r6(fire.static_feature(name, raw), 8).alias(name)
 
     return t.table(spark, d, "events").select("event_id", *[layer(n, code) for n, (code, _) in STATIC.items()])
 
