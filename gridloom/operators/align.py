@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.grid import Grid, cell_of, in_box
 from gridloom.functions.physics import haversine_m
-from gridloom.session import clean, is_small, lookup_join, settle
+from gridloom.session import clean, lookup_join
 
 CELL = ["row", "col"]
 
@@ -83,23 +83,48 @@ def hourly_bracket_interp(
     return joined.withColumn(out, mixed).drop(hour, "v0", "v1")
 
 
-def interp_fields(fields: DataFrame, times: DataFrame, by: Sequence[str], ts: str = "ts", hour: str = "hour") -> DataFrame:
-    """Hourly fields (variable, hour, row, col, value) at one time per group of ``by``.
+def sample_fields(
+    cells: DataFrame, fields: DataFrame, variables: Sequence[str], src: Grid, dst: Grid, keys: Sequence[str], ts: str = "ts",
+    hour: str = "hour", nodata: float | None = None,
+) -> DataFrame:
+    """Hourly fields (variable, hour, row, col, value) of a coarse grid at cells (keys, row, col, ts) of a finer one.
 
-    Each time is turned into two weighted hours (by whole minutes), so only those hours of the fields
-    are read on, and the two terms are added by one aggregation. Where an hour is absent the value is NULL.
+    Bilinear in space with weights renormalised over valid neighbours, linear in time by whole minutes
+    between the hour and the next; NULL where an hour has no valid neighbour. It gives what regridding
+    every hour and then interpolating would, but only at the cells asked for: each cell asks for four
+    neighbours of two hours, and one aggregation puts them together.
     """
-    minute = F.minute(F.col(ts)).cast("double")
+    value = clean("value") if nodata is None else F.when(F.col("value") != nodata, clean("value"))
+    wide = fields.groupBy(hour, "row", "col").pivot("variable", list(variables)).agg(F.max(value))
+    wide = wide.select(F.col(hour).alias("_h"), F.col("row").alias("_i"), F.col("col").alias("_j"), *variables)
+
+    fy = _position(F.col("row"), src.y0, src.dy, dst.y0, dst.dy, -1.0)
+    fx = _position(F.col("col"), src.x0, src.dx, dst.x0, dst.dx, 1.0)
+    i, j, minute = F.floor(fy).cast("int"), F.floor(fx).cast("int"), F.minute(F.col(ts)).cast("double")
     start = F.date_trunc("hour", F.col(ts)).cast(fields.schema[hour].dataType)
-    terms = F.array(
-        F.struct(start.alias("h"), ((F.lit(60.0) - minute) / F.lit(60.0)).alias("w")),
-        F.struct((start + F.expr("interval 1 hour")).alias("h"), (minute / F.lit(60.0)).alias("w")),
+
+    def options(first: Column, at: Column, names: tuple[str, str]) -> Column:
+        share = at - first
+        return F.array(
+            F.struct(first.alias(names[0]), (F.lit(1.0) - share).alias(names[1])), F.struct((first + 1).alias(names[0]), share.alias(names[1]))
+        )
+
+    hours = F.array(
+        F.struct(F.lit(0).alias("term"), start.alias("_h")), F.struct(F.lit(1).alias("term"), (start + F.expr("interval 1 hour")).alias("_h"))
     )
-    wanted = settle(times.select(*by, F.explode(terms).alias("t")).select(*by, F.col("t.h").alias("_h"), F.col("t.w").alias("_w")))
-    side = F.broadcast(wanted) if is_small(wanted) else wanted
-    joined = fields.join(side, F.col(hour) == F.col("_h"))
-    mixed = F.when(F.count(clean("value")) == 2, F.sum(clean("value") * F.col("_w")))
-    return joined.groupBy(*by, "variable", "row", "col").agg(mixed.alias("value"))
+    asked = cells.select(*keys, "row", "col", ts, minute.alias("_m"), options(i, fy, ("_i", "wy")).alias("_y"), options(j, fx, ("_j", "wx")).alias("_x"), hours.alias("_t"))
+    asked = asked.withColumn("_y", F.explode("_y")).withColumn("_x", F.explode("_x")).withColumn("_t", F.explode("_t"))
+    asked = asked.select(*keys, "row", "col", ts, "_m", "_t.term", "_t._h", "_y._i", "_x._j", (F.col("_y.wy") * F.col("_x.wx")).alias("w"))
+    joined = lookup_join(asked, wide, ["_h", "_i", "_j"])
+
+    sums = []
+    for n, v in enumerate(variables):
+        for term in (0, 1):
+            here = (F.col("term") == term) & F.col(v).isNotNull() & (F.col("w") > 0)
+            sums.append(F.try_divide(F.sum(F.when(here, F.col("w") * F.col(v))), F.sum(F.when(here, F.col("w")))).alias(f"_v{n}_{term}"))
+    both = joined.groupBy(*keys, "row", "col", ts, "_m").agg(*sums)
+    mixed = {v: (F.col(f"_v{n}_1") * F.col("_m") + F.col(f"_v{n}_0") * (F.lit(60.0) - F.col("_m"))) / F.lit(60.0) for n, v in enumerate(variables)}
+    return both.select(*keys, "row", "col", ts, *[c.alias(v) for v, c in mixed.items()])
 
 
 def bbox_index_window(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridloom.session import ONE_TASK_ROWS, clean, lookup_join, settle
 
-MAX_BUCKETS = 20_000
+MAX_BUCKETS = 4096
 MD5_PREFIX = 4  # hex digits; 65,536 buckets of the md5 order
 
 
@@ -31,7 +31,7 @@ def _bucketed(df: DataFrame, columns: Sequence[str], by: Sequence[str], buckets:
     outs = [f"_b{i}" for i in range(len(columns))]
     model = QuantileDiscretizer(
         inputCols=[f"_v{i}" for i in range(len(columns))], outputCols=outs, numBucketsArray=[buckets] * len(columns),
-        relativeError=1.0 / (4 * buckets), handleInvalid="keep",
+        relativeError=1.0 / (2 * buckets), handleInvalid="keep",
     ).fit(doubles)
     cells = F.explode(
         F.array(
@@ -50,16 +50,24 @@ def exact_percentiles(
 ) -> DataFrame:
     """by..., name, n, q: linearly interpolated percentiles of each column (per group), exact at any size.
 
-    A counted small table uses Spark's exact percentile. A large one is cut into value-ordered buckets;
+    The values of a counted small table are sorted as arrays. A large table is cut into value-ordered buckets;
     bucket counts say which few buckets hold the wanted ranks; only those are counted by value and
     ranked. Rows are pre-aggregated by value, so repeated values cost one row each.
     """
     by, rows = list(by), df.count()
+    keys = [*by, "name"]
     if rows <= one_task_rows:
-        q = F.percentile("value", F.array(*[F.lit(float(p)) for p in probs]))
-        return _long(df, columns, by).groupBy(*by, "name").agg(F.count("*").alias("n"), q.alias("q"))
+        ordered = _long(df, columns, by).groupBy(*keys).agg(F.sort_array(F.collect_list("value")).alias("_a"))
+        n, a = F.size("_a"), F.col("_a")
+
+        def interpolated(p: Column) -> Column:
+            at = p * (n - 1)
+            low, high = F.get(a, F.floor(at).cast("int")), F.get(a, F.ceil(at).cast("int"))
+            return low + (high - low) * (at - F.floor(at))
+
+        q = F.transform(F.array(*[F.lit(float(p)) for p in probs]), interpolated)
+        return ordered.select(*keys, n.cast("bigint").alias("n"), q.alias("q"))
 
-    keys = [*by, "name"]
     buckets = min(MAX_BUCKETS, max(2, -(-rows // one_task_rows) * 4))
     cells = _bucketed(df, columns, by, buckets)
     sizes = settle(cells.groupBy(*keys, "bucket").agg(F.count("*").alias("size")))
@@ -109,7 +117,7 @@ def keys_at_ranks(df: DataFrame, key: str, ranks: Sequence[int], rows: int, one_
     else:
         buckets = min(MAX_BUCKETS, max(2, -(-rows // one_task_rows) * 4))
         coarse = df.select(F.col(key), F.col(key).cast("double").alias("_x"))
-        model = QuantileDiscretizer(inputCol="_x", outputCol="_b", numBuckets=buckets, relativeError=1.0 / (4 * buckets))
+        model = QuantileDiscretizer(inputCol="_x", outputCol="_b", numBuckets=buckets, relativeError=1.0 / (2 * buckets))
         bucketed = model.fit(coarse).transform(coarse).select(F.col("_b").cast("int").alias("bucket"), F.col(key))
     sizes = [(r["bucket"], r["size"]) for r in bucketed.groupBy("bucket").agg(F.count("*").alias("size")).collect()]
     before, starts = 0, {}

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.binning import count_below
 from gridloom.operators.quantiles import percentile_row
-from gridloom.session import clean, lookup_join, settle, with_params
+from gridloom.session import clean, lookup_join, with_params
 
 
 def _c(name: str) -> Column:
@@ -72,14 +72,17 @@ def _polynomial(coefficients: Sequence[float], x: Column) -> Column:
     return total
 
 
-def inverse_normal(p: Column) -> Column:
-    def tail(q: Column) -> Column:
-        r = F.sqrt(F.lit(-2.0) * F.log(q))
-        return _polynomial(TAIL_C, r) / _polynomial(TAIL_D, r)
+def _array(values: Sequence[float]) -> Column:
+    return F.expr(f"array({', '.join(f'{float(v)!r}D' for v in values)})")
+
 
+def inverse_normal(p: Column) -> Column:
+    """Normal quantile of p in (0, 1); the lower tail is evaluated for both sides and mirrored."""
     q = p - F.lit(0.5)
-    middle = _polynomial(CENTRAL_A, q * q) * q / _polynomial(CENTRAL_B, q * q)
-    return F.when(p < TAIL, tail(p)).when(p > 1 - TAIL, -tail(F.lit(1.0) - p)).otherwise(middle)
+    r = F.sqrt(F.lit(-2.0) * F.log(F.least(p, F.lit(1.0) - p)))
+    tail = F.try_divide(_polynomial(TAIL_C, r), _polynomial(TAIL_D, r))
+    middle = F.try_divide(_polynomial(CENTRAL_A, q * q) * q, _polynomial(CENTRAL_B, q * q))
+    return F.when(F.abs(q) <= 0.5 - TAIL, middle).otherwise(-F.signum(q) * tail)
 
 
 def fit_quantiles(train: DataFrame, columns: Sequence[str], landmarks: int = 100, **kw) -> DataFrame:
@@ -87,36 +90,39 @@ def fit_quantiles(train: DataFrame, columns: Sequence[str], landmarks: int = 100
     return percentile_row(train, columns, [k / (landmarks - 1) for k in range(landmarks)], **kw)
 
 
-def apply_quantile_normalize(df: DataFrame, fitted: DataFrame, columns: Sequence[str], landmarks: int = 100) -> DataFrame:
+def apply_quantile_normalize(df: DataFrame, fitted: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each column to a normal score: interpolated position among the landmarks, then the inverse normal.
 
     Among equal landmarks the positions from the left and from the right are averaged. Missing stays
-    missing. Positions come from binary searches in generated code.
+    missing. The landmarks (one row, 100 numbers per column) become the splits of a Bucketizer, so a
+    position is a binary search in the JVM and no row leaves its partition.
     """
-    renamed = fitted.select(*[_c(c).alias(f"q{i}") for i, c in enumerate(columns)])
-    work = with_params(df, settle(renamed))
-    work = work.withColumns({f"_x{i}": clean(_c(c).cast("double")) for i, c in enumerate(columns)})
-    searches = []
-    for i in range(len(columns)):
-        x, q = F.col(f"_x{i}"), F.col(f"_fit.q{i}")
-        searches += [(x, q, f"_le{i}", True), (x, q, f"_lt{i}", False)]
-    work = count_below(work, searches, landmarks)
-    last, scores = landmarks - 1, {}
-    for i, c in enumerate(columns):
-        x, q, le, lt = F.col(f"_x{i}"), F.col(f"_fit.q{i}"), F.col(f"_le{i}"), F.col(f"_lt{i}")
-
-        def between(k: Column) -> Column:
-            left, right = F.get(q, k), F.get(q, k + 1)
-            return (k + (x - left) / (right - left)) / F.lit(float(last))
-
-        p = (between(le - 1) + between(lt - 1)) / F.lit(2.0)
-        p = F.when(x <= F.get(q, F.lit(0)), F.lit(0.0)).when(x >= F.get(q, F.lit(last)), F.lit(1.0)).otherwise(p)
+    row = fitted.first()
+    splits, tables, positions = [], [], []
+    for c in columns:
+        q = list(row[c])
+        distinct = sorted(set(q))
+        first, last = {v: i for i, v in reversed(list(enumerate(q)))}, {v: i for i, v in enumerate(q)}
+        tables.append((distinct, [first[v] for v in distinct], [last[v] for v in distinct], len(q) - 1))
+        splits.append([float("-inf"), *distinct, float("inf")])
+    work = df.withColumns({f"_x{i}": clean(_c(c).cast("double")) for i, c in enumerate(columns)})
+    marks = [f"_b{i}" for i in range(len(columns))]
+    finder = Bucketizer(splitsArray=splits, inputCols=[f"_x{i}" for i in range(len(columns))], outputCols=marks, handleInvalid="keep")
+    work = finder.transform(work)
+    for i, (values, first, last, steps) in enumerate(tables):
+        x, k = F.col(f"_x{i}"), F.col(f"_b{i}").cast("int") - 1  # the last distinct landmark not above x
+        marks_at = _array(values)
+        left, right = F.get(marks_at, k), F.get(marks_at, k + 1)
+        inside = F.get(_array(last), k) + F.try_divide(x - left, right - left)
+        on = F.get(_array([(a + b) / 2.0 for a, b in zip(first, last)]), k)
+        p = F.when(x == left, on).otherwise(inside) / F.lit(float(steps))
+        p = F.when(x <= values[0], F.lit(PROBABILITY_CLIP)).when(x >= values[-1], F.lit(1.0 - PROBABILITY_CLIP)).otherwise(p)
         p = F.least(F.greatest(p, F.lit(PROBABILITY_CLIP)), F.lit(1.0 - PROBABILITY_CLIP))
-        scores[f"_p{i}"] = F.when(x.isNotNull(), p)
-    work = work.withColumns(scores)
-    work = work.withColumns({c: F.when(F.col(f"_p{i}").isNotNull(), inverse_normal(F.col(f"_p{i}"))) for i, c in enumerate(columns)})
-    return work.select(*[_c(c) for c in df.columns])
+        positions.append(F.when(x.isNotNull(), p))
+    # one lambda for all columns: written out per column, the polynomials outgrow a generated method
+    work = work.withColumn("_z", F.transform(F.array(*positions), inverse_normal))
+    return work.withColumns({c: F.get(F.col("_z"), F.lit(i)) for i, c in enumerate(columns)}).select(*[_c(c) for c in df.columns])
 
 
 def quantile_normalize(df: DataFrame, columns: Sequence[str], landmarks: int = 100) -> DataFrame:
-    return apply_quantile_normalize(df, fit_quantiles(df, columns, landmarks), columns, landmarks)
+    return apply_quantile_normalize(df, fit_quantiles(df, columns, landmarks), columns)

@@ -80,7 +80,7 @@ def grid_orbits(swath: DataFrame, grid: Grid) -> tuple[DataFrame, DataFrame]:
     good = keyed.withColumn("value", quality_mask(F.col("value"), F.col("qa")))
     inside = align.slice_window(good, windows, by, "scan", "ground")
     cells = align.grid_swath(inside, grid, by).select(*by, "row", "col", F.col("value").alias("co"))
-    kept = align.lookup_join(keyed, windows.filter(~F.col("out_of_range")).select(*by), by, "left_semi")
+    kept = lookup_join(keyed, windows.filter(~F.col("out_of_range")).select(*by), by, "left_semi")
     times = align.nearest_pixel(kept, *REGION_CENTER, by, ["ts"], row="scan", col="ground").select(*by, "ts")
     return cells, times
 
@@ -98,18 +98,15 @@ def orbit_features(
     by = ["date", "orbit"]
     cells, times = grid_orbits(swath, grid)
     times = settle(times)
-    # only the two hours around a scan time go through the regridding
+    timed = settle(lookup_join(cells, times, by, settled=True))
+    # only the hours around scan times are read on
     start = F.date_trunc("hour", F.col("ts")).cast(weather.schema["hour"].dataType)
     hours = times.select(F.explode(F.array(start, start + F.expr("interval 1 hour"))).alias("hour")).distinct()
-    fields = align.regrid_bilinear(
-        lookup_join(weather, hours, ["hour"], "left_semi"), weather_grid, grid, ["variable", "hour"], WEATHER_NODATA, complete=False
-    )
-    at_time = align.interp_fields(fields, times, by)
-    wide = at_time.groupBy(*by, "row", "col").pivot("variable", VARIABLES).agg(F.max("value"))
-    df = cells.join(wide, [*by, "row", "col"], "left")
+    near = lookup_join(weather, hours, ["hour"], "left_semi")
+    fields = align.sample_fields(timed, near, VARIABLES, weather_grid, grid, by, nodata=WEATHER_NODATA)
+    df = timed.join(fields.drop("ts"), [*by, "row", "col"])
     df = df.join(ndvi.select("row", "col", F.col("value").alias("_ndvi")), ["row", "col"], "left")
     df = df.join(tpi.select("row", "col", F.col("value").alias("Topographic Position Index")), ["row", "col"], "left")
-    df = lookup_join(df, times, by)
     lon, lat = pixel_coords(grid, F.col("row"), F.col("col"))
     return df.withColumns(
         {

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 # A lookup table is broadcast only when it has at most this many (narrow) rows.
 BROADCAST_ROWS = 200_000
 
-# Row count up to which a single sort or exact-percentile buffer in one task is acceptable.
-ONE_TASK_ROWS = 2_000_000
+# Row count up to which one task may sort all values of a column.
+ONE_TASK_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,8 +42,9 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    return table.limit(max_rows + 1).count() <= max_rows
+def is_small(settled: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a settled table may be broadcast: its rows are counted where they lie."""
+    return settled.count() <= max_rows
 
 
 def lookup_join(
@@ -52,14 +53,15 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Join a per-key table (unique on ``on``) to a large ``df``; NULL keys match NULL keys.
 
-    The table is settled and its rows are counted. A small one is broadcast, so ``df`` is neither
+    The table is settled (unless the caller says it is) and its rows are counted. A small one is broadcast, so ``df`` is neither
     shuffled nor skewed. A large one is joined by shuffle, where adaptive execution splits skewed
     partitions of ``df``.
     """
-    table = settle(table)
+    table = table if settled else settle(table)
     renamed = table.select(
         *[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(on)],
         *[F.col(f"`{c}`") for c in table.columns if c not in on],
