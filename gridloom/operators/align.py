@@ -9,14 +9,23 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.grid import Grid, cell_of, in_box
 from gridloom.functions.physics import haversine_m
+from gridloom.operators.select import arg_best
 from gridloom.session import clean, lookup_join
 
 CELL = ["row", "col"]
 
 
+def _columns_of(name: str, kinds: Sequence[object], value: Column) -> list[Column]:
+    return [F.max(F.when(F.col(name) == F.lit(kind), value)).alias(str(kind)) for kind in kinds]
+
+
 def stack_layers(pixels: DataFrame, layers: Sequence[object], keys: Sequence[str] = ("date", "row", "col")) -> DataFrame:
-    """Long (layer, value) pixels to one column per layer: one shuffle, whatever the number of layers."""
-    return pixels.groupBy(*keys).pivot("layer", list(layers)).agg(F.max("value"))
+    """Long (layer, value) pixels to one column per layer.
+
+    One conditional aggregation, so one shuffle whatever the number of layers; ``pivot`` would shuffle
+    by (cell, layer) and again by cell.
+    """
+    return pixels.groupBy(*keys).agg(*_columns_of("layer", layers, F.col("value")))
 
 
 def join_static(dynamic: DataFrame, static: DataFrame, on: Sequence[str] = CELL) -> DataFrame:
@@ -95,7 +104,7 @@ def sample_fields(
     neighbours of two hours, and one aggregation puts them together.
     """
     value = clean("value") if nodata is None else F.when(F.col("value") != nodata, clean("value"))
-    wide = fields.groupBy(hour, "row", "col").pivot("variable", list(variables)).agg(F.max(value))
+    wide = fields.groupBy(hour, "row", "col").agg(*_columns_of("variable", variables, value))
     wide = wide.select(F.col(hour).alias("_h"), F.col("row").alias("_i"), F.col("col").alias("_j"), *variables)
 
     fy = _position(F.col("row"), src.y0, src.dy, dst.y0, dst.dy, -1.0)
@@ -163,11 +172,8 @@ def nearest_pixel(
 ) -> DataFrame:
     """Per group, the pixel nearest to a point by great circle; the first in row-major order on ties."""
     distance = haversine_m(clean(lon), clean(lat), lon0, lat0)
-    picked = F.min_by(
-        F.struct(F.col(row), F.col(col), *[F.col(k) for k in keep], distance.alias("distance_m")),
-        F.struct(distance, F.col(row), F.col(col)),
-    )
-    return points.filter(distance.isNotNull()).groupBy(*by).agg(picked.alias("_p")).select(*by, "_p.*")
+    measured = points.select(*by, row, col, *keep, distance.alias("distance_m"))
+    return arg_best(measured, "distance_m", [row, col], "min", by)
 
 
 def lookup_frequency(df: DataFrame, frequencies: DataFrame, value: str, count: str = "count", out: str = "frequency") -> DataFrame:

@@ -11,7 +11,8 @@ from gridloom.functions.binning import threshold_index
 from gridloom.functions.cleaning import class_name
 from gridloom.operators.relevance import with_relevance
 from gridloom.operators.rows import names_containing
-from gridloom.session import clean, with_params
+from gridloom.operators.select import arg_best
+from gridloom.session import clean, settle, with_params
 
 # Fixed values.
 THRESHOLDS, THRESHOLD_STEP = 100, 0.01
@@ -51,15 +52,6 @@ def composite_score(df: DataFrame, texts: Sequence[str] = ("MAE", "RMSE", "SERA"
     return df.withColumn(out, -total)
 
 
-def arg_best(df: DataFrame, metric: str, key: str, best: str = "min", by: Sequence[str] = ()) -> DataFrame:
-    """The row (per group) with the lowest or highest metric; smallest key on ties, missing metrics skipped."""
-    value = clean(_c(metric))
-    order = F.struct(value if best == "min" else -value, _c(key))
-    columns = [c for c in df.columns if c not in by]
-    row = F.min_by(F.struct(*[_c(c) for c in columns]), order)
-    return df.filter(value.isNotNull()).groupBy(*by).agg(row.alias("_r")).select(*by, "_r.*")
-
-
 def mean_fold_metric(df: DataFrame, metric: str, params: Sequence[str], out: str = "mean_metric") -> DataFrame:
     return df.groupBy(*params).agg(F.avg(_c(metric)).alias(out))
 
@@ -196,6 +188,7 @@ def metrics_by_class_report(df: DataFrame, label: str, prob: str, class_id: str,
     everywhere = F.explode(F.array(F.coalesce(class_name(_c(class_id)), F.lit("none")), F.lit("All")))
     hist = _threshold_histogram(df, label, prob, [class_id])
     hist = hist.withColumn("Class", everywhere).groupBy("Class", "b").agg(F.sum("pos").alias("pos"), F.sum("all").alias("all"))
+    hist = settle(hist)  # a few hundred rows, used for the threshold and for the report
     table = segmentation_metrics(_threshold_counts(hist, ["Class"]))
     best = F.max_by(F.col("i"), F.when(F.col("Class") == "All", F.struct("f1_score", -F.col("i"))))
     chosen = with_params(table, table.agg(best.alias("i"))).filter(F.col("i") == F.col("_fit.i")).drop("_fit", "i")

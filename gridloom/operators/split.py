@@ -9,38 +9,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions.binning import cut_uniform
-from gridloom.operators.quantiles import MD5_PREFIX, keys_at_ranks, md5_order, shuffled_rank
+from gridloom.operators.quantiles import keys_at_ranks, md5_order, shuffled_rank
 from gridloom.session import ONE_TASK_ROWS, lookup_join, settle, with_params
 
+MAX_PREFIX = 5  # hex digits by which a stratum is counted
 
-def _mark_test(df: DataFrame, percent: int, key: str, stratum: str, by: list[str]) -> DataFrame:
+
+def _mark_test(df: DataFrame, percent: int, key: str, stratum: str, by: list[str], one_task_rows: int) -> DataFrame:
     """``df`` with is_test, given the md5 order of each row in ``_h``.
 
     A stratum's test rows are the first ones of its md5 order, so the split is one cut point per
-    stratum. Counting rows by md5 prefix finds the prefix that holds the cut; only its rows are
-    ranked. The table itself is neither shuffled nor sorted.
+    stratum. Rows are counted by stratum and, where strata are large, by md5 prefix; only the rows of
+    the prefix that holds a cut are ranked. The table itself is neither shuffled nor sorted.
     """
     keys = [*by, stratum]
-    marked = df.withColumn("_p", F.substring("_h", 1, MD5_PREFIX))
-    sizes = settle(marked.groupBy(*keys, "_p").agg(F.count("*").alias("size")))
-
-    strata = sizes.groupBy(*keys).agg(F.sum("size").alias("n_s"))
-    everything = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    strata = strata.withColumn("n", F.sum("n_s").over(everything))
+    everything = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))  # over strata, not rows
+    strata = df.groupBy(*keys).agg(F.count("*").alias("n_s")).withColumn("n", F.sum("n_s").over(everything))
     strata = strata.withColumn("n_test", F.expr(f"cast((n * {int(percent)} + 99) div 100 as bigint)"))
     strata = strata.withColumn("base", F.expr("(n_test * n_s) div n")).withColumn("rest", F.expr("(n_test * n_s) % n"))
     spare = F.col("n_test") - F.sum("base").over(everything)
     order = F.row_number().over(everything.orderBy(F.col("rest").desc(), F.col(f"`{stratum}`").asc_nulls_last()))
-    strata = strata.withColumn("quota", F.col("base") + F.when(order <= spare, 1).otherwise(0))
-    strata = strata.withColumn("quota", F.when(F.col("n_s") == 1, 0).otherwise(F.col("quota")))
-
-    quotas = lookup_join(sizes, strata.select(*keys, "quota"), keys)  # both are counts, one row per stratum or prefix
+    quota = F.col("base") + F.when(order <= spare, 1).otherwise(0)
+    strata = settle(strata.select(*keys, "n_s", F.when(F.col("n_s") == 1, 0).otherwise(quota).alias("quota")))
+
+    largest, digits = strata.agg(F.max("n_s")).first()[0] or 0, 0
+    while largest > one_task_rows * 16**digits and digits < MAX_PREFIX:
+        digits += 1
+    marked = df.withColumn("_p", F.substring("_h", 1, digits))
+    if digits:
+        sizes = marked.groupBy(*keys, "_p").agg(F.count("*").alias("size"))
+        sizes = lookup_join(sizes, strata.select(*keys, "quota"), keys, settled=True)
+    else:
+        sizes = strata.select(*keys, F.lit("").alias("_p"), F.col("n_s").alias("size"), "quota")
     upto = F.sum("size").over(Window.partitionBy(*keys).orderBy("_p"))
-    cuts = quotas.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("size"))
+    cuts = sizes.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("size"))
     cuts = cuts.filter((F.col("quota") > F.col("before")) & (F.col("quota") <= F.col("upto")))
     cuts = cuts.select(*keys, "_p", (F.col("quota") - F.col("before")).alias("_take"))
 
-    near = lookup_join(marked, cuts, [*keys, "_p"], "inner")
+    near = lookup_join(marked.select(*keys, "_p", "_h", key), cuts, [*keys, "_p"], "inner")
     nth = F.row_number().over(Window.partitionBy(*keys, "_p").orderBy("_h", key))
     last = near.withColumn("_nth", nth).filter(F.col("_nth") == F.col("_take"))
     points = last.select(*keys, F.struct(F.col("_h").alias("h"), F.col(key).alias("k")).alias("_cut"))
@@ -49,12 +55,14 @@ def _mark_test(df: DataFrame, percent: int, key: str, stratum: str, by: list[str
     return split.withColumn("is_test", F.coalesce(here <= F.col("_cut"), F.lit(False))).drop("_cut", "_h")
 
 
-def stratified_split(df: DataFrame, percent: int, seed: int, key: str, stratum: str) -> DataFrame:
+def stratified_split(
+    df: DataFrame, percent: int, seed: int, key: str, stratum: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """Adds is_test: ceil(percent% of the rows), shared among the strata by largest remainder.
 
     ``key`` must be unique. A stratum of one row stays in training.
     """
-    return _mark_test(df.withColumn("_h", md5_order(seed, key)), percent, key, stratum, [])
+    return _mark_test(df.withColumn("_h", md5_order(seed, key)), percent, key, stratum, [], one_task_rows)
 
 
 def train_val_test(df: DataFrame, key: str, stratum: str, seeds: tuple[int, int] = (42, 41)) -> DataFrame:
@@ -72,13 +80,15 @@ def holdout_seeds(k: int = 3, seed: int = 42) -> list[int]:
     return [generator.randint(0, 100) for _ in range(k)]
 
 
-def repeated_holdout(df: DataFrame, key: str, stratum: str, k: int = 3, seed: int = 42, percent: int = 20) -> DataFrame:
+def repeated_holdout(
+    df: DataFrame, key: str, stratum: str, k: int = 3, seed: int = 42, percent: int = 20, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """Every row once per fold, with fold, the fold's seed and is_test; all folds are split together."""
     seeds = holdout_seeds(k, seed)
     folds = F.explode(F.array(*[F.struct(F.lit(i).alias("fold"), F.lit(s).alias("seed")) for i, s in enumerate(seeds)]))
     rows = df.withColumn("_f", folds).select(*df.columns, "_f.fold", "_f.seed")
     rows = rows.withColumn("_h", F.md5(F.concat(F.col("seed").cast("string"), F.col(key).cast("string")).cast("binary")))
-    return _mark_test(rows, percent, key, stratum, ["fold"])
+    return _mark_test(rows, percent, key, stratum, ["fold"], one_task_rows)
 
 
 def kfold(df: DataFrame, key: str, k: int = 10, out: str = "fold", one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:

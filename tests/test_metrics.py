@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import metrics, relevance
+from gridloom.operators.select import arg_best
 
 
 def frame(spark, rows, schema):
@@ -33,8 +34,8 @@ def test_threshold_without_positives(spark):
 
 def test_ties_take_the_first(spark):
     df = frame(spark, [(0.2, 1.0), (0.1, 1.0), (0.3, None), (0.4, float("nan")), (0.5, 2.0)], "alpha double, m double")
-    assert metrics.arg_best(df, "m", "alpha", "min").first()["alpha"] == 0.1
-    assert metrics.arg_best(df, "m", "alpha", "max").first()["alpha"] == 0.5
+    assert arg_best(df, "m", "alpha", "min").first()["alpha"] == 0.1
+    assert arg_best(df, "m", "alpha", "max").first()["alpha"] == 0.5
 
 
 def test_composite_counts_missing_as_zero(spark):

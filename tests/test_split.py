@@ -27,12 +27,12 @@ def brute_split(rows, percent, seed):
     return out
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.sampled_from(["a", "a", "a", "b", "c", None, "rare"]), min_size=3, max_size=120), st.sampled_from([20, 30, 50]))
-def test_split_equals_brute_force(spark, strata, percent):
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.sampled_from(["a", "a", "a", "b", "c", None, "rare"]), min_size=3, max_size=120), st.sampled_from([20, 30, 50]), st.sampled_from([3, 1000]))
+def test_split_equals_brute_force(spark, strata, percent, limit):
     rows = dict(enumerate(strata))
     df = spark.createDataFrame(list(rows.items()), "k bigint, s string")
-    got = split.stratified_split(df, percent, 42, "k", "s").collect()
+    got = split.stratified_split(df, percent, 42, "k", "s", limit).collect()
     assert sorted(r["k"] for r in got) == sorted(rows)
     assert {r["k"] for r in got if r["is_test"]} == brute_split(rows, percent, 42)
 
@@ -41,8 +41,9 @@ def test_split_does_not_depend_on_layout(spark):
     df = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") % 5).alias("s"))
     parts = []
     for layout in (df, df.repartition(1), df.orderBy(F.desc("k")).repartition(13)):
-        parts.append({r["k"] for r in split.stratified_split(layout, 20, 1, "k", "s").filter("is_test").collect()})
-    assert parts[0] == parts[1] == parts[2] and len(parts[0]) == 600
+        for limit in (20, 10_000):
+            parts.append({r["k"] for r in split.stratified_split(layout, 20, 1, "k", "s", limit).filter("is_test").collect()})
+    assert all(p == parts[0] for p in parts) and len(parts[0]) == 600
 
 
 def test_train_val_test(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gridloom.operators import metrics, rows
+from gridloom.operators.select import arg_best
 from workloads import tables as t
 from workloads.registry import Registry
 from workloads.sources import METRICS_SQL, metric_table
@@ -58,8 +59,8 @@ def a4(spark, d):
 )
 def a5(spark, d):
     data = t.stations(spark, d).select("event_id", "event_type", "y")
-    least = metrics.arg_best(data, "y", "event_id", "min", ["event_type"]).select(F.lit("least").alias("kind"), "*")
-    greatest = metrics.arg_best(data, "y", "event_id", "max", ["event_type"]).select(F.lit("greatest").alias("kind"), "*")
+    least = arg_best(data, "y", "event_id", "min", ["event_type"]).select(F.lit("least").alias("kind"), "*")
+    greatest = arg_best(data, "y", "event_id", "max", ["event_type"]).select(F.lit("greatest").alias("kind"), "*")
     return rows.stack_rows(least, greatest)
 
 
