@@ -35,20 +35,21 @@ def _mark_test(df: DataFrame, percent: int, key: str, stratum: str, by: list[str
     largest, digits = strata.agg(F.max("n_s")).first()[0] or 0, 0
     while largest > one_task_rows * 16**digits and digits < MAX_PREFIX:
         digits += 1
-    marked = df.withColumn("_p", F.substring("_h", 1, digits))
+    rows = df.select(*keys, "_h", key)
+    quotas = strata.filter(F.col("quota") > 0).select(*keys, "quota")
     if digits:
-        sizes = marked.groupBy(*keys, "_p").agg(F.count("*").alias("size"))
-        sizes = lookup_join(sizes, strata.select(*keys, "quota"), keys, settled=True)
+        rows = rows.withColumn("_p", F.substring("_h", 1, digits))
+        sizes = lookup_join(rows.groupBy(*keys, "_p").agg(F.count("*").alias("size")), quotas, keys, "inner", settled=True)
+        upto = F.sum("size").over(Window.partitionBy(*keys).orderBy("_p"))
+        cuts = sizes.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("size"))
+        cuts = cuts.filter((F.col("quota") > F.col("before")) & (F.col("quota") <= F.col("upto")))
+        rows = lookup_join(rows, cuts.select(*keys, "_p", (F.col("quota") - F.col("before")).alias("_take")), [*keys, "_p"], "inner")
+        within = [*keys, "_p"]
     else:
-        sizes = strata.select(*keys, F.lit("").alias("_p"), F.col("n_s").alias("size"), "quota")
-    upto = F.sum("size").over(Window.partitionBy(*keys).orderBy("_p"))
-    cuts = sizes.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("size"))
-    cuts = cuts.filter((F.col("quota") > F.col("before")) & (F.col("quota") <= F.col("upto")))
-    cuts = cuts.select(*keys, "_p", (F.col("quota") - F.col("before")).alias("_take"))
-
-    near = lookup_join(marked.select(*keys, "_p", "_h", key), cuts, [*keys, "_p"], "inner")
-    nth = F.row_number().over(Window.partitionBy(*keys, "_p").orderBy("_h", key))
-    last = near.withColumn("_nth", nth).filter(F.col("_nth") == F.col("_take"))
+        rows = lookup_join(rows, quotas.withColumnRenamed("quota", "_take"), keys, "inner", settled=True)
+        within = keys
+    nth = F.row_number().over(Window.partitionBy(*within).orderBy("_h", key))
+    last = rows.withColumn("_nth", nth).filter(F.col("_nth") == F.col("_take"))
     points = last.select(*keys, F.struct(F.col("_h").alias("h"), F.col(key).alias("k")).alias("_cut"))
     split = lookup_join(df, points, keys)
     here = F.struct(F.col("_h").alias("h"), F.col(key).alias("k"))

@@ -38,8 +38,12 @@ def grid_rows(df: DataFrame, grid: Grid, value: Column, nodata: float = NODATA,
 def grid_sink(
     df: DataFrame, grid: Grid, value: Column, path: str, nodata: float = NODATA, keys: Sequence[str] = ("date",)
 ) -> None:
-    """Write the grid partitioned by date. Tasks write what they hold, so one huge date is not one task."""
-    rows = grid_rows(df, grid, value, nodata, keys)
+    """Write the grid partitioned by date.
+
+    Rows are range-partitioned by date and row first: each task writes few dates, and a huge date is
+    spread over several tasks.
+    """
+    rows = grid_rows(df, grid, value, nodata, keys).repartitionByRange("date", "row")
     rows.write.partitionBy("date").option("maxRecordsPerFile", 50_000_000).parquet(path)
 
 
