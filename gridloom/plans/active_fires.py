@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import fire
 from gridloom.functions.grid import FIRE_REGION, TARGET_STEP, Grid, join_path
 from gridloom.operators import align, metrics, models, rows, scaling, split
 from gridloom.sources.pixels import grid_rows
-from gridloom.sources.tables import MANIFEST_COLUMNS
+from gridloom.sources.tables import MANIFEST_COLUMNS, read_stage, write_stage
 
 # Manifest columns that name files, in sample order; the source grids' missing code.
 FILE_COLUMNS = [
     "MODIS_RAD", "SEVIRI", "SEVIRI_HRV", "ELEVATION", "SLOPE", "ASPECT", "TPI", "FUEL_MAP", "CANOPY_HEIGHT", "CANOPY_COVER",
 ]
+# Loss mix and learning rate used when tuning is switched off.
+STORED_PARAMETERS = {"alpha": 0.816, "learning_rate": 0.00007}
 IMAGE_NODATA = 32635.0
 FIRE_BAND = 4
 
@@ -45,7 +47,7 @@ def tile_features(pixels: DataFrame, names: Mapping[str, int] | Iterable[str], k
     return pixels.select(*keys, "row", "col", *[fire.band_feature(n) for n in on], *label)
 
 
-def loss(predictions: DataFrame, alpha: float = 0.816) -> DataFrame:
+def loss(predictions: DataFrame, alpha: float = STORED_PARAMETERS["alpha"]) -> DataFrame:
     """The training loss of (label, prob) rows."""
     return metrics.combined_loss(predictions, "label", "prob", alpha)
 
@@ -55,6 +57,12 @@ def evaluate(predictions: DataFrame) -> DataFrame:
     return metrics.metrics_by_class_report(predictions, "label", "prob", "Class_2", "tile")
 
 
+def run_evaluation(spark: SparkSession, predictions: DataFrame, root: str, run: str) -> DataFrame:
+    """The report, kept as a stage table and read back."""
+    write_stage(evaluate(predictions), root, run, "best_model_metrics")
+    return read_stage(spark, root, run, "best_model_metrics")
+
+
 def score_images(pixels: DataFrame, src: Grid, load: Callable, dst: Grid | None = None) -> DataFrame:
     """Probability grid rows from image pixels (date, band, row, col, value): one band is regridded,
     scaled and scored by a model from outside."""

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.functions import physics, temporal
 from gridloom.functions.cleaning import nodata_mask, quality_mask, relevance_class, rescale
 from gridloom.functions.grid import REGION, TARGET_STEP, Grid, pixel_coords
 from gridloom.operators import align, models, relevance, rows, scaling, split
-from gridloom.session import lookup_join, settle
+from gridloom.session import lookup_join, settle, with_row_key
+from gridloom.sources.models import save_cascade
 from gridloom.sources.pixels import grid_rows
-from gridloom.sources.tables import CO_CYCLIC, CO_FEATURES, CO_FILLED, CO_TARGET
+from gridloom.sources.tables import CO_CYCLIC, CO_FEATURES, CO_FILLED, CO_SCHEMA, CO_TARGET, read_stage, read_station_csv, write_stage
 
 # Hourly weather variables and the point whose scan time stands for an orbit.
 VARIABLES = ["d2m", "t2m", "ssr", "u10", "v10", "sp", "tp"]
@@ -52,6 +53,26 @@ def cascade_fit(key: str, **kw) -> Callable[[DataFrame, str], models.ForestCasca
     return fit
 
 
+# Mean relevance-weighted error per weighting strength, used when tuning is switched off.
+STORED_SWEEP = {
+    0.0: 8894.8069089294,
+    0.1: 8987.063773374784,
+    0.2: 8997.074467348082,
+    0.3: 8939.888736849047,
+    0.4: 9315.1834516117,
+    0.5: 9039.413774066872,
+    0.6: 8566.440649333914,
+    0.7: 8891.848524774265,
+    0.8: 8658.79093023558,
+    0.9: 8111.407318935996,
+    1.0: 8870.747383252388,
+}
+
+
+def stored_sweep(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(STORED_SWEEP.items()), "`Alpha` double, `Mean SERA` double")
+
+
 def tune(
     train: DataFrame, key: str, alphas: Sequence[float] = tuple(models.CO_ALPHAS), fit: Callable | None = None, k: int = 3, seed: int = 42
 ) -> DataFrame:
@@ -69,6 +90,25 @@ def train_best(train: DataFrame, key: str, sweep: DataFrame, **kw) -> models.For
     return cascade_fit(key, **kw)(weighted, "weight")
 
 
+def run_development(
+    spark: SparkSession, csv_path: str, root: str, run: str, tuning: bool = True, alphas: Sequence[float] = tuple(models.CO_ALPHAS),
+    version: int = 1, **cascade,
+) -> str:
+    """Station file to stage tables, the sweep and the final cascade, all below ``root``."""
+    key = "row_id"
+    split_rows = settle(split_stations(with_row_key(read_station_csv(spark, csv_path, CO_SCHEMA), key), key))
+    write_stage(split_rows.filter(~F.col("is_test")).drop("is_test"), root, run, "train_dataset")
+    write_stage(split_rows.filter("is_test").drop("is_test"), root, run, "test_dataset")
+    train, test, scaler = normalize(read_stage(spark, root, run, "train_dataset"), read_stage(spark, root, run, "test_dataset"), key)
+    for name, table in {"train_normalized": train, "test_normalized": test, "scaler": scaler}.items():
+        write_stage(table, root, run, name)
+    train = read_stage(spark, root, run, "train_normalized")
+    sweep = tune(train, key, alphas, cascade_fit(key, **cascade)) if tuning else stored_sweep(spark)
+    write_stage(sweep, root, run, "alpha_k_fold_results")
+    model = train_best(train, key, read_stage(spark, root, run, "alpha_k_fold_results"), **cascade)
+    return save_cascade(model, root, "carbon_monoxide", rows.select_features(train, CO_FEATURES), version)
+
+
 def grid_orbits(swath: DataFrame, grid: Grid) -> tuple[DataFrame, DataFrame]:
     """(cells, times): column concentrations per (date, orbit, row, col), and each orbit's scan time.
 

@@ -7,21 +7,48 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.operators.models import ForestCascade
+
 
 def _folder(root: str, name: str, version: int) -> str:
     return f"{root.rstrip('/')}/{name}/{version}"
 
 
+def _save_signature(folder: str, example: DataFrame) -> None:
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(example.schema.fields)]
+    table = example.sparkSession.createDataFrame(rows, "position int, name string, type string")
+    table.coalesce(1).write.json(f"{folder}/signature")
+
+
 def save_model(model: PipelineModel, root: str, name: str, example: DataFrame, version: int = 1) -> str:
     """Save the model and, beside it, the schema of its input (columns and types of ``example``)."""
     folder = _folder(root, name, version)
     model.write().save(f"{folder}/model")
-    spark = example.sparkSession
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(example.schema.fields)]
-    spark.createDataFrame(rows, "position int, name string, type string").coalesce(1).write.json(f"{folder}/signature")
+    _save_signature(folder, example)
+    return folder
+
+
+def save_cascade(cascade: ForestCascade, root: str, name: str, example: DataFrame, version: int = 1) -> str:
+    """Every forest of every layer, and their number, beside the input schema."""
+    folder = _folder(root, name, version)
+    for depth, forests in enumerate(cascade.layers):
+        for i, forest in enumerate(forests):
+            forest.write().save(f"{folder}/layers/{depth}/{i}")
+    shape = [(depth, len(forests)) for depth, forests in enumerate(cascade.layers)]
+    example.sparkSession.createDataFrame(shape, "layer int, forests int").coalesce(1).write.json(f"{folder}/shape")
+    _save_signature(folder, example)
     return folder
 
 
+def load_cascade(spark: SparkSession, root: str, name: str, version: int = 1) -> ForestCascade:
+    folder = _folder(root, name, version)
+    shape = spark.read.schema("layer int, forests int").json(f"{folder}/shape").orderBy("layer").collect()
+    layers = tuple(
+        tuple(PipelineModel.load(f"{folder}/layers/{r['layer']}/{i}") for i in range(r["forests"])) for r in shape
+    )
+    return ForestCascade(tuple(load_signature(spark, root, name, version).names), layers)
+
+
 def load_model(root: str, name: str, version: int = 1) -> PipelineModel:
     return PipelineModel.load(f"{_folder(root, name, version)}/model")
 
