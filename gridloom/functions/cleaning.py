@@ -14,6 +14,7 @@ NODATA = 9.96921e36
 QA_THRESHOLD = 0.5
 PRODUCT_LINE_SWITCH = dt.date(2022, 7, 26)
 PACKAGED_BEFORE = dt.date(2019, 1, 1)
+FEW_FROM, FEW_TO, MEDIUM_TO = 2, 20, 100
 SIZE_CLASSES = {1: "small", 0: "medium", -1: "large"}
 
 
@@ -69,7 +70,7 @@ def class_name(class_id: Column) -> Column:
 
 def frequency_class(frequency: Column) -> Column:
     return (
-        F.when(frequency > 100, "many").when(frequency > 20, "medium").when(frequency >= 2, "few").otherwise("other")
+        F.when(frequency > MEDIUM_TO, "many").when(frequency > FEW_TO, "medium").when(frequency >= FEW_FROM, "few").otherwise("other")
     )
 
 

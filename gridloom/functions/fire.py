@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gridloom.functions.temporal import SECONDS_PER_DAY, cyclic_sin, hhmm_seconds
+from gridloom.functions.temporal import DEGREES_PER_TURN, SECONDS_PER_DAY, cyclic_sin, hhmm_seconds
 from gridloom.session import clean
 
 # Channel name -> band number, in feature order.
@@ -32,10 +32,15 @@ TILE_SCORES = {
     "zscore-seviri_ir108": 9,
     "zscore-seviri_ir12": 10,
 }
-# Label codes and the scales and missing codes of the static layers.
+# Label codes, band scales.
 LABEL_NODATA, LABEL_FIRE_ABOVE, LABEL_STRICT_MAX = 32767, 7, 9
 CHANNEL_SCALE, HRV_SCALE, ZERO_DENOMINATOR = 1000.0, 255.0, 0.001
-ELEVATION_MISSING, ASPECT_MISSING, TPI_MISSING, COVER_MISSING, HEIGHT_MISSING = -9999, -32768, -99999, -32768, 3.4e38
+# Missing code of each static layer (None where missing is NaN), its shift and its scale.
+STATIC_CODES = {
+    "elevation": -9999, "slope": None, "aspect": -32768, "tpi": -99999, "fuel": None, "cover": -32768, "height": 3.4e38,
+}
+STATIC_SHIFTS = {"tpi": 18.0}
+STATIC_SCALES = {"elevation": 2977.0, "slope": 40.0, "tpi": 32.0, "fuel": 10.0, "cover": 1.0, "height": 33.0}
 
 
 def fire_label(v: Column, strict: bool = False) -> Column:
@@ -61,28 +66,17 @@ def band_difference(a: Column, b: Column) -> Column:
     return channel(a) - channel(b)
 
 
-def _zero_if(missing: Column, v: Column) -> Column:
-    return F.when(missing, F.lit(0.0)).otherwise(v)
-
-
 def static_feature(name: str, raw: Column) -> Column:
-    """Scaled static layer; missing codes become 0 first."""
-    v, absent = clean(raw), clean(raw).isNull()
-    if name == "elevation":
-        return _zero_if(raw == ELEVATION_MISSING, raw) / 2977.0
-    if name == "slope":
-        return _zero_if(absent, v) / 40.0
+    """Scaled static layer; missing codes become 0 before shifting and scaling. Aspect is a sine."""
+    code = STATIC_CODES[name]
+    if code is None:
+        absent = clean(raw).isNull()
+    else:  # codes are compared in the layers' own single precision
+        absent = raw.cast("float") == F.lit(code).cast("float")
+    value = F.when(absent, F.lit(0.0)).otherwise(raw)
     if name == "aspect":
-        return cyclic_sin(_zero_if(raw == ASPECT_MISSING, raw), 360)
-    if name == "tpi":
-        return (_zero_if(raw == TPI_MISSING, raw) + 18) / 32.0
-    if name == "fuel":
-        return _zero_if(absent, v) / 10.0
-    if name == "cover":
-        return _zero_if(raw == COVER_MISSING, raw)
-    if name == "height":
-        return _zero_if(raw.cast("float") == F.lit(HEIGHT_MISSING).cast("float"), raw) / 33.0
-    raise ValueError(f"unknown static layer {name!r}")
+        return cyclic_sin(value, DEGREES_PER_TURN)
+    return (value + F.lit(STATIC_SHIFTS.get(name, 0.0))) / F.lit(STATIC_SCALES[name])
 
 
 def time_feature(label_file: Column) -> Column:
@@ -106,7 +100,7 @@ def feature_builders(band: str = "b") -> dict[str, Column]:
     built["seviri_ir39-seviri_ir108"] = band_difference(b(4), b(9))
     built.update({name: F.col(f"`{name}`") for name in TILE_SCORES})
     built["time"] = time_feature(F.col("label_file"))
-    for layer in ("elevation", "slope", "aspect", "tpi", "fuel", "cover", "height"):
+    for layer in STATIC_CODES:
         built[layer] = static_feature(layer, F.col(layer))
     return built
 
