@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from gridloom.operators import metrics, relevance
 from gridloom.operators.select import arg_best

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridloom.functions import cleaning, fire, grid, physics, temporal
+from gridloom.functions import fire, grid, physics, temporal
 from workloads import tables as t
 from workloads.align import frequency_classes
 from workloads.registry import Registry

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from gridloom.operators import quantiles, split
 from workloads import tables as t
 from workloads.registry import Registry
