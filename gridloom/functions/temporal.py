@@ -27,6 +27,11 @@ LAYER_PATHS = {
 DATE_PATTERNS = {"ymd": "yyyyMMdd", "year": "yyyy", "month": "MM", "day": "dd", "doy": "DDD"}
 
 
+def moment(at: dt.datetime) -> Column:
+    """A wall-clock time as a literal that does not depend on the time zone of session or driver."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def month_of(date: Column) -> Column:
     return F.month(F.to_date(date))
 
@@ -69,5 +74,10 @@ def hhmm_seconds(token: Column) -> Column:
     return hours * 3600 + minutes * 60 + 60
 
 
+def hour_start(ts: Column) -> Column:
+    """The full hour at or before a time, as wall-clock time."""
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts))
+
+
 def cyclic_sin(x: Column, period: float) -> Column:
     return F.sin(F.lit(2.0) * F.pi() * x / F.lit(float(period)))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.grid import Grid, cell_of, in_box
 from gridloom.functions.physics import haversine_m
+from gridloom.functions.temporal import hour_start
 from gridloom.operators.select import arg_best
 from gridloom.session import BROADCAST_ROWS, clean, is_small, lookup_join, settle
 
@@ -86,7 +87,7 @@ def hourly_bracket_interp(
     observation without both hours gets NULL.
     """
     brackets = bracket_hours(hourly, keys, hour, value)
-    timed = obs.withColumn(hour, F.date_trunc("hour", F.col(ts)).cast(hourly.schema[hour].dataType))
+    timed = obs.withColumn(hour, hour_start(F.col(ts)).cast(hourly.schema[hour].dataType))
     joined = lookup_join(timed, brackets, [*keys, hour])
     minute = F.minute(F.col(ts)).cast("double")
     mixed = (F.col("v1") * minute + F.col("v0") * (F.lit(60.0) - minute)) / F.lit(60.0)
@@ -111,7 +112,7 @@ def sample_fields(
     fy = _position(F.col("row"), src.y0, src.dy, dst.y0, dst.dy, -1.0)
     fx = _position(F.col("col"), src.x0, src.dx, dst.x0, dst.dx, 1.0)
     i, j, minute = F.floor(fy).cast("int"), F.floor(fx).cast("int"), F.minute(F.col(ts)).cast("double")
-    start = F.date_trunc("hour", F.col(ts)).cast(fields.schema[hour].dataType)
+    start = hour_start(F.col(ts)).cast(fields.schema[hour].dataType)
 
     def options(first: Column, at: Column, names: tuple[str, str]) -> Column:
         share = at - first

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.functions.temporal import moment
 from gridloom.session import clean
 
 
@@ -83,7 +84,7 @@ def with_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 def select_date(df: DataFrame, ts: str, day: dt.date) -> DataFrame:
     """Rows of one day, as a range on the timestamp itself so that file statistics can skip data."""
     start = dt.datetime.combine(day, dt.time())
-    return df.filter((_c(ts) >= F.lit(start)) & (_c(ts) < F.lit(start + dt.timedelta(days=1))))
+    return df.filter((_c(ts) >= moment(start)) & (_c(ts) < moment(start + dt.timedelta(days=1))))
 
 
 def stack_rows(*tables: DataFrame) -> DataFrame:

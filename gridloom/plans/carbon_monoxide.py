@@ -140,7 +140,7 @@ def orbit_features(
     times = settle(times)
     timed = settle(lookup_join(cells, times, by, settled=True))
     # only the hours around scan times are read on
-    start = F.date_trunc("hour", F.col("ts")).cast(weather.schema["hour"].dataType)
+    start = temporal.hour_start(F.col("ts")).cast(weather.schema["hour"].dataType)
     hours = times.select(F.explode(F.array(start, start + F.expr("interval 1 hour"))).alias("hour")).distinct()
     near = lookup_join(weather, hours, ["hour"], "left_semi")
     fields = align.sample_fields(timed, near, VARIABLES, weather_grid, grid, by, nodata=WEATHER_NODATA)

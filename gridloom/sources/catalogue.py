@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.grid import boxes_overlap, name_token
-from gridloom.functions.temporal import seconds_of_day
+from gridloom.functions.temporal import moment, seconds_of_day
 
 # Daylight window of a search day, wanted processing version and file prefix.
 DAY_FROM, DAY_TO = dt.time(5, 0, 0), dt.time(16, 59, 59)
@@ -35,7 +35,7 @@ def catalogue_search(
     name = name_like if isinstance(name_like, Column) else F.lit(name_like)
     found = catalogue.filter(
         # comparisons with literals, which reach the file scan
-        (F.col("start") > F.lit(opens)) & (F.col("end") < F.lit(closes))
+        (F.col("start") > moment(opens)) & (F.col("end") < moment(closes))
         & F.contains(F.col("name"), name)
         & (F.to_date(F.col("start")) == F.to_date(F.col("end")))
         & (seconds_of_day(F.col("start")) > _seconds(DAY_FROM))
@@ -48,7 +48,7 @@ def catalogue_search(
 
 def window_search(catalogue: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
     """Products of an explicit time range, both ends included."""
-    return catalogue.filter((F.col("start") >= F.lit(start)) & (F.col("end") <= F.lit(end)))
+    return catalogue.filter((F.col("start") >= moment(start)) & (F.col("end") <= moment(end)))
 
 
 def product_filter(products: DataFrame, version: str = VERSION, prefix: str = FILE_PREFIX) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.cleaning import frequency_class
 from gridloom.functions.grid import REGION, TARGET_STEP, Grid
+from gridloom.functions.temporal import hour_start
 from gridloom.operators import align, metrics, scaling
 from workloads import tables as t
 from workloads.registry import Registry
@@ -66,7 +67,7 @@ def j4(spark, d):
 )
 def j5(spark, d):
     events = t.table(spark, d, "events").select("event_id", "event_type", "ts", "value")
-    hourly = events.groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(F.avg("value").alias("value"))
+    hourly = events.groupBy("event_type", hour_start(F.col("ts")).alias("hour")).agg(F.avg("value").alias("value"))
     found = align.hourly_bracket_interp(events.drop("value"), hourly, keys=["event_type"])
     return found.select("event_id", t.r6(F.col("value_at"), 9).alias("value_at"))
 
