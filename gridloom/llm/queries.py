@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 
 def windows(size: str) -> str:
@@ -39,7 +39,7 @@ def windows(size: str) -> str:
 
 
 REPETITION_SQL = rf"""
-WITH t AS (SELECT row_number() OVER () AS doc, doc_id, w, len(w) AS n, list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+WITH t AS (SELECT row_number() OVER () AS doc, doc_id, w, len(w) AS n, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
     len(coalesce(text, '')) - len(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS n_symbols
   FROM (SELECT *, {WORDS} AS w FROM documents)),
 r AS ({windows("8")}),
