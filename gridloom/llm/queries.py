@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import repetition, simhash
+from gridloom.llm import packing, pfor, repetition, simhash
+from gridloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +65,15 @@ def op8(spark, d):
 def op6(spark, d):
     found = simhash.near_duplicates(table(spark, d, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("_print")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op2_best_fit_packing")
+def op2(spark, d):
+    return packing.pack(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op9_token_files")
+def op9(spark, d):
+    uri = fresh_path(spark, "tokens")
+    pfor.write_tokens(table(spark, d, "documents"), uri, public_tokenizers.path("word_bpe_49k.json"))
+    return pfor.read_tokens(spark, uri)
