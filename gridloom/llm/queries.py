@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import packing, pfor, repetition, simhash
+from gridloom.llm import decontaminate, packing, pfor, repetition, simhash
 from gridloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,20 @@ def op9(spark, d):
     uri = fresh_path(spark, "tokens")
     pfor.write_tokens(table(spark, d, "documents"), uri, public_tokenizers.path("word_bpe_49k.json"))
     return pfor.read_tokens(spark, uri)
+
+
+def shingle_sql(name: str, key: str) -> str:
+    words = rf"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+    return f"""SELECT DISTINCT {key}, array_to_string(list_slice(w, s, s + 4), ' ') AS h FROM (
+      SELECT {key}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM (SELECT {key}, {words} AS w FROM {name}) WHERE len(w) > 0)"""
+
+
+CONTAINED_SQL = f"""
+WITH d AS ({shingle_sql("documents", "doc_id")}), b AS ({shingle_sql("benchmark", "item_id")}), s AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id),
+f AS (SELECT doc_id, item_id, count(*) AS n_found FROM d JOIN b USING (h) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_found, n_shingles FROM f JOIN s USING (item_id) WHERE 10 * n_found >= 8 * n_shingles"""
+
+
+@query("op10_decontamination", CONTAINED_SQL)
+def op10(spark, d):
+    return decontaminate.contained(table(spark, d, "documents"), table(spark, d, "benchmark"))

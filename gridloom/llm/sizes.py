@@ -1,0 +1,15 @@
+"""Broadcasts behind a check of size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A table may be sent to every executor up to so many rows of two or three numbers each (about 64 MB).
+NARROW_ROWS = 1_000_000
+
+
+def sent_if_small(settled: DataFrame, rows: int = NARROW_ROWS) -> DataFrame:
+    """``settled`` (computed already, a few numbers a row) with a broadcast hint if it has at most ``rows``
+    rows; otherwise as it is, for a shuffled join that adaptive execution may split."""
+    return F.broadcast(settled) if settled.limit(rows + 1).count() <= rows else settled
