@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontaminate, packing, pfor, repetition, simhash
+from gridloom.llm import decontaminate, html_extract, packing, pfor, repetition, simhash
 from gridloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,8 @@ SELECT doc_id, item_id, n_found, n_shingles FROM f JOIN s USING (item_id) WHERE
 @query("op10_decontamination", CONTAINED_SQL)
 def op10(spark, d):
     return decontaminate.contained(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query("op1_html_extraction")
+def op1(spark, d):
+    return html_extract.extract(table(spark, d, "pages"), keep=["page_id", "url"])
