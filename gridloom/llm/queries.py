@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontaminate, html_extract, packing, pfor, repetition, simhash
+from gridloom.llm import decontaminate, html_extract, packing, pfor, quotes, repetition, simhash
 from gridloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,25 @@ def op10(spark, d):
 @query("op1_html_extraction")
 def op1(spark, d):
     return html_extract.extract(table(spark, d, "pages"), keep=["page_id", "url"])
+
+
+QUOTES_SQL = r"""
+WITH RECURSIVE m AS (SELECT row_number() OVER () AS id, * FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
+x AS (SELECT id, conv_id, turn, s, line, regexp_extract(line, '^((?:>[ \t]?)+)', 1) AS marks
+  FROM (SELECT id, conv_id, turn, unnest(l) AS line, unnest(range(len(l))) AS s FROM (SELECT id, conv_id, turn, string_split(coalesce(text, ''), chr(10)) AS l FROM m))),
+y AS (SELECT id, conv_id, turn, s, len(regexp_replace(marks, '[^>]', '', 'g')) AS level, substr(line, len(marks) + 1) AS body,
+  trim(regexp_replace(lower(substr(line, len(marks) + 1)), '[\x20\x09-\x0D]+', ' ', 'g')) AS plain FROM x),
+t AS (SELECT id, coalesce(string_agg(body, chr(10) ORDER BY s) FILTER (level = 0), '') AS text, count(*) FILTER (level > 0) AS n_quoted, max(level) AS max_level FROM y GROUP BY id),
+p AS (SELECT a.conv_id, a.turn, a.plain, max(b.turn) AS source FROM (SELECT DISTINCT conv_id, turn, plain FROM y WHERE level = 1 AND plain <> '') a
+  JOIN y b ON a.conv_id = b.conv_id AND a.plain = b.plain AND b.level = 0 AND b.turn < a.turn GROUP BY ALL),
+r AS (SELECT conv_id, turn, arg_max(source, row(n, source)) AS reply_to FROM (SELECT conv_id, turn, source, count(*) AS n FROM p GROUP BY ALL) GROUP BY ALL),
+up AS (SELECT conv_id, turn, reply_to AS thread, CAST(1 AS BIGINT) AS depth FROM r
+  UNION ALL SELECT up.conv_id, up.turn, r.reply_to, depth + 1 FROM up JOIN r ON up.conv_id = r.conv_id AND up.thread = r.turn),
+top AS (SELECT conv_id, turn, arg_max(thread, depth) AS thread, max(depth) AS depth FROM up GROUP BY ALL)
+SELECT m.conv_id, m.turn, m.role, t.text, n_quoted, CAST(max_level AS BIGINT) AS max_level, reply_to, coalesce(top.thread, m.turn) AS thread, coalesce(top.depth, 0) AS depth
+FROM m JOIN t USING (id) LEFT JOIN r ON m.conv_id = r.conv_id AND m.turn = r.turn LEFT JOIN top ON m.conv_id = top.conv_id AND m.turn = top.turn"""
+
+
+@query("op7_quotation_linking", QUOTES_SQL)
+def op7(spark, d):
+    return quotes.link_quotes(table(spark, d, "conversations"))
