@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import decontaminate, html_extract, packing, pfor, quotes, repetition, simhash
+from gridloom.llm import ctw, decontaminate, html_extract, packing, pfor, quotes, repetition, simhash
 from gridloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,8 @@ FROM m JOIN t USING (id) LEFT JOIN r ON m.conv_id = r.conv_id AND m.turn = r.tur
 @query("op7_quotation_linking", QUOTES_SQL)
 def op7(spark, d):
     return quotes.link_quotes(table(spark, d, "conversations"))
+
+
+@query("op5_context_tree_scores")
+def op5(spark, d):
+    return ctw.context_tree_scores(table(spark, d, "documents"), ctw.told_apart("doc_id", 5, 1))
