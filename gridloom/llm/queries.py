@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import ctw, decontaminate, html_extract, packing, pfor, quotes, repetition, simhash
+from gridloom.llm import ctw, decontaminate, html_extract, packing, pfor, quality_cnn, quotes, repetition, simhash
 from gridloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,11 @@ def op7(spark, d):
 @query("op5_context_tree_scores")
 def op5(spark, d):
     return ctw.context_tree_scores(table(spark, d, "documents"), ctw.told_apart("doc_id", 5, 1))
+
+
+@query("op4_quality_classifier")
+def op4(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    network = quality_cnn.fit(docs, table(spark, d, "labels"), ~ctw.told_apart("doc_id", 4, 2))
+    scored = quality_cnn.score(docs.withColumn("held_out", ctw.told_apart("doc_id", 4, 2)), network, keep=["doc_id", "held_out"])
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
