@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import ctw, decontaminate, html_extract, packing, pfor, quality_cnn, quotes, repetition, simhash
+from gridloom.llm import ctw, decontaminate, html_extract, packing, paragraph_dedup, pfor, quality_cnn, quotes, repetition, simhash
 from gridloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,9 @@ def op4(spark, d):
     network = quality_cnn.fit(docs, table(spark, d, "labels"), ~ctw.told_apart("doc_id", 4, 2))
     scored = quality_cnn.score(docs.withColumn("held_out", ctw.told_apart("doc_id", 4, 2)), network, keep=["doc_id", "held_out"])
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query("op3_substring_dedup")
+def op3(spark, d):
+    found = paragraph_dedup.stretches(paragraph_dedup.repeats(table(spark, d, "documents")))
+    return found.select(F.col("_key").alias("doc_id"), "start", "stop", "class_id", "kept_in")

@@ -10,6 +10,10 @@ import pyarrow as pa
 # The bytes that end a word (space, tab, line feed, vertical tab, form feed, carriage return).
 WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
+# Odd multipliers; any would do, all runs need the same.
+MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
+MIXERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
+
 IS_WHITE = np.zeros(256, dtype=bool)
 IS_WHITE[list(WHITE)] = True
 
@@ -103,3 +107,15 @@ def numbered(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, pa.Array
     array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(data))])
     encoded = array.dictionary_encode()
     return encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * MIXERS[0]
+    x = (x ^ (x >> np.uint64(27))) * MIXERS[1]
+    return x ^ (x >> np.uint64(31))
+
+
+def powers(n: int) -> np.ndarray:
+    out = np.full(n, MULTIPLY, dtype=np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out) if n else out
