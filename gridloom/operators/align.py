@@ -11,10 +11,9 @@ from gridloom.functions.grid import Grid, cell_of, in_box
 from gridloom.functions.physics import haversine_m
 from gridloom.functions.temporal import hour_start
 from gridloom.operators.select import arg_best
-from gridloom.session import BROADCAST_ROWS, clean, is_small, lookup_join, settle
+from gridloom.session import clean, lookup_join
 
 CELL = ["row", "col"]
-COMMON_VALUES = 1000
 
 
 def _columns_of(name: str, kinds: Sequence[object], value: Column) -> list[Column]:
@@ -178,26 +177,10 @@ def nearest_pixel(
     return arg_best(measured, "distance_m", [row, col], "min", by)
 
 
-def lookup_frequency(
-    df: DataFrame, frequencies: DataFrame, value: str, count: str = "count", out: str = "frequency", max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """The count of each row's value, 0 when the value is not in the table.
-
-    A table too large to broadcast is split: values that hold at least a thousandth of all counts (so at
-    most a thousand values) are broadcast, and rows with them, or with no value, are not shuffled; only
-    rows with rarer values are.
-    """
+def lookup_frequency(df: DataFrame, frequencies: DataFrame, value: str, count: str = "count", out: str = "frequency") -> DataFrame:
+    """The count of each row's value, 0 when the value is not in the table or missing."""
     table = frequencies.select(F.col(f"`{value}`"), F.col(f"`{count}`").alias(out)).filter(F.col(f"`{value}`").isNotNull())
-    table = settle(table)
-    if is_small(table, max_rows):
-        found = lookup_join(df, table, [value], settled=True)
-    else:
-        common = table.filter(F.col(out) * COMMON_VALUES >= table.agg(F.sum(out)).scalar())
-        tagged = lookup_join(df, common, [value])
-        easy = F.col(out).isNotNull() | F.col(f"`{value}`").isNull()
-        rest = tagged.filter(~easy).drop(out).join(table, value, "left")
-        found = tagged.filter(easy).unionByName(rest)
-    return found.withColumn(out, F.coalesce(F.col(out), F.lit(0)))
+    return lookup_join(df, table, [value]).withColumn(out, F.coalesce(F.col(out), F.lit(0)))
 
 
 def bind_columns(df: DataFrame, first: Mapping[str, Column], then: Sequence[str]) -> DataFrame:

@@ -26,7 +26,8 @@ def _c(name: str) -> Column:
 
 def value_counts(df: DataFrame, value: str) -> DataFrame:
     """Count per distinct value; missing values are left out."""
-    return df.filter(_c(value).isNotNull()).groupBy(_c(value)).agg(F.count("*").alias("count"))
+    known = clean(_c(value)) if df.schema[value].dataType.typeName() in ("double", "float") else _c(value)
+    return df.filter(known.isNotNull()).groupBy(_c(value)).agg(F.count("*").alias("count"))
 
 
 def category_distribution(df: DataFrame, category: str) -> DataFrame:

@@ -4,157 +4,148 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.session import ONE_TASK_ROWS, clean, lookup_join, settle
+from gridloom.session import clean, lookup_join, settle
 
-MAX_BUCKETS = 4096
-MD5_PREFIX = 4  # hex digits; 65,536 buckets of the md5 order
+BUCKETS, STEPS = 256, 4096
 
+# Rows that share an md5 prefix, at most about: the prefix grows with the table.
+PREFIX_ROWS = 100_000
 
-def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """by..., name, value: the non-missing values of several columns under one another."""
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("name"), clean(F.col(f"`{c}`").cast("double")).alias("value")) for c in columns])
-    )
-    return df.select(*by, cells.alias("_c")).select(*by, "_c.name", "_c.value").filter(F.col("value").isNotNull())
+# Hex digits by which the rows of a group are counted: as many counts as rows to rank, at 10 ** 12 rows.
+DIGITS = 5
 
 
-def _bucketed(df: DataFrame, columns: Sequence[str], by: Sequence[str], buckets: int) -> DataFrame:
-    """by..., name, bucket, value with buckets of about equal size that follow the value order.
+def _bucketed(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """by..., name, bucket, value: the non-missing values of the columns under one another, in BUCKETS buckets that
+    follow the value order.
 
-    Only the balance depends on the discretizer's approximate splits: counting and ranking are exact.
+    Only the balance depends on the approximate quantiles between the buckets: counting and ranking are exact.
     """
     doubles = df.select(*by, *[clean(F.col(f"`{c}`").cast("double")).alias(f"_v{i}") for i, c in enumerate(columns)])
-    outs = [f"_b{i}" for i in range(len(columns))]
-    model = QuantileDiscretizer(
-        inputCols=[f"_v{i}" for i in range(len(columns))], outputCols=outs, numBucketsArray=[buckets] * len(columns),
-        relativeError=1.0 / (2 * buckets), handleInvalid="keep",
-    ).fit(doubles)
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(c).alias("name"), F.col(o).cast("int").alias("bucket"), F.col(f"_v{i}").alias("value"))
-                for i, (c, o) in enumerate(zip(columns, outs))
-            ]
+    names, outs = [f"_v{i}" for i in range(len(columns))], [f"_b{i}" for i in range(len(columns))]
+    infinite = float("inf")
+    bounds = doubles.select(*names).approxQuantile(names, [k / BUCKETS for k in range(1, BUCKETS)], 1.0 / (4 * BUCKETS))
+    splits = [[-infinite, *sorted({x for x in found if abs(x) != infinite} or {0.0}), infinite] for found in bounds]
+    marked = Bucketizer(splitsArray=splits, inputCols=names, outputCols=outs, handleInvalid="keep").transform(doubles)
+    cells = [F.struct(F.lit(c).alias("name"), F.col(o).cast("int").alias("bucket"), F.col(v).alias("value")) for c, o, v in zip(columns, outs, names)]
+    return marked.select(*by, F.explode(F.array(*cells)).alias("_c")).select(*by, "_c.*").filter(F.col("value").isNotNull())
+
+
+def _holding(parts: Column, rank: Column) -> Column:
+    """The part that holds a rank, and the number of values before it, from an ordered array of counted parts."""
+    none = F.struct(F.lit(0).cast("bigint").alias("before"), F.get(parts, F.lit(-1)).alias("part"), F.lit(0).cast("bigint").alias("total"))
+
+    def add(state: Column, part: Column) -> Column:
+        total = state["total"] + part["size"]
+        here = state["part"].isNull() & (rank < total)
+        return F.struct(
+            F.when(here, state["total"]).otherwise(state["before"]).alias("before"), F.when(here, part).otherwise(state["part"]).alias("part"), total.alias("total")
         )
-    )
-    marked = model.transform(doubles)
-    return marked.select(*by, cells.alias("_c")).select(*by, "_c.*").filter(F.col("value").isNotNull())
+
+    return F.aggregate(parts, none, add)
 
 
-def exact_percentiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
+def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """by..., name, n, q: linearly interpolated percentiles of each column (per group), exact at any size.
 
-    The values of a counted small table are sorted as arrays. A large table is cut into value-ordered buckets;
-    bucket counts say which few buckets hold the wanted ranks; only those are counted by value and
-    ranked. Rows are pre-aggregated by value, so repeated values cost one row each.
+    Values are counted in value-ordered buckets, and those buckets that hold a wanted rank are counted again
+    in equal steps of their range; only the steps that hold one are counted by value and ranked. So a task
+    never orders more than one step of one bucket, by distinct value. A column (of a group) without a value
+    has no row. An infinite value is an ordinary one at its end of the order.
     """
-    by, rows = list(by), df.count()
+    by = list(by)
     keys = [*by, "name"]
-    if rows <= one_task_rows:
-        ordered = _long(df, columns, by).groupBy(*keys).agg(F.sort_array(F.collect_list("value")).alias("_a"))
-        n, a = F.size("_a"), F.col("_a")
-
-        def interpolated(p: Column) -> Column:
-            at = p * (n - 1)
-            low, high = F.get(a, F.floor(at).cast("int")), F.get(a, F.ceil(at).cast("int"))
-            return low + (high - low) * (at - F.floor(at))
-
-        q = F.transform(F.array(*[F.lit(float(p)) for p in probs]), interpolated)
-        return ordered.select(*keys, n.cast("bigint").alias("n"), q.alias("q"))
-
-    buckets = min(MAX_BUCKETS, max(2, -(-rows // one_task_rows) * 4))
-    cells = _bucketed(df, columns, by, buckets)
-    sizes = settle(cells.groupBy(*keys, "bucket").agg(F.count("*").alias("size")))
-    before = F.sum("size").over(Window.partitionBy(*keys).orderBy("bucket")) - F.col("size")
-    total = F.sum("size").over(Window.partitionBy(*keys))
-    placed = sizes.select(*keys, "bucket", "size", before.alias("before"), total.alias("n"))
-
-    wanted = placed.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    cells = _bucketed(df, columns, by)
+    sizes = cells.groupBy(*keys, "bucket").agg(F.count("*").alias("size"), F.min("value").alias("low"), F.max("value").alias("high"))
+    parts = sizes.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bucket", "size", "low", "high"))).alias("_parts"), F.sum("size").alias("n"))
     at = F.col("p") * (F.col("n") - 1)
-    wanted = wanted.withColumn("rank", F.explode(F.array(F.floor(at), F.ceil(at))))
-    wanted = wanted.filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
-    wanted = settle(wanted.select(*keys, "bucket", "before", "n", "p", "rank").distinct())
-
-    hit_buckets = wanted.select(*keys, "bucket").distinct()  # at most two per probability and key
-    values = lookup_join(cells, hit_buckets, [*keys, "bucket"], "left_semi")
-    counted = values.groupBy(*keys, "bucket", "value").agg(F.count("*").alias("size"))
-    upto = F.sum("size").over(Window.partitionBy(*keys, "bucket").orderBy("value"))
-    counted = counted.withColumn("upto", upto)
-
-    sought = wanted.select(
-        *[F.col(k).alias(f"_w{i}") for i, k in enumerate(keys)], F.col("bucket").alias("_wb"), "before", "n", "p", "rank"
-    )
-    matched = F.col("bucket") == F.col("_wb")
-    for i, k in enumerate(keys):
-        matched = matched & F.col(k).eqNullSafe(F.col(f"_w{i}"))
-    found = counted.join(sought, matched).filter(
-        (F.col("rank") - F.col("before") < F.col("upto")) & (F.col("rank") - F.col("before") >= F.col("upto") - F.col("size"))
-    )
-    at, low = F.col("p") * (F.col("n") - 1), F.min("value")
-    share = F.first(at - F.floor(at))
-    pairs = found.groupBy(*keys, "n", "p").agg((low + (F.max("value") - low) * share).alias("value"))
+    wanted = parts.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    wanted = wanted.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))))
+    wanted = wanted.withColumn("_in", _holding(F.col("_parts"), F.col("rank")))
+    wanted = settle(wanted.select(*keys, "n", "p", "_in.part.bucket", "_in.part.low", "_in.part.high", (F.col("rank") - F.col("_in.before")).alias("rank")))
+
+    width = F.col("high") - F.col("low")
+    step = F.least(F.floor((F.col("value") - F.col("low")) / width * STEPS), F.lit(STEPS - 1)).cast("int")
+    hit = wanted.select(*keys, "bucket", "low", "high").distinct()  # at most two per probability and key
+    inner = lookup_join(cells, hit, [*keys, "bucket"], "inner")
+    finite = (width > 0) & (width < F.lit(float("inf")))
+    inner = inner.withColumn("step", F.when(finite, step).otherwise(F.lit(0))).drop("low", "high")
+    steps = inner.groupBy(*keys, "bucket", "step").agg(F.count("*").alias("size"))
+    parts = steps.groupBy(*keys, "bucket").agg(F.sort_array(F.collect_list(F.struct("step", "size"))).alias("_parts"))
+    wanted = lookup_join(wanted.drop("low", "high"), parts, [*keys, "bucket"], "inner").withColumn("_in", _holding(F.col("_parts"), F.col("rank")))
+    wanted = settle(wanted.select(*keys, "n", "p", "bucket", "_in.part.step", (F.col("rank") - F.col("_in.before")).alias("rank")))
+
+    place = [*keys, "bucket", "step"]
+    values = lookup_join(inner, wanted.select(*place).distinct(), place, "left_semi")
+    counted = values.groupBy(*place, "value").agg(F.count("*").alias("size"))
+    counted = counted.withColumn("before", F.sum("size").over(Window.partitionBy(*place).orderBy("value")) - F.col("size"))
+    found = lookup_join(wanted, counted, place, "inner").filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
+
+    low, high, share = F.min("value"), F.max("value"), F.first(at - F.floor(at))
+    between = F.when((high > low) & (share > 0), low + (high - low) * share).otherwise(low)
+    pairs = found.groupBy(*keys, "n", "p").agg(between.alias("value"))
     by_p = F.map_from_entries(F.collect_list(F.struct("p", "value")))  # one entry per probability
     picked = F.transform(F.array(*[F.lit(float(p)) for p in probs]), lambda p: F.element_at(F.col("_m"), p))
     return pairs.groupBy(*keys, "n").agg(by_p.alias("_m")).select(*keys, "n", picked.alias("q"))
 
 
-def percentile_row(df: DataFrame, columns: Sequence[str], probs: Sequence[float], **kw) -> DataFrame:
+def percentile_row(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
     """One row with an array of percentiles for each column, under the column's name."""
-    table = exact_percentiles(df, columns, probs, **kw)
+    table = exact_percentiles(df, columns, probs)
     return table.agg(*[F.max(F.when(F.col("name") == c, F.col("q"))).alias(c) for c in columns])
 
 
-def keys_at_ranks(df: DataFrame, key: str, ranks: Sequence[int], rows: int, one_task_rows: int = ONE_TASK_ROWS) -> list[object]:
-    """Values of a unique numeric key at the given 0-based ranks of its order (few ranks)."""
-    if rows <= one_task_rows:
-        bucketed = df.select(F.lit(0).alias("bucket"), F.col(key))
-    else:
-        buckets = min(MAX_BUCKETS, max(2, -(-rows // one_task_rows) * 4))
-        coarse = df.select(F.col(key), F.col(key).cast("double").alias("_x"))
-        model = QuantileDiscretizer(inputCol="_x", outputCol="_b", numBuckets=buckets, relativeError=1.0 / (2 * buckets))
-        bucketed = model.fit(coarse).transform(coarse).select(F.col("_b").cast("int").alias("bucket"), F.col(key))
-    sizes = [(r["bucket"], r["size"]) for r in bucketed.groupBy("bucket").agg(F.count("*").alias("size")).collect()]
-    before, starts = 0, {}
-    for bucket, size in sorted(sizes):  # at most MAX_BUCKETS counts
-        starts[bucket] = before
-        before += size
-    holding = {r: max(b for b, start in starts.items() if start <= r) for r in ranks}
-    in_bucket = F.row_number().over(Window.partitionBy("bucket").orderBy(key)) - 1
-    start_of = F.create_map(*[x for b in set(holding.values()) for x in (F.lit(b), F.lit(starts[b]))])
-    ranked = bucketed.filter(F.col("bucket").isin(list(set(holding.values()))))
-    ranked = ranked.withColumn("rank", in_bucket + F.element_at(start_of, F.col("bucket")))
-    found = {r["rank"]: r[key] for r in ranked.filter(F.col("rank").isin(list(ranks))).collect()}
-    return [found[r] for r in ranks]
-
-
 def md5_order(seed: int, key: str) -> Column:
     """Position of a row in the reproducible shuffle of ``seed``."""
     return F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
 
 
+def rows_at(rows: DataFrame, wanted: DataFrame, keys: list[str], key: str) -> DataFrame:
+    """The rows at wanted places of the md5 order of their group: ``wanted`` with ``_cut``, a struct of h and k.
+
+    ``rows`` has ``keys``, the md5 text ``_h`` and the unique ``key``; ``wanted`` has ``keys`` and ``take``, counted from
+    1. Groups are counted by prefix (a million counts at most), and only rows that share the prefix of a
+    wanted place are ranked: one in a million of the group.
+    """
+    wanted = wanted.withColumn("rank", F.col("take") - 1)
+    others, within = [c for c in wanted.columns if c not in (*keys, "rank")], [*keys, "_p"]
+    rows = rows.select(*keys, "_h", F.col(key).alias("_k"), F.substring("_h", 1, DIGITS).alias("_p"))
+    sizes = rows.groupBy(*within).agg(F.count("*").alias("size"))
+    sizes = sizes.withColumn("before", F.sum("size").over(Window.partitionBy(*keys).orderBy("_p")) - F.col("size"))
+    placed = lookup_join(wanted, sizes, keys, "inner").filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
+    wanted = settle(placed.select(*within, *others, (F.col("rank") - F.col("before")).alias("rank")))
+    near = lookup_join(rows, wanted.select(*within).distinct(), within, "left_semi")
+    nth = F.row_number().over(Window.partitionBy(*within).orderBy("_h", "_k")) - 1
+    found = lookup_join(near.withColumn("_nth", nth), wanted, within, "inner").filter("_nth = rank")
+    return found.select(*keys, *others, F.struct(F.col("_h").alias("h"), F.col("_k").alias("k")).alias("_cut"))
+
+
 def shuffled_rank(df: DataFrame, seed: int, key: str, out: str = "rank") -> DataFrame:
     """0-based global rank in the shuffle order.
 
-    md5 spreads rows evenly over its prefixes, so ranks are counted per prefix (at most 65,536 counts)
-    and completed by a sort inside each prefix: no task sees more than its share.
+    md5 spreads rows evenly over its prefixes, so ranks are counted per prefix and completed by a sort inside
+    each prefix. The prefix is as long as the number of rows asks for, so a task's share does not grow.
     """
-    marked = df.withColumn("_h", md5_order(seed, key)).withColumn("_p", F.substring("_h", 1, MD5_PREFIX))
-    sizes = settle(marked.groupBy("_p").agg(F.count("*").alias("size")))
-    # the running total of the counts: first within groups of prefixes, then over the 256 groups
-    group = F.substring("_p", 1, 2)
+    digits = 2
+    rows = df.count()
+    while rows > PREFIX_ROWS * 16**digits:
+        digits += 1
+    marked = df.withColumn("_h", md5_order(seed, key)).withColumn("_p", F.substring("_h", 1, digits))
+    sizes = marked.groupBy("_p").agg(F.count("*").alias("size"))
+    # the running total of the counts: first within groups of prefixes, then over the groups
+    half = digits // 2
+    group = F.substring("_p", 1, half)
     within = F.sum("size").over(Window.partitionBy(group).orderBy("_p")) - F.col("size")
     totals = sizes.groupBy(group.alias("_g")).agg(F.sum("size").alias("_t"))
     order = F.array_sort(F.collect_list(F.struct("_g", "_t")))
     one = totals.agg(order.alias("groups"))
     counted = sizes.select("_p", within.alias("_w"), one.scalar().alias("_groups"))
     earlier = F.aggregate(
-        F.filter(F.col("_groups"), lambda g: g["_g"] < F.substring(F.col("_p"), 1, 2)),
+        F.filter(F.col("_groups"), lambda g: g["_g"] < F.substring(F.col("_p"), 1, half)),
         F.lit(0).cast("bigint"), lambda total, g: total + g["_t"],
     )
     starts = counted.select("_p", (F.col("_w") + earlier).alias("_start"))

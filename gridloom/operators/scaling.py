@@ -85,9 +85,9 @@ def inverse_normal(p: Column) -> Column:
     return F.when(F.abs(q) <= 0.5 - TAIL, middle).otherwise(-F.signum(q) * tail)
 
 
-def fit_quantiles(train: DataFrame, columns: Sequence[str], landmarks: int = 100, **kw) -> DataFrame:
+def fit_quantiles(train: DataFrame, columns: Sequence[str], landmarks: int = 100) -> DataFrame:
     """One row: for each column its landmarks at equal probability steps."""
-    return percentile_row(train, columns, [k / (landmarks - 1) for k in range(landmarks)], **kw)
+    return percentile_row(train, columns, [k / (landmarks - 1) for k in range(landmarks)])
 
 
 def apply_quantile_normalize(df: DataFrame, fitted: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -100,7 +100,7 @@ def apply_quantile_normalize(df: DataFrame, fitted: DataFrame, columns: Sequence
     row = fitted.first()
     splits, tables, positions = [], [], []
     for c in columns:
-        q = list(row[c])
+        q = [x for x in (row[c] or [0.0]) if x not in (float("inf"), float("-inf"))] or [0.0]  # no value: nothing to place
         distinct = sorted(set(q))
         first, last = {v: i for i, v in reversed(list(enumerate(q)))}, {v: i for i, v in enumerate(q)}
         tables.append((distinct, [first[v] for v in distinct], [last[v] for v in distinct], len(q) - 1))

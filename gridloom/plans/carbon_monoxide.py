@@ -138,7 +138,7 @@ def orbit_features(
     by = ["date", "orbit"]
     cells, times = grid_orbits(swath, grid)
     times = settle(times)
-    timed = settle(lookup_join(cells, times, by, settled=True))
+    timed = settle(lookup_join(cells, times, by))
     # only the hours around scan times are read on
     start = temporal.hour_start(F.col("ts")).cast(weather.schema["hour"].dataType)
     hours = times.select(F.explode(F.array(start, start + F.expr("interval 1 hour"))).alias("hour")).distinct()

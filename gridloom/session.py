@@ -1,19 +1,13 @@
-"""What every operator needs from the session: a checkpoint folder, settled tables, checked broadcasts."""
+"""What every operator needs from the session: a checkpoint folder, settled tables, null-safe joins."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A lookup table is broadcast only when it has at most this many (narrow) rows.
-BROADCAST_ROWS = 200_000
-
-# Row count up to which one task may sort all values of a column.
-ONE_TASK_ROWS = 1_000_000
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a local one is made only on a local master."""
@@ -42,36 +36,22 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_small(settled: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a settled table may be broadcast: its rows are counted where they lie."""
-    return settled.count() <= max_rows
-
-
-def lookup_join(
-    df: DataFrame,
-    table: DataFrame,
-    on: list[str],
-    how: str = "left",
-    max_rows: int = BROADCAST_ROWS,
-    settled: bool = False,
-) -> DataFrame:
+def lookup_join(df: DataFrame, table: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a per-key table (unique on ``on``) to a large ``df``; NULL keys match NULL keys.
 
-    The table is settled (unless the caller says it is) and its rows are counted. A small one is broadcast, so ``df`` is neither
-    shuffled nor skewed. A large one is joined by shuffle, where adaptive execution splits skewed
-    partitions of ``df``.
+    It is a plain join: adaptive execution broadcasts the table if it turns out small, and splits skewed
+    partitions of ``df`` if it does not.
     """
-    table = table if settled else settle(table)
     renamed = table.select(
         *[F.col(f"`{k}`").alias(f"_key{i}") for i, k in enumerate(on)],
         *[F.col(f"`{c}`") for c in table.columns if c not in on],
     )
+    left, right = df.alias("_df"), renamed.alias("_table")
     matched = None
     for i, k in enumerate(on):
-        same = df[f"`{k}`"].eqNullSafe(renamed[f"_key{i}"])
+        same = F.col(f"_df.`{k}`").eqNullSafe(F.col(f"_table._key{i}"))
         matched = same if matched is None else matched & same
-    side = F.broadcast(renamed) if is_small(table, max_rows) else renamed
-    joined = df.join(side, matched, how)
+    joined = left.join(right, matched, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_key{i}" for i in range(len(on))])
 
 
@@ -92,5 +72,8 @@ def clean(c: Column | str) -> Column:
 
 
 def with_row_key(df: DataFrame, name: str = "row_id") -> DataFrame:
-    """A unique number per row for tables that have no key, settled so that it stays the same."""
-    return settle(df.withColumn(name, F.monotonically_increasing_id()))
+    """A number per row for tables that have no key, made from the row itself: a hash of all its columns, and
+    among equal rows their count. So it does not change with the files, their order or the cluster."""
+    hashed = df.withColumn("_h", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    twin = F.row_number().over(Window.partitionBy("_h").orderBy(*[F.col(f"`{c}`") for c in df.columns])) - 1
+    return hashed.withColumn(name, F.when(twin == 0, F.col("_h")).otherwise(F.xxhash64("_h", twin))).drop("_h")

@@ -35,13 +35,12 @@ def test_inverse_normal(spark):
     assert got == pytest.approx([NormalDist().inv_cdf(p) for p in ps], rel=2e-8, abs=2e-8)
 
 
-@pytest.mark.parametrize("limit", [100_000, 200])
-def test_quantile_scores_equal_two_sided_interpolation(spark, limit):
+def test_quantile_scores_equal_two_sided_interpolation(spark):
     draw = np.random.default_rng(7)
     x = np.concatenate([np.zeros(300), draw.lognormal(0, 1, 500)])
     new = np.concatenate([x, [-1.0, 0.0, 1e9, float(np.median(x))]])
     frame = spark.createDataFrame([(float(v), 4.0) for v in x], "x double, same double")
-    fitted = scaling.fit_quantiles(frame, ["x", "same"], one_task_rows=limit)
+    fitted = scaling.fit_quantiles(frame, ["x", "same"])
     other = spark.createDataFrame([(i, float(v), 4.0) for i, v in enumerate(new)] + [(len(new), None, None)], "i int, x double, same double")
     got = scaling.apply_quantile_normalize(other, fitted, ["x", "same"]).orderBy("i").collect()
     steps = np.linspace(0, 1, 100)
@@ -54,23 +53,25 @@ def test_quantile_scores_equal_two_sided_interpolation(spark, limit):
     assert all(r["same"] == pytest.approx(NormalDist().inv_cdf(1e-7), rel=1e-6) for r in got[:-1])
 
 
-def test_density_weights(spark):
-    draw = np.random.default_rng(3)
-    y = np.round(draw.gamma(2.0, 3.0, 600), 2)
-    df = spark.createDataFrame([(float(v),) for v in y] + [(None,)], "y double")
-    got = weights.density_weights(df, "y", {"w0": 0.0, "w5": 0.5, "w10": 1.0}).collect()
-    assert tuple(got[-1])[1:] == (None, None, None)
-    w = np.array([[r["w0"], r["w5"], r["w10"]] for r in got[:-1]])
-    assert np.allclose(w.mean(axis=0), 1.0) and np.all(w[:, 0] == 1.0) and np.all(w > 0)
-    sd, (q1, q3) = y.std(), np.percentile(y, [25, 75])
-    h = 0.9 * min(sd, (q3 - q1) / 1.34) * len(y) ** -0.2
-    grid = np.linspace(y.min(), y.max(), 512)
-    step = grid[1] - grid[0]
-    k, c = np.unique(np.floor((y - y.min()) / step + 0.5), return_counts=True)
-    d = np.array([(c * np.exp(-0.5 * ((i - k) * step / h) ** 2)).sum() for i in range(512)])
-    p = np.interp(y, grid, d)
-    raw = np.maximum(1 - 0.5 * (p - p.min()) / (p.max() - p.min()), 1e-6)
-    assert np.allclose(w[:, 1], raw / raw.mean(), rtol=1e-6)
+def kernel_sum_weights(y, alpha):
+    """Weights from the sum of kernels over all values, without a grid."""
+    y = np.asarray(y)
+    spread = (np.percentile(y, 75) - np.percentile(y, 25)) / 1.34
+    h = 0.9 * (min(y.std(), spread) if spread > 0 else y.std()) * len(y) ** -0.2
+    p = np.array([np.exp(-0.5 * ((v - y) / h) ** 2).sum() for v in y])
+    w = np.maximum(1 - alpha * (p - p.min()) / (p.max() - p.min()), weights.MIN_WEIGHT)
+    return w / w.mean()
+
+
+@pytest.mark.parametrize("kind", ["normal", "long tail", "zeros"])
+def test_density_weights_equal_the_kernel_sum(spark, kind):
+    draw = np.random.default_rng(4)
+    y = {"normal": draw.normal(5, 2, 3000), "long tail": draw.lognormal(0, 1.5, 3000), "zeros": np.where(draw.random(3000) < 0.3, 0.0, draw.gamma(2, 3, 3000))}[kind]
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(y)] + [(-1, None), (-2, float("nan"))], "k int, y double")
+    for fitted in (None, weights.fit_density(df, "y", 2 * weights.PER_BANDWIDTH)):
+        got = {r["k"]: r for r in weights.density_weights(df, "y", {"w0": 0.0, "w9": 0.9}, fitted).collect()}
+        assert got[-1]["w9"] is None and got[-2]["w9"] is None and got[0]["w0"] == 1.0
+        assert [got[i]["w9"] for i in range(len(y))] == pytest.approx(list(kernel_sum_weights(y, 0.9)), rel=0.01, abs=0.005)
 
 
 def test_weights_of_equal_values(spark):

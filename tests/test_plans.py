@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as registered
 
 QUERIES = registered.queries()
-NATIVE = sorted(n for n in QUERIES if not n.startswith(("m", "co_", "precipitation_develop", "precipitation_score", "fire_score", "s1", "s3")))
+NATIVE = sorted(n for n in QUERIES if not n.startswith(("m", "co_", "precipitation_develop", "precipitation_score", "fire_score", "s1", "s3", "op", "pipeline")))
 TIES = ("a5_arg_best", "j7_nearest_pixel")  # whole rows are compared, but only those that reach the best metric
 
 

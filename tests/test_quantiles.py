@@ -8,16 +8,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import quantiles, split
+from gridloom.session import with_row_key
 
 
-@pytest.mark.parametrize("limit", [10_000, 150])
-def test_percentiles_by_group(spark, limit):
+def test_percentiles_by_group(spark):
     draw = random.Random(3)
     rows = [(draw.choice(["a", "a", "a", "b"]), draw.choice([0.0, draw.gauss(0, 1), draw.lognormvariate(0, 2), float("nan")]), float(i % 7)) for i in range(3000)]
     rows += [(None, 1.0, None), (None, 2.0, 5.0)]
     df = spark.createDataFrame(rows, "g string, x double, y double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {(r["g"], r["name"]): (r["n"], r["q"]) for r in quantiles.exact_percentiles(df, ["x", "y"], probs, ["g"], limit).collect()}
+    got = {(r["g"], r["name"]): (r["n"], r["q"]) for r in quantiles.exact_percentiles(df, ["x", "y"], probs, ["g"]).collect()}
     for g in ("a", "b", None):
         for k, name in ((1, "x"), (2, "y")):
             v = [r[k] for r in rows if r[0] == g and r[k] is not None and not np.isnan(r[k])]
@@ -26,22 +26,38 @@ def test_percentiles_by_group(spark, limit):
             assert q == pytest.approx(list(np.percentile(v, [100 * p for p in probs])), rel=1e-12, abs=1e-12)
 
 
-@pytest.mark.parametrize("limit", [10_000, 100])
-def test_hot_value_and_constant(spark, limit):
+def test_hot_value_and_constant(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 700, 5.0).otherwise(F.col("id").cast("double")).alias("x"), F.lit(2.0).alias("c"))
-    row = quantiles.percentile_row(df, ["x", "c"], [k / 99 for k in range(100)], one_task_rows=limit).first()
+    row = quantiles.percentile_row(df, ["x", "c"], [k / 99 for k in range(100)]).first()
     v = [5.0] * 700 + [float(i) for i in range(700, 1000)]
     assert row["x"] == pytest.approx(list(np.percentile(v, [100 * k / 99 for k in range(100)])))
     assert row["c"] == [2.0] * 100
 
 
-@pytest.mark.parametrize("limit", [10_000, 50])
-def test_kfold_is_contiguous(spark, limit):
+def test_kfold_cuts_the_shuffle_order(spark):
     keys = random.Random(5).sample(range(100_000), 1003)
-    df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    got = {r["k"]: r["fold"] for r in split.kfold(df, "k", 10, one_task_rows=limit).collect()}
-    want = {k: f for f, part in enumerate(np.array_split(sorted(keys), 10)) for k in part}
-    assert got == want
+    want = {k: f for f, part in enumerate(np.array_split(sorted(keys, key=lambda k: (hashlib.md5(f"42{k}".encode()).hexdigest(), k)), 10)) for k in part}
+    for parts in (1, 3, 13):
+        df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(parts)
+        assert {r["k"]: r["fold"] for r in split.kfold(df, "k", 10).collect()} == want
+    small = split.kfold(spark.range(3).withColumnRenamed("id", "k"), "k", 5).collect()
+    assert sorted(r["fold"] for r in small) == [0, 1, 2]
+
+
+def test_row_keys_do_not_depend_on_the_layout(spark):
+    rows = [(i % 50, None if i % 7 == 0 else float(i % 5)) for i in range(400)]
+    found = []
+    for parts in (1, 3, 13):
+        df = with_row_key(spark.createDataFrame(rows, "a int, b double").repartition(parts))
+        found.append(sorted(map(tuple, df.collect()), key=str))
+    assert found[0] == found[1] == found[2] and len({r[2] for r in found[0]}) == 400
+
+
+def test_infinite_and_absent_values(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (inf, None), (-inf, None), (3.0, None)], "x double, none double")
+    row = quantiles.percentile_row(df, ["x", "none"], [0.0, 0.5, 1.0]).first()
+    assert row["x"] == [-inf, 2.0, inf] and row["none"] is None
 
 
 def test_shuffled_rank_is_global(spark):

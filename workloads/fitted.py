@@ -54,26 +54,39 @@ def e4(spark, d):
     return done.select("event_id", cleaning.relevance_class(F.col("phi")).alias("class"))
 
 
-@query(
-    "e5_density_weight",
-    f"""WITH s AS (SELECT event_id, y FROM ({t.STATIONS_SQL})),
-    p AS (SELECT lo, (hi - lo) / 511 AS step, 0.9::DOUBLE * least(sd, iqr) * pow(n, -0.2::DOUBLE) AS h, n FROM
-      (SELECT min(y) AS lo, max(y) AS hi, stddev_pop(y) AS sd, (quantile_cont(y, 0.75) - quantile_cont(y, 0.25)) / 1.34::DOUBLE AS iqr, count(y)::DOUBLE AS n FROM s)),
-    c AS (SELECT floor((y - lo) / step + 0.5::DOUBLE) AS j, count(*) AS c FROM s, p WHERE y IS NOT NULL GROUP BY 1),
-    g AS (SELECT k, sum(c * exp(-0.5::DOUBLE * pow((k - j) * step / h, 2))) / any_value(n * h * sqrt(2 * pi())) AS d FROM range(512) r(k), c, p GROUP BY k),
-    x AS (SELECT event_id, y, (y - lo) / step AS pos, least(greatest(floor((y - lo) / step), 0), 510) AS k FROM s, p),
+def density_sql(source):
+    """Weights for alpha 0, 0.9 and 1 of (event_id, y)."""
+    return f"""WITH s AS ({source}),
+    p AS (SELECT lo, 0.9::DOUBLE * CASE WHEN iqr > 0 THEN least(sd, iqr) ELSE sd END * pow(n, -0.2::DOUBLE) / 8 AS step FROM
+      (SELECT min(y) AS lo, stddev_pop(y) AS sd, (quantile_cont(y, 0.75) - quantile_cont(y, 0.25)) / 1.34::DOUBLE AS iqr, count(y)::DOUBLE AS n FROM s)),
+    x AS (SELECT event_id, y, (y - lo) / step AS pos, CAST(floor((y - lo) / step) AS BIGINT) AS k FROM s, p),
+    c AS (SELECT k, count(*) AS c, sum(pos - k) AS r FROM x WHERE y IS NOT NULL GROUP BY k),
+    m AS (SELECT k, sum(m) AS m FROM (SELECT k, c - r AS m FROM c UNION ALL SELECT k + 1, r FROM c) GROUP BY k),
+    g AS (SELECT k + o AS k, sum(m * exp(-0.5::DOUBLE * pow(o / 8.0::DOUBLE, 2))) AS d FROM m, range(-48, 49) t(o) GROUP BY 1),
     dens AS (SELECT event_id, a.d + (pos - x.k) * (b.d - a.d) AS p FROM x LEFT JOIN g a ON a.k = x.k LEFT JOIN g b ON b.k = x.k + 1),
     w AS (SELECT event_id, CASE WHEN p IS NOT NULL THEN greatest(1 - 0.9::DOUBLE * ((p - pmin) / (pmax - pmin)), 1e-6::DOUBLE) END AS half,
       CASE WHEN p IS NOT NULL THEN greatest(1 - (p - pmin) / (pmax - pmin), 1e-6::DOUBLE) END AS whole FROM dens, (SELECT min(p) AS pmin, max(p) AS pmax FROM dens))
     SELECT event_id, round(half / (SELECT avg(half) FROM w), 6) AS w09, round(whole / (SELECT avg(whole) FROM w), 6) AS w10,
-      CASE WHEN half IS NOT NULL THEN 1.0::DOUBLE END AS w00 FROM w""",
-)
-def e5(spark, d):
+      CASE WHEN half IS NOT NULL THEN 1.0::DOUBLE END AS w00 FROM w"""
+
+
+def weighed(rows):
     names = {"w00": 0.0, "w09": 0.9, "w10": 1.0}
-    done = weights.density_weights(t.stations(spark, d).select("event_id", "y"), "y", names)
+    done = weights.density_weights(rows, "y", names)
     return done.select("event_id", *[t.r6(F.col(n)).alias(n) for n in names])
 
 
+@query("e5_density_weight", density_sql(f"SELECT event_id, y FROM ({t.STATIONS_SQL})"))
+def e5(spark, d):
+    return weighed(t.stations(spark, d).select("event_id", "y"))
+
+
+@query("e5_density_weight_heavy", density_sql(f"SELECT event_id, exp(y / 60.0::DOUBLE) AS y FROM ({t.STATIONS_SQL})"))
+def e5_heavy(spark, d):
+    """The same on a target with a long tail, whose grid has many empty intervals."""
+    return weighed(t.stations(spark, d).select("event_id", F.exp(F.col("y") / F.lit(60.0)).alias("y")))
+
+
 EDGES = [0.0, 0.1, 0.5, 1.0, 2.5, 10.0, 33.3, 50.0, 100.0]
 
 

@@ -48,7 +48,7 @@ def w2(spark, d):
 @query(
     "w3_kfold",
     """SELECT o_orderkey, CAST(CASE WHEN r < (n % 10) * (n // 10 + 1) THEN r // (n // 10 + 1) ELSE (r - n % 10) // (n // 10) END AS INTEGER) AS fold
-    FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS r, count(*) OVER () AS n FROM orders)""",
+    FROM (SELECT o_orderkey, row_number() OVER (ORDER BY md5('42' || o_orderkey), o_orderkey) - 1 AS r, count(*) OVER () AS n FROM orders)""",
 )
 def w3(spark, d):
     return split.kfold(t.table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 10)
