@@ -29,12 +29,15 @@ def save_model(model: PipelineModel, root: str, name: str, example: DataFrame, v
 
 
 def save_cascade(cascade: ForestCascade, root: str, name: str, example: DataFrame, version: int = 1) -> str:
-    """Every forest of every layer, and their number, beside the input schema."""
+    """Every forest of every layer, their number, and the final predictor (layer -1), beside the input schema."""
     folder = _folder(root, name, version)
     for depth, forests in enumerate(cascade.layers):
         for i, forest in enumerate(forests):
             forest.write().save(f"{folder}/layers/{depth}/{i}")
     shape = [(depth, len(forests)) for depth, forests in enumerate(cascade.layers)]
+    if cascade.predictor is not None:
+        cascade.predictor.write().save(f"{folder}/layers/-1/0")
+        shape.append((-1, 1))
     example.sparkSession.createDataFrame(shape, "layer int, forests int").coalesce(1).write.json(f"{folder}/shape")
     _save_signature(folder, example)
     return folder
@@ -43,10 +46,9 @@ def save_cascade(cascade: ForestCascade, root: str, name: str, example: DataFram
 def load_cascade(spark: SparkSession, root: str, name: str, version: int = 1) -> ForestCascade:
     folder = _folder(root, name, version)
     shape = spark.read.schema("layer int, forests int").json(f"{folder}/shape").orderBy("layer").collect()
-    layers = tuple(
-        tuple(PipelineModel.load(f"{folder}/layers/{r['layer']}/{i}") for i in range(r["forests"])) for r in shape
-    )
-    return ForestCascade(tuple(load_signature(spark, root, name, version).names), layers)
+    loaded = {r["layer"]: tuple(PipelineModel.load(f"{folder}/layers/{r['layer']}/{i}") for i in range(r["forests"])) for r in shape}
+    final = loaded.pop(-1, (None,))[0]
+    return ForestCascade(tuple(load_signature(spark, root, name, version).names), tuple(loaded[k] for k in sorted(loaded)), final)
 
 
 def load_model(root: str, name: str, version: int = 1) -> PipelineModel:

@@ -117,3 +117,13 @@ def test_sampled_parameters_stay_in_range():
         assert 100 <= p.trees <= 299 and 3 <= p.depth <= 6 and 0.01 <= p.rate <= 0.21
         assert 0.7 <= p.row_fraction <= 1.0 and 0.7 <= p.column_fraction <= 1.0
     assert math.isclose(models.PRECIPITATION_ALPHAS[-1], 1.0) and len(models.CO_ALPHAS) == 11
+
+
+def test_missing_features_are_told_from_minus_one(spark):
+    """Scaled features may well be -1; rows without the feature get another prediction."""
+    draw = np.random.default_rng(5)
+    rows = [(float(v), float(v) + 10.0) for v in draw.normal(0, 1, 300)] + [(-1.0, 9.0)] * 40 + [(None, 50.0)] * 40
+    df = spark.createDataFrame(rows, "x double, y double")
+    model = models.fit_boosted(df, ["x"], "y", None, models.BoostParams(trees=4, depth=3, rate=0.5))
+    got = model.transform(models.numbers_only(spark.createDataFrame([(-1.0,), (None,)], "x double"), ["x"])).collect()
+    assert got[0]["prediction"] < 15 < 40 < got[1]["prediction"]

@@ -76,11 +76,13 @@ def tiles(spark: SparkSession, d: str) -> DataFrame:
     return pixel_scan(vectors, "embedding", 8, ["tile"]).withColumn("bad", bad)
 
 
-LAYER_SQL = f"""SELECT tile // 5 AS date, 'L' || (tile % 5) AS layer, "row", col, value FROM ({TILES_SQL}) WHERE tile % 23 <> 0"""
+ALL_LAYER_SQL = f"""SELECT tile // 5 AS date, 'L' || (tile % 5) AS layer, "row", col, value FROM ({TILES_SQL})"""
+LAYER_SQL = f"{ALL_LAYER_SQL} WHERE tile % 23 <> 0"
 
 
-def layer_pixels(spark: SparkSession, d: str) -> DataFrame:
-    kept = tiles(spark, d).filter(F.col("tile") % 23 != 0)  # the tiles that are missing files
+def layer_pixels(spark: SparkSession, d: str, complete: bool = False) -> DataFrame:
+    """Tiles as layers of dates; unless ``complete``, some tiles are missing, as files may be."""
+    kept = tiles(spark, d) if complete else tiles(spark, d).filter(F.col("tile") % 23 != 0)
     layer = F.concat(F.lit("L"), (F.col("tile") % 5).cast("string"))
     return kept.select(F.expr("tile div 5").alias("date"), layer.alias("layer"), "row", "col", "value")
 
