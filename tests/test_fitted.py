@@ -102,7 +102,7 @@ def test_boosting_cascade_and_store(spark):
     assert store.load_signature(spark, root, "m", 2).names == features
     again = models.score(df, store.load_model(root, "m", 2), features, log_scale=False)
     assert again.select("k", "score").exceptAll(scored.select("k", "score")).count() == 0
-    cascade = models.fit_forest_cascade(df, features, "y", "k", max_layers=2, trees=5, depth=5, k=2)
+    cascade = models.fit_forest_cascade(df, features, "y", "k", max_layers=2, trees=5, depth=5, k=2, predictor=models.BoostParams(trees=5, depth=4, rate=0.3))
     out = cascade.transform(df)
     assert out.count() == 400 and out.agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0] < 6.0
 
