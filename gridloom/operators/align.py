@@ -234,8 +234,54 @@ def regrid_bilinear(
     return parts.groupBy(*keys, "row", "col").agg(F.try_divide(F.sum("wv"), F.sum("w")).alias("value"))
 
 
+def interpolate_swath(
+    points: DataFrame, dst: Grid, keys: Sequence[str] = (), scan: str = "scan", ground: str = "ground", lon: str = "lon", lat: str = "lat", value: str = "value",
+) -> DataFrame:
+    """Values of a swath at the centres of all grid cells inside it: linear in the two triangles of each four neighbours.
+
+    ``points`` has one row per (keys, scan, ground), with its place; a missing value keeps its place but has
+    no weight, and the weights of the others are raised to one. A cell whose corners are all missing has
+    a missing value; a cell outside of the swath has no row. A centre on a shared edge belongs to the first
+    triangle in the order of scan, ground (below 2 ** 20) and triangle.
+
+    Each point goes to the four quads it is a corner of, one aggregation makes a row of each quad, and only then are
+    the cells in the quad's box listed: what is shuffled follows the points, not the cells.
+    """
+    corner = [F.struct((F.col(scan) - i).alias("s"), (F.col(ground) - j).alias("g"), F.lit(2 * i + j).alias("k")) for i in (0, 1) for j in (0, 1)]
+    sent = points.select(*keys, clean(F.col(lon)).alias("x"), clean(F.col(lat)).alias("y"), clean(F.col(value)).alias("v"), F.explode(F.array(*corner)).alias("c"))
+    parts = [F.max(F.when(F.col("c.k") == k, F.col(n))).alias(f"{n}{k}") for k in range(4) for n in ("x", "y", "v")]
+    quads = sent.groupBy(*keys, "c.s", "c.g").agg(*parts).dropna(subset=[f"{n}{k}" for k in range(4) for n in ("x", "y")])
+
+    def reach(name: str, origin: float, step: float, count: int, sign: float) -> Column:
+        ends = [(F.col(f"{name}{k}") - F.lit(origin)) * F.lit(sign) / F.lit(step) - F.lit(0.5) for k in range(4)]
+        first = F.greatest(F.ceil(F.least(*ends)), F.lit(0)).cast("int")
+        last = F.least(F.floor(F.greatest(*ends)), F.lit(count - 1)).cast("int")
+        return F.when(first <= last, F.sequence(first, last))
+
+    cells = quads.withColumn("row", F.explode(reach("y", dst.y0, dst.dy, dst.rows, -1.0))).withColumn("col", F.explode(reach("x", dst.x0, dst.dx, dst.cols, 1.0)))
+    x, y = F.lit(dst.x0) + (F.col("col") + F.lit(0.5)) * F.lit(dst.dx), F.lit(dst.y0) - (F.col("row") + F.lit(0.5)) * F.lit(dst.dy)
+
+    def inside(a: int, b: int, c: int, number: int) -> Column:
+        xa, ya, xb, yb, xc, yc = (F.col(f"{n}{k}") for k in (a, b, c) for n in ("x", "y"))
+        area = (yb - yc) * (xa - xc) + (xc - xb) * (ya - yc)
+        wa = F.try_divide((yb - yc) * (x - xc) + (xc - xb) * (y - yc), area)
+        wb = F.try_divide((yc - ya) * (x - xc) + (xa - xc) * (y - yc), area)
+        weights = [wa, wb, F.lit(1.0) - wa - wb]
+        values = [F.col(f"v{k}") for k in (a, b, c)]
+        known = [F.when(v.isNotNull(), w).otherwise(F.lit(0.0)) for v, w in zip(values, weights)]
+        sums = [F.when(v.isNotNull(), w * v).otherwise(F.lit(0.0)) for v, w in zip(values, weights)]
+        good = known[0] + known[1] + known[2]
+        found = F.when(good > F.lit(1e-9), (sums[0] + sums[1] + sums[2]) / good)
+        return F.when(F.least(*weights) >= F.lit(-1e-9), F.struct(F.lit(number).alias("t"), found.alias("value")))
+
+    hit = cells.withColumn("h", F.coalesce(inside(0, 1, 2, 0), inside(3, 2, 1, 1))).filter(F.col("h").isNotNull())
+    order = (F.col("s") * 2**20 + F.col("g")) * 2 + F.col("h.t")
+    return hit.select(*keys, "row", "col", order.alias("o"), F.col("h.value").alias("value")).groupBy(*keys, "row", "col").agg(F.min_by("value", "o").alias("value"))
+
+
 def grid_swath(points: DataFrame, dst: Grid, keys: Sequence[str] = (), lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Mean of the valid points in each cell of a regular grid, clipped to the grid."""
+    """Mean of the valid points in each cell of a regular grid, clipped to the grid: for points denser than the
+    grid. ``interpolate_swath`` fills the cells between points that are not."""
     row, col = cell_of(dst, F.col(lon), F.col(lat))
     placed = points.select(*keys, row.alias("row"), col.alias("col"), clean("value").alias("value")).filter(
         F.col("value").isNotNull() & F.col("row").between(0, dst.rows - 1) & F.col("col").between(0, dst.cols - 1)

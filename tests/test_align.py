@@ -121,3 +121,34 @@ def test_frequency_of_absent_and_missing_values(spark):
     table = spark.createDataFrame([(0.3, 5), (0.1 + 0.2, 1), (None, 9), (9.0, 5000)], "v double, count bigint")
     got = {r["v"]: r["frequency"] for r in align.lookup_frequency(df, table, "v").collect()}
     assert got == {0.1 + 0.2: 1, 0.3: 5, None: 0, 7.0: 0, 9.0: 5000}
+
+
+def test_swath_fills_every_cell_inside(spark):
+    """A plane over a tilted swath: every centre inside it gets the plane's value, also beside missing points."""
+    grid = Grid(0.0, 10.0, 0.25, 0.25, 40, 40)
+    rows = []
+    for scan in range(6):
+        for ground in range(6):
+            lon, lat = 1.0 + ground * 1.3 + scan * 0.1, 9.0 - scan * 1.2 + ground * 0.15
+            rows.append((scan, ground, lon, lat, None if (scan, ground) == (2, 2) else 3.0 * lon - lat))
+    points = spark.createDataFrame(rows, "scan int, ground int, lon double, lat double, value double")
+    got = {(r["row"], r["col"]): r["value"] for r in align.interpolate_swath(points, grid).collect()}
+    corner = {(s, g): (x, y) for s, g, x, y, _ in rows}
+    ring = [corner[0, g] for g in range(6)] + [corner[s, 5] for s in range(1, 6)] + [corner[5, g] for g in range(4, -1, -1)] + [corner[s, 0] for s in range(4, 0, -1)]
+
+    def inside(x, y):
+        odd = False
+        for (xa, ya), (xb, yb) in zip(ring, ring[1:] + ring[:1]):
+            if (ya > y) != (yb > y) and x < xa + (y - ya) / (yb - ya) * (xb - xa):
+                odd = not odd
+        return odd
+
+    centres = {(i, j): (0.125 + 0.25 * j, 9.875 - 0.25 * i) for i in range(40) for j in range(40)}
+    assert set(got) == {k for k, c in centres.items() if inside(*c)}
+    assert all(v is not None for v in got.values())
+    x2, y2 = corner[2, 2]
+    for k, v in got.items():
+        x, y = centres[k]
+        if abs(x - x2) > 1.6 or abs(y - y2) > 1.6:
+            assert v == pytest.approx(3.0 * x - y)
+    assert align.interpolate_swath(points.limit(0), grid).count() == 0

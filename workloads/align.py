@@ -159,6 +159,40 @@ def j11(spark, d):
     return grid.withColumn("value", t.r6(F.col("value")))
 
 
+FINE = Grid.covering(REGION, 0.05)
+
+
+def triangle_sql(a, b, c, number):
+    area = f"((y{b} - y{c}) * (x{a} - x{c}) + (x{c} - x{b}) * (y{a} - y{c}))"
+    wa = f"((y{b} - y{c}) * (cx - x{c}) + (x{c} - x{b}) * (cy - y{c})) / {area}"
+    wb = f"((y{c} - y{a}) * (cx - x{c}) + (x{a} - x{c}) * (cy - y{c})) / {area}"
+    return f"""SELECT orbit, "row", col, (s * 1048576 + g) * 2 + {number} AS o, CASE WHEN ka + kb + kc > 1e-9 THEN (ka * coalesce(va, 0) + kb * coalesce(vb, 0) + kc * coalesce(vc, 0)) / (ka + kb + kc) END AS value FROM (
+      SELECT *, CASE WHEN va IS NULL THEN 0 ELSE wa END AS ka, CASE WHEN vb IS NULL THEN 0 ELSE wb END AS kb, CASE WHEN vc IS NULL THEN 0 ELSE 1 - wa - wb END AS kc FROM (
+        SELECT orbit, "row", col, s, g, {wa} AS wa, {wb} AS wb, v{a} AS va, v{b} AS vb, v{c} AS vc FROM cell) WHERE least(wa, wb, 1 - wa - wb) >= -1e-9)"""
+
+
+def corner_sql():
+    columns = ", ".join(f"{t}.lon AS x{k}, {t}.lat AS y{k}, {t}.value AS v{k}" for k, t in enumerate("abcd"))
+    joins = " ".join(f"JOIN p {t} ON {t}.orbit = a.orbit AND {t}.scan = a.scan + {i} AND {t}.ground = a.ground + {j}" for t, i, j in (("b", 0, 1), ("c", 1, 0), ("d", 1, 1)))
+    return f"SELECT a.orbit, a.scan AS s, a.ground AS g, {columns} FROM p a {joins}"
+
+
+@query(
+    "j11_interpolate_swath",
+    f"""WITH p AS ({t.SMOOTH_SWATH_SQL}), q AS ({corner_sql()}),
+    box AS (SELECT *, unnest(range(greatest(CAST(ceil(({FINE.y0!r}::DOUBLE - greatest(y0, y1, y2, y3)) / {FINE.dy!r}::DOUBLE - 0.5) AS INT), 0),
+      least(CAST(floor(({FINE.y0!r}::DOUBLE - least(y0, y1, y2, y3)) / {FINE.dy!r}::DOUBLE - 0.5) AS INT), {FINE.rows - 1}) + 1)) AS "row" FROM q),
+    cell AS (SELECT *, {FINE.x0!r}::DOUBLE + (col + 0.5) * {FINE.dx!r}::DOUBLE AS cx, {FINE.y0!r}::DOUBLE - ("row" + 0.5) * {FINE.dy!r}::DOUBLE AS cy FROM (
+      SELECT *, unnest(range(greatest(CAST(ceil((least(x0, x1, x2, x3) - {FINE.x0!r}::DOUBLE) / {FINE.dx!r}::DOUBLE - 0.5) AS INT), 0),
+      least(CAST(floor((greatest(x0, x1, x2, x3) - {FINE.x0!r}::DOUBLE) / {FINE.dx!r}::DOUBLE - 0.5) AS INT), {FINE.cols - 1}) + 1)) AS col FROM box)),
+    h AS ({triangle_sql(0, 1, 2, 0)} UNION ALL {triangle_sql(3, 2, 1, 1)})
+    SELECT orbit, CAST("row" AS INTEGER) AS "row", CAST(col AS INTEGER) AS col, round(first(value ORDER BY o), 6) + 0 AS value FROM h GROUP BY ALL""",
+)
+def j11_interpolated(spark, d):
+    grid = align.interpolate_swath(t.smooth_swath(spark, d), FINE, ["orbit"])
+    return grid.withColumn("value", t.r6(F.col("value")))
+
+
 def frequency_classes(spark, d):
     v = t.table(spark, d, "events").select("event_id", F.floor("value").cast("double").alias("value"))
     return align.lookup_frequency(v, metrics.value_counts(v, "value"), "value").withColumn("class", frequency_class(F.col("frequency")))

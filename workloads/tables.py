@@ -153,6 +153,22 @@ def swath(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+SMOOTH_SWATH_SQL = """SELECT event_id // 2000 AS orbit, event_id % 2000 // 40 AS scan, event_id % 40 AS ground,
+  20.0::DOUBLE + (event_id % 40) * 0.23::DOUBLE + (event_id % 2000 // 40) * 0.013::DOUBLE AS lon,
+  42.0::DOUBLE - (event_id % 2000 // 40) * 0.14::DOUBLE + (event_id % 40) * (event_id % 40) * 0.0005::DOUBLE AS lat,
+  CASE WHEN event_id % 13 <> 0 THEN value END AS value FROM events"""
+
+
+def smooth_swath(spark: SparkSession, d: str) -> DataFrame:
+    """Scans that lie side by side, a little bent, with missing values."""
+    ground, scan = F.col("event_id") % 40, F.expr("event_id % 2000 div 40")
+    return table(spark, d, "events").select(
+        F.expr("event_id div 2000").alias("orbit"), scan.alias("scan"), ground.alias("ground"),
+        (F.lit(20.0) + ground * F.lit(0.23) + scan * F.lit(0.013)).alias("lon"), (F.lit(42.0) - scan * F.lit(0.14) + ground * ground * F.lit(0.0005)).alias("lat"),
+        F.when(F.col("event_id") % 13 != 0, F.col("value")).alias("value"),
+    )
+
+
 WEATHER_SQL = """SELECT l_orderkey, l_linenumber, l_quantity - 25 AS u, CAST(l_partkey % 51 - 25 AS DOUBLE) AS v,
   CAST(l_linenumber AS DOUBLE) AS d2m, l_linenumber + l_discount * 100 AS t2m FROM lineitem"""
 
