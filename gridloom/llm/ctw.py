@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.text import Texts, Words, slices, texts_of
+from gridloom.llm.text import Texts, Words, give_back, slices, texts_of, tidy
 from gridloom.session import fresh_path
 
 # Bytes of context.
@@ -21,7 +21,7 @@ DEPTH = 5
 # A byte that no UTF-8 text has: it ends each text, and texts begin in its context.
 END = 0xFF
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 # Bytes of text whose distinct contexts and words one scoring task looks up.
 GROUP_BYTES = 32 << 20
@@ -29,6 +29,9 @@ GROUP_BYTES = 32 << 20
 # Keys that the model is built from at once, but for the last two bytes of context they belong to.
 CHUNK_KEYS = 500_000
 
+# Rows of an Arrow batch: a group goes to Python in batches of a few megabytes, not as one.
+BATCH_ROWS = 1_000
+
 GRAM, WORD = 0, 1
 
 
@@ -50,7 +53,7 @@ def grams(texts: Texts, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
 def log_gamma_half(n: np.ndarray) -> np.ndarray:
     """log Gamma(n + 1/2) for n >= 0."""
     x = n + 0.5 + 8
-    value = (x - 0.5) * np.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * x**3)
+    value = (x - 0.5) * np.log(x) - x + 0.9189385332046727 + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
     for k in range(8):
         value -= np.log(n + 0.5 + k)
     return value
@@ -167,7 +170,7 @@ def upper_levels(model: DataFrame, depth: int) -> tuple[np.ndarray, ...]:
                     values = [np.bincount(inverse, weights=x) for x in (total, ones, weighted)]
                     yield pa.RecordBatch.from_arrays([pa.array(distinct), *map(pa.array, values)], names=["node", "total", "ones", "weighted"])
 
-    nodes = model.mapInArrow(sums, "node long, total double, ones double, weighted double")
+    nodes = model.mapInArrow(tidy(sums), "node long, total double, ones double, weighted double")
     rows = nodes.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("total", "ones", "weighted")]).toPandas()
     total, ones, below = (np.zeros(256 * 256) for _ in range(3))
     at = rows["node"].to_numpy(dtype=np.int64)
@@ -199,7 +202,7 @@ def code_lengths(model: DataFrame, depth: int) -> DataFrame:
                 value += np.log10(np.where(keys >> (7 - j) & 1, chance, 1 - chance))
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), GRAM, np.int8)), pa.array(keys), pa.array(value)], names=["kind", "key", "value"])
 
-    return model.mapInArrow(run, "kind byte, key long, value double")
+    return model.mapInArrow(tidy(run), "kind byte, key long, value double")
 
 
 def word_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -209,32 +212,51 @@ def word_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return numbers, np.array([digest(w) for w in distinct.to_pylist()], dtype=np.uint64).view(np.int64)
 
 
-def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, sorted, and the sum of their counts."""
-    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(inverse, weights=np.concatenate([n for _, n in parts]), minlength=len(keys)).astype(np.int64)
+class Counts:
+    """Counts by key. New ones are merged in as soon as they are as many as those that are there."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.fresh: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.fresh.append((keys, counts.astype(np.int64)))
+        self.waiting += len(keys)
+        if self.waiting > max(200_000, len(self.keys) // 2):
+            self.merge()
 
+    def merge(self) -> None:
+        keys = np.concatenate([self.keys, *(k for k, _ in self.fresh)])
+        counts = np.concatenate([self.counts, *(n for _, n in self.fresh)])
+        self.fresh, self.waiting = [], 0
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        first = np.ones(len(keys), dtype=bool)
+        first[1:] = keys[1:] != keys[:-1]
+        first = np.flatnonzero(first)
+        self.keys, self.counts = keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
-def gathered(table: pa.Table, depth: int) -> pa.Table:
+
+def gathered(table: pa.Table, depth: int) -> Iterator[pa.RecordBatch]:
     """Distinct grams and words of one group of texts, with their counts in training texts (0 if in none)."""
-    parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {GRAM: [], WORD: []}
+    found = {GRAM: Counts(), WORD: Counts()}
     for batch in table.to_batches():
         for part in slices(batch, "_text", SLICE_BYTES):
             texts, trains = texts_of(part.column("_text")).lowered(), ~part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             keys, bounds = grams(texts, depth)
             # The lowest bit of the sorted number is whether it is a training text's.
             both, times = np.unique(keys << 1 | np.repeat(trains, np.diff(bounds)), return_counts=True)
-            parts[GRAM].append((both >> 1, np.where(both & 1, times, 0)))
+            found[GRAM].add(both >> 1, np.where(both & 1, times, 0))
             words = Words(texts)
             numbers, hashes = word_hashes(words)
-            times = np.bincount(numbers, weights=np.repeat(trains, words.counts()), minlength=len(hashes))
-            parts[WORD].append((hashes, times))
-        parts = {kind: [merged(p)] if p else [] for kind, p in parts.items()}
-    found = [(kind, *p[0]) for kind, p in parts.items() if p]
+            found[WORD].add(hashes, np.bincount(numbers, weights=np.repeat(trains, words.counts()), minlength=len(hashes)))
     group = table.column("_group")[0].as_py()
-    kinds = np.concatenate([np.full(len(k), kind, np.int8) for kind, k, _ in found])
-    columns = [pa.array(np.full(len(kinds), group, np.int32)), pa.array(kinds), pa.array(np.concatenate([k for _, k, _ in found])), pa.array(np.concatenate([n for _, _, n in found]).astype(np.int64))]
-    return pa.Table.from_arrays(columns, names=["_group", "kind", "key", "n"])
+    for kind, held in found.items():
+        held.merge()
+        n = len(held.keys)
+        columns = [pa.array(np.full(n, group, np.int32)), pa.array(np.full(n, kind, np.int8)), pa.array(held.keys), pa.array(held.counts)]
+        yield pa.RecordBatch.from_arrays(columns, names=["_group", "kind", "key", "n"])
 
 
 def scored(left: pa.Table, right: pa.Table, depth: int, n_tokens: int, n_ends: int, distinct: int) -> Iterator[pa.RecordBatch]:
@@ -277,15 +299,24 @@ def context_tree_scores(docs: DataFrame, held_out, key: str = "doc_id", text: st
     Texts are dealt into groups of about 32 MB by a hash. A task cuts a group down to its distinct grams and
     words, so that what is shuffled are those. Their counts are added up by key; the tree is built where
     all contexts that share their last two bytes meet (distinct grams only, not occurrences); each
-    group gets back the values of its own grams and words, never the whole model.
+    group gets back the values of its own grams and words, never the whole model. The session's Arrow batches
+    are set to at most BATCH_ROWS rows.
     """
     spark = docs.sparkSession
+    rows_now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if not 0 < rows_now <= BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     read = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     size = read.agg(F.sum(F.octet_length("_text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("ends")).first()
     n_groups = max(1, -(-(size["bytes"] or 0) // GROUP_BYTES))
     grouped = read.withColumn("_group", F.pmod(F.xxhash64("_key", "_text"), F.lit(n_groups)).cast("int"))
     path = fresh_path(spark, "grams")
-    rows = grouped.groupBy("_group").applyInArrow(lambda table: gathered(table, depth), "_group int, kind byte, key long, n long")
+
+    def count(table: pa.Table) -> pa.Table:
+        give_back()
+        return pa.Table.from_batches(gathered(table, depth))
+
+    rows = grouped.groupBy("_group").applyInArrow(count, "_group int, kind byte, key long, n long")
     rows.write.parquet(f"{path}/groups")
     rows = spark.read.parquet(f"{path}/groups")
     rows.groupBy("kind", "key").agg(F.sum("n").alias("n")).write.parquet(f"{path}/counts")
@@ -300,6 +331,7 @@ def context_tree_scores(docs: DataFrame, held_out, key: str = "doc_id", text: st
     schema = T.StructType([read.schema["_key"], *T.StructType.fromDDL("held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         return pa.Table.from_batches(list(scored(left, right, depth, n_tokens, n_ends, distinct)))
 
     return grouped.groupBy("_group").cogroup(looked.groupBy("_group")).applyInArrow(run, schema).withColumnRenamed("_key", key)
