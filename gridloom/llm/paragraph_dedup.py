@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm.components import components
-from gridloom.llm.text import MIXERS, MULTIPLY, Words, mixed, powers, slices, texts_of
+from gridloom.llm.text import MIXERS, MULTIPLY, Words, mixed, powers, slices, texts_of, tidy
 from gridloom.session import fresh_path, settle
 
 SHINGLE = 5
@@ -28,7 +28,7 @@ REACH = 6
 # Bands of minima: two paragraphs at similarity 0.8 share one with a chance of 1 - (1 - 0.8 ** 2) ** 5 = 99.4 %.
 BANDS, ROWS = 5, 2
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 PARAGRAPH, PASSAGE = 0, 1
 
 
@@ -115,7 +115,7 @@ def units(docs: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)
 
 
 def contents(docs: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def contents(docs: DataFrame) -> DataFrame:
                         sets.append(np.unique(hashed.shingles[first : first + w["n"] - SHINGLE + 1].astype(np.uint32).view(np.int32)))
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.list_(pa.int32()))], names=["unit", "shingles"])
 
-    return docs.select("_text", "_wanted").mapInArrow(run, "unit long, shingles array<int>")
+    return docs.select("_text", "_wanted").mapInArrow(tidy(run), "unit long, shingles array<int>")
 
 
 def candidate_links(distinct: DataFrame) -> DataFrame:
@@ -151,8 +151,8 @@ def candidate_links(distinct: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """Stretches of documents that another document keeps: ``_key``, ``_row``, ``start`` and ``stop`` (words),
-    ``class_id`` and ``kept_in`` (the key of the document that keeps it).
+    """Stretches of documents that another document keeps: ``_key``, ``_row`` (a hash that tells rows of one
+    key apart), ``start`` and ``stop`` (words), ``class_id`` and ``kept_in`` (the key of the document that keeps it).
 
     A paragraph is a line of at least 20 words; two are alike if the Jaccard similarity of their five-word
     shingles is ``similarity`` or more, classes are the components of such links, and equal paragraphs are
@@ -160,44 +160,42 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     themselves; overlapping ones add up, so longer repeats are found nearly whole wherever they begin. Of
     each class the document with the least key keeps all, all others lose theirs.
 
-    Null and empty texts have no stretch. Rows with equal keys and texts are one document; null keys come
-    first in order. Columns of ``docs`` other than key and text are not looked at; an empty table gives an empty one.
+    Null and empty texts have no stretch. Rows with equal keys are one document, which does not repeat itself; rows
+    with a null key keep all. Columns of ``docs`` other than key and text are not looked at; an empty table gives an empty one.
     """
     spark = docs.sparkSession
-    read = docs.select(F.col(f"`{key}`").alias("_key"), F.xxhash64(F.col(f"`{text}`")).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    read = docs.select(F.col(f"`{key}`").alias("_key"), F.hash(F.col(f"`{text}`")).alias("_row"), F.col(f"`{text}`").alias("_text"))
     path = fresh_path(spark, "paragraphs")
     units(read).write.parquet(path)
     found = spark.read.parquet(path)
-    doc = F.struct("_key", "_row").alias("doc")
 
     # Paragraphs: distinct ones, their candidate pairs, the content of these, and the links that hold.
     lines = found.filter(F.col("kind") == PARAGRAPH)
-    known = lines.groupBy("unit").agg(F.min(F.struct("_key", "_row", "at", "n", "bands")).alias("f"), F.max(doc).alias("last"))
+    known = lines.groupBy("unit").agg(F.first(F.struct("_key", "_row", "at", "n", "bands")).alias("f"), F.min("_key").alias("keeper"), F.max("_key").alias("last"))
     path = fresh_path(spark, "distinct")
-    known.select("unit", F.struct("f._key", "f._row").alias("doc"), "f.at", "f.n", "f.bands", "last").write.parquet(path)
+    known.select("unit", "f.*", "keeper", "last").write.parquet(path)
     known = spark.read.parquet(path)
     pairs = settle(candidate_links(known.select("unit", "bands")))
     wanted = pairs.select(F.col("a").alias("unit")).union(pairs.select("b")).distinct()
-    wanted = wanted.join(known, "unit").groupBy("doc._key", "doc._row").agg(F.collect_list(F.struct("unit", "at", "n")).alias("_wanted"))
+    wanted = wanted.join(known, "unit").groupBy("_key", "_row").agg(F.collect_list(F.struct("unit", "at", "n")).alias("_wanted"))
     owners = read.dropDuplicates(["_key", "_row"]).alias("d").join(wanted.alias("w"), F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row")))
     sets = settle(contents(owners.select("_text", "_wanted")))
     sides = pairs.join(sets.select(F.col("unit").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("unit").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     alike = sides.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
     roots = components(alike).select(F.col("node").alias("unit"), "root")
-    classed = known.join(roots, "unit", "left").select("unit", F.coalesce("root", "unit").alias("class_id"), "doc", "last")
-    keepers = classed.groupBy("class_id").agg(F.min("doc").alias("keeper"), F.max("last").alias("last")).filter("keeper <> last")
+    classed = known.join(roots, "unit", "left").select("unit", F.coalesce("root", "unit").alias("class_id"), "keeper", "last")
+    keepers = classed.groupBy("class_id").agg(F.min("keeper").alias("keeper"), F.max("last").alias("last")).filter("keeper <> last")
     line_classes = classed.select("unit", "class_id").join(keepers, "class_id").select("unit", "class_id", "keeper")
 
     # Passages: equal ones in more than one document.
     inner = found.filter(F.col("kind") == PASSAGE)
-    shared = inner.groupBy("unit").agg(F.min(doc).alias("keeper"), F.max(doc).alias("last")).filter("keeper <> last")
+    shared = inner.groupBy("unit").agg(F.min("_key").alias("keeper"), F.max("_key").alias("last")).filter("keeper <> last")
     passage_classes = shared.select("unit", F.col("unit").alias("class_id"), "keeper")
 
     spot = ["_key", "_row", "at", "n", "unit"]
     hit = lines.select(*spot).join(line_classes, "unit").unionByName(inner.select(*spot).join(passage_classes, "unit"))
-    other = ~(F.col("_key").eqNullSafe(F.col("keeper._key")) & (F.col("_row") == F.col("keeper._row")))
-    return hit.filter(other).select("_key", "_row", F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("stop"), "class_id", F.col("keeper._key").alias("kept_in"))
+    return hit.filter("_key <> keeper").select("_key", "_row", F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("stop"), "class_id", F.col("keeper").alias("kept_in"))
 
 
 def stretches(found: DataFrame) -> DataFrame:
@@ -213,11 +211,11 @@ def stretches(found: DataFrame) -> DataFrame:
                 for span in union(listed):
                     for name, value in zip(schema.names, (key, row, span["start"], span["stop"], span["class_id"], span["kept_in"]), strict=True):
                         rows[name].append(value)
-            types = {"_row": pa.int64(), "start": pa.int32(), "stop": pa.int32(), "class_id": pa.int64()}
+            types = {"_row": pa.int32(), "start": pa.int32(), "stop": pa.int32(), "class_id": pa.int64()}
             columns = [pa.array(v, types.get(k, batch.schema.field(0).type)) for k, v in rows.items()]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return spans.mapInArrow(run, schema)
+    return spans.mapInArrow(tidy(run), schema)
 
 
 def union(spans: list[dict]) -> list[dict]:
@@ -245,7 +243,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """``docs`` with the stretches of ``repeats`` cut out of their texts, without the documents of which no word is
     left. Documents without a repeat stay as they are, empty and null texts too; columns and their order stay."""
     marks = repeats(docs, key, text).groupBy("_key", "_row").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("_spans"))
-    same = F.col(f"d.`{key}`").eqNullSafe(F.col("m._key")) & (F.xxhash64(F.col(f"d.`{text}`")) == F.col("m._row"))
+    same = F.col(f"d.`{key}`").eqNullSafe(F.col("m._key")) & (F.hash(F.col(f"d.`{text}`")) == F.col("m._row"))
     joined = docs.alias("d").join(marks.alias("m"), same, "left").select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("m._spans").alias("_spans"))
     names = docs.columns
     at = names.index(text)
@@ -259,4 +257,4 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             kept = pa.array([s is None or bool(t.strip()) for t, s in zip(cut, spans, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(kept)
 
-    return joined.mapInArrow(run, docs.schema)
+    return joined.mapInArrow(tidy(run), docs.schema)
