@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.llm.text import tidy
+
 # Elements by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT = frozenset("script style noscript template title svg math canvas object iframe audio video map head".split())
@@ -197,4 +199,4 @@ def extract(pages: DataFrame, html: str = "html", keep: list[str] | None = None)
             texts = [main_text(x) for x in batch.column("_html").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=schema.names)
 
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidy(run), schema)

@@ -16,11 +16,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.text import slices, texts_of
+from gridloom.llm.text import slices, texts_of, tidy
 from gridloom.llm.tokens import Encoder, with_end
 from gridloom.session import fresh_path
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 STEPS = 400
 
 
@@ -176,7 +176,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, most: int, key: str = "
                     columns.append(pa.ListArray.from_arrays(pa.array(np.append(first, bounds[-1]), pa.int32()), pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidy(run), schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, most: int = 1024, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -215,7 +215,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, most: int = 1024, key
             columns = [*batch.columns[:-1], pa.array(runs[at, 2] + rank - keys[at]), pa.array(runs[at, 3])]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return ranked.mapInArrow(place, schema).withColumnRenamed("_key", key)
+    return ranked.mapInArrow(tidy(place), schema).withColumnRenamed("_key", key)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

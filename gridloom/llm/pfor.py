@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.text import slices, texts_of
+from gridloom.llm.text import slices, texts_of, tidy
 from gridloom.llm.tokens import Encoder, with_end
 
 # Fixed values of the file format.
@@ -30,7 +30,7 @@ PERCENTILE = 90
 
 # Ids in a file, but for the last document.
 FILE_IDS = 4_000_000
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -177,7 +177,7 @@ def write_tokens(docs: DataFrame, uri: str, tokenizer: str, end_id: int = 1, key
         if parts:
             yield flush()
 
-    ranged.mapInArrow(run, "part int, number int, name string, n_docs long, n_ids long").write.parquet(f"{uri}/manifest")
+    ranged.mapInArrow(tidy(run), "part int, number int, name string, n_docs long, n_ids long").write.parquet(f"{uri}/manifest")
 
 
 def manifest(spark: SparkSession, uri: str) -> DataFrame:
@@ -214,4 +214,4 @@ def read_tokens(spark: SparkSession, uri: str, key: str = "doc_id", with_ids: bo
                     columns.append(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return files.select("name", "base").repartition(n, "name").mapInArrow(run, schema).withColumnRenamed("_key", key)
+    return files.select("name", "base").repartition(n, "name").mapInArrow(tidy(run), schema).withColumnRenamed("_key", key)

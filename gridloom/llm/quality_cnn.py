@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.text import Texts, slices, texts_of
+from gridloom.llm.text import Texts, slices, texts_of, tidy
 
 # Bytes a filter sees, filters, hidden units, bytes by which overlapping chunks of two blocks advance.
 WIDTH, FILTERS, HIDDEN, BLOCK = 5, 24, 16, 128
@@ -144,4 +144,4 @@ def score(docs: DataFrame, network: Network, text: str = "text", keep: list[str]
                 chance = network.forward(texts_of(part.column("_scored")))["chance"].astype(np.float64)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(chance)], names=schema.names)
 
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidy(run), schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.text import Texts, Words, slices, texts_of
+from gridloom.llm.text import Texts, Words, slices, texts_of, tidy
 
 # Characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -29,7 +29,7 @@ MAX_COVERED = 30
 MAX_LONGEST = 15
 LONG_REPEAT = 24
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 RULES = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, longest_repeat long, "
@@ -192,4 +192,4 @@ def repetition_rules(docs: DataFrame, text: str = "text", keep: list[str] | None
                 out = pa.RecordBatch.from_arrays([*part.columns[:-1], struct], names=[*keep, "rules"])
                 yield out.filter(rules["kept"]) if only_kept else out
 
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidy(run), schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm.components import components
-from gridloom.llm.text import Words, mixed, powers, slices, texts_of
+from gridloom.llm.text import Words, mixed, powers, slices, texts_of, tidy
 from gridloom.llm.sizes import sent_if_small
 from gridloom.session import fresh_path, settle
 
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, keep: li
                 prints = fold_bits(*shingle_hashes(words, shingle))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(prints.view(np.int64))], names=[*keep, "_print"])
 
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidy(run), schema)
 
 
 def word_prints(docs: DataFrame, text: str, keep: list[str], n: int = FIND_PRINTS) -> DataFrame:
@@ -92,7 +92,7 @@ def word_prints(docs: DataFrame, text: str, keep: list[str], n: int = FIND_PRINT
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * n, pa.int32()), pa.array(np.stack(prints, axis=1).reshape(-1).view(np.int64)))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=[*keep, "_prints"])
 
-    return read.mapInArrow(run, schema)
+    return read.mapInArrow(tidy(run), schema)
 
 
 def covering_masks(radius: int, bits: int = BITS) -> list[int]:
@@ -169,7 +169,7 @@ def shingle_sets(docs: DataFrame, size: int = NEAR_SHINGLE) -> DataFrame:
                 sets = [np.unique(small[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(sets, pa.list_(pa.int32()))], names=["_row", "shingles"])
 
-    return docs.select("_row", "_text").mapInArrow(run, "_row long, shingles array<int>")
+    return docs.select("_row", "_text").mapInArrow(tidy(run), "_row long, shingles array<int>")
 
 
 def candidate_pairs(prints: DataFrame, radius: int, distance: int) -> DataFrame:

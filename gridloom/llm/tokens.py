@@ -8,11 +8,11 @@ import numpy as np
 
 from gridloom.llm.text import IS_WHITE, Texts, numbered
 
-# Words whose ids a Python worker remembers, and ids it keeps for them, before it starts anew.
-MAX_WORDS, MAX_IDS = 600_000, 8_000_000
+# Words whose ids a Python worker remembers, and ids it keeps for them, before it forgets the rarer half.
+MAX_WORDS, MAX_IDS = 500_000, 5_000_000
 
 # Distinct words handed to the tokenizer at once.
-GROUP = 20_000
+GROUP = 4_000
 
 
 def safe_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -58,6 +58,21 @@ class Encoder:
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 16, dtype=np.int32)
         self.stops = np.zeros(1 << 16, dtype=np.int64)  # of word w: ids[stops[w]:stops[w + 1]]
+        self.uses = np.zeros(1 << 16, dtype=np.int32)  # in how many slices, halved when words are forgotten
+
+    def forget_rare(self) -> None:
+        """Keep the more used half of the words (none if they hold too many ids)."""
+        words, ids, stops, uses = list(self.known), self.ids, self.stops, self.uses
+        kept = np.sort(np.argsort(-uses[: len(words)], kind="stable")[: MAX_WORDS // 2])
+        lengths = stops[kept + 1] - stops[kept]
+        self.forget()
+        if lengths.sum() > MAX_IDS // 2:
+            return
+        ends = np.cumsum(lengths)
+        self.ids = ids[np.repeat(stops[kept] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        self.stops = np.concatenate([[0], ends])
+        self.uses = uses[kept] // 2
+        self.known = {words[k]: i for i, k in enumerate(kept.tolist())}
 
     def _learn(self, words: list[bytes]) -> None:
         at = len(self.known)
@@ -69,8 +84,9 @@ class Encoder:
             total = int(end + lengths.sum())
             if total > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros(max(total, len(self.ids)), np.int32)])
-            if at + len(group) + 1 > len(self.stops):
-                self.stops = np.concatenate([self.stops, np.zeros(max(len(group), len(self.stops)), np.int64)])
+            if at + len(group) + 1 > min(len(self.stops), len(self.uses)):
+                self.stops = np.concatenate([self.stops, np.zeros(max(len(group) + 1, len(self.stops)), np.int64)])
+                self.uses = np.concatenate([self.uses, np.zeros(max(len(group) + 1, len(self.uses)), np.int32)])
             self.ids[end:total] = [x for y in found for x in y]
             self.stops[at + 1 : at + 1 + len(group)] = end + np.cumsum(lengths)
             self.known.update(zip(group, range(at, at + len(group)), strict=True))
@@ -79,12 +95,14 @@ class Encoder:
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row (without special tokens), and the bounds of each text in them."""
         if len(self.known) > MAX_WORDS or self.stops[len(self.known)] > MAX_IDS:
-            self.forget()
+            self.forget_rare()
         starts = safe_starts(texts.data, texts.bounds)
         numbers, distinct = numbered(texts.data, np.append(starts, len(texts.data))) if len(texts.data) else (np.zeros(0, np.int64), None)
         words = distinct.to_pylist() if distinct is not None else []
         self._learn([w for w in words if w not in self.known])
-        known = np.fromiter((self.known[w] for w in words), np.int64, len(words))[numbers] if words else numbers
+        places = np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        self.uses[places] += 1
+        known = places[numbers] if words else numbers
         first, lengths = self.stops[known], self.stops[known + 1] - self.stops[known]
         stops = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.ids[np.repeat(first - stops[:-1], lengths) + np.arange(stops[-1])]

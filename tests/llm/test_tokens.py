@@ -34,8 +34,10 @@ def test_ids_by_words_are_those_of_the_whole_text(path):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == plain.encode(text or "", add_special_tokens=False).ids, text
 
 
-def test_memory_of_words_starts_anew(monkeypatch):
-    monkeypatch.setattr("gridloom.llm.tokens.MAX_WORDS", 3)
+@pytest.mark.parametrize("words,ids", [(3, 100), (20, 10_000), (20, 15)])
+def test_words_are_forgotten_and_learnt_again(monkeypatch, words, ids):
+    monkeypatch.setattr("gridloom.llm.tokens.MAX_WORDS", words)
+    monkeypatch.setattr("gridloom.llm.tokens.MAX_IDS", ids)
     encoder, texts = Encoder(BYTES), odd_texts(30)
     once = Encoder(BYTES).encode(texts_of(pa.array(texts)))[0].tolist()
     pieces = [encoder.encode(texts_of(pa.array([t], pa.string())))[0].tolist() for t in texts]
