@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm.components import components
-from gridloom.llm.text import Words, mixed, powers, slices, texts_of, tidy
+from gridloom.llm.linking import linked, shared_buckets
+from gridloom.llm.text import Words, slices, texts_of, tidy
 from gridloom.llm.sizes import sent_if_small
 from gridloom.session import fresh_path, settle
 
@@ -20,10 +21,12 @@ BITS = 64
 SEED = 42
 RADIUS = 2
 
-# Near copies of documents: words of a shingle and similarity that decide; number of fingerprints and radius that
-# find candidates, and the mean distance beyond which a candidate is not looked at.
+# Near copies of documents: words of a shingle and similarity that decide.
 NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
-FIND_PRINTS, FIND_RADIUS, FIND_DISTANCE = 16, 2, 12
+
+# One in so many texts is looked at to learn which shingles are common, and how many of them are known. Both change
+# the cost only: any order of the shingles finds all pairs.
+COMMON_SAMPLE, COMMON_LEAST, COMMON_KNOWN = 16, 3, 1 << 18
 SLICE_BYTES = 1 << 20
 
 
@@ -73,28 +76,6 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3, keep: li
     return read.mapInArrow(tidy(run), schema)
 
 
-def word_prints(docs: DataFrame, text: str, keep: list[str], n: int = FIND_PRINTS) -> DataFrame:
-    """The columns ``keep`` and ``_prints``: ``n`` SimHashes of the distinct words (A-Z in lower case), each with
-    another hash function."""
-    read = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_hashed"))
-    schema = T.StructType([*read.schema.fields[:-1], T.StructField("_prints", T.ArrayType(T.LongType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_hashed", SLICE_BYTES):
-                words = Words(texts_of(part.column("_hashed")).lowered())
-                numbers, distinct = words.numbers()
-                hashes = np.array([xxhash.xxh64_intdigest(w, SEED) for w in distinct.to_pylist()], dtype=np.uint64)
-                size = max(1, len(hashes))
-                own = np.unique(np.repeat(np.arange(len(part)), words.counts()) * size + numbers)
-                bounds = np.searchsorted(own, np.arange(len(part) + 1) * size)
-                prints = [fold_bits(mixed(hashes + seed)[own % size], bounds) for seed in powers(n)]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1) * n, pa.int32()), pa.array(np.stack(prints, axis=1).reshape(-1).view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], names=[*keep, "_prints"])
-
-    return read.mapInArrow(tidy(run), schema)
-
-
 def covering_masks(radius: int, bits: int = BITS) -> list[int]:
     """2 ** (radius + 1) - 1 bit masks, of which at least one leaves out any ``radius`` bits.
 
@@ -172,50 +153,81 @@ def shingle_sets(docs: DataFrame, size: int = NEAR_SHINGLE) -> DataFrame:
     return docs.select("_row", "_text").mapInArrow(tidy(run), "_row long, shingles array<int>")
 
 
-def candidate_pairs(prints: DataFrame, radius: int, distance: int) -> DataFrame:
-    """Pairs of distinct texts (``_row``, a hash) that share a bucket of a table of any of their fingerprints
-    (``_prints``), whose mean distance is ``distance`` at most: each text with the least and the greatest
-    ``_row`` of its buckets, so that a bucket of m texts makes at most 2 m pairs. As the order is the same in
-    all tables, those pivots meet each other."""
-    each = prints.select("_row", F.posexplode("_prints").alias("f", "_print"))
-    buckets = [F.xxhash64("f", F.lit(k), F.col("_print").bitwiseAND(F.lit(signed(m)))) for k, m in enumerate(covering_masks(radius))]
-    rows = each.select("_row", F.explode(F.array(*buckets)).alias("bucket"))
-    pivots = rows.groupBy("bucket").agg(F.min("_row").alias("low"), F.max("_row").alias("high")).filter("low <> high")
-    met = rows.join(pivots, "bucket").select("_row", F.explode(F.array("low", "high")).alias("pivot")).filter("_row <> pivot")
-    pairs = met.select(F.least("_row", "pivot").alias("a"), F.greatest("_row", "pivot").alias("b")).distinct()
-    one = prints.select(F.col("_row").alias("a"), F.col("_prints").alias("x"))
-    two = prints.select(F.col("_row").alias("b"), F.col("_prints").alias("y"))
-    apart = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda sum, x: sum + x)
-    return pairs.join(one, "a").join(two, "b").filter(apart <= distance * F.size("x")).select("a", "b")
+def common_shingles(docs: DataFrame, size: int = NEAR_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that stand in several of a sample of the distinct texts (``_text``, ``_row``): their hashes in order,
+    and in how many texts of the sample each is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text", SLICE_BYTES):
+                hashes, bounds = shingle_hashes(Words(texts_of(part.column("_text")).lowered()), size)
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes[a:b]).view(np.int64))], names=["shingle"])
+
+    sample = docs.filter(F.pmod(F.col("_row"), F.lit(COMMON_SAMPLE)) == 0).select("_row", "_text").dropDuplicates(["_row"])
+    counts = sample.select("_text").mapInArrow(tidy(run), "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_LEAST)
+    top = counts.orderBy(F.desc("n"), "shingle").limit(COMMON_KNOWN).toArrow()
+    known = top.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(known)
+    return known[order], top.column("n").to_numpy()[order]
+
+
+def prefixes(docs: DataFrame, keep: list[str], similarity: float, size: int = NEAR_SHINGLE) -> DataFrame:
+    """The columns ``keep`` of ``docs``, ``n`` (distinct shingles of ``_text``), and ``prefix``: so many of these, the
+    least common first and then by hash, that two texts at ``similarity`` or more have one of them in common."""
+    known, count = common_shingles(docs, size)
+    read = docs.select(*keep, "_text")
+    schema = T.StructType([*read.schema.fields[:-1], *T.StructType.fromDDL("n int, prefix array<bigint>").fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "_text", SLICE_BYTES):
+                hashes, bounds = shingle_hashes(Words(texts_of(part.column("_text")).lowered()), size)
+                sizes, firsts = [], []
+                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+                    own = np.unique(hashes[a:b])
+                    n = len(own)
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                        own = own[np.argsort(np.where(known[at] == own, count[at], 0), kind="stable")]
+                    # A text without a word has one mark, so that such texts meet.
+                    firsts.append((own[: n - int(np.ceil(similarity * n - 1e-9)) + 1] if n else np.zeros(1, np.uint64)).view(np.int64))
+                    sizes.append(n)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=schema.names)
+
+    return read.mapInArrow(tidy(run), schema)
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = NEAR_SIMILARITY) -> DataFrame:
     """The documents that are copies or near copies of another one that stays: ``_key`` and ``_row`` (text hash).
 
     Two documents are linked if the Jaccard similarity of their five-word shingles is ``similarity`` or more; of
-    each component of links the document with the least key stays. Candidates come from covering hashing of 16
-    SimHash fingerprints over distinct words: a changed word changes one of these, not five, so texts at
-    the similarity of 0.8 are about six bits apart and not ten. The masks find all pairs of which some
-    fingerprint is at most two bits apart, and many beyond; candidates are verified exactly.
+    each component of links the document with the least key stays. In any common order of the shingles, two such texts
+    share one of the first fifth of each: these are the buckets, so no pair is missed, whatever the edit and
+    however many texts are alike. Pairs are verified exactly, but for those that are connected already.
 
     A null text is an empty one. Texts without a word are alike. Equal texts are one before any hashing. Rows with
     the same key and text are one document and stay or go together; null keys are least.
     """
     spark = docs.sparkSession
     read = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text")).withColumn("_row", F.xxhash64("_text"))
-    path = fresh_path(spark, "fingerprints")
-    word_prints(read, "_text", ["_key", "_row"]).write.parquet(path)
+    path = fresh_path(spark, "prefixes")
+    prefixes(read, ["_key", "_row"], similarity).write.parquet(path)
     printed = spark.read.parquet(path)
-    distinct = settle(printed.groupBy("_row").agg(F.first("_prints").alias("_prints"), F.min(F.struct("_key", "_row")).alias("low")))
-    pairs = settle(candidate_pairs(distinct.select("_row", "_prints"), FIND_RADIUS, FIND_DISTANCE))
-    wanted = pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct().join(distinct, "_row").select("low._key", "_row")
+    distinct = settle(printed.groupBy("_row").agg(F.min(F.struct("_key", "_row")).alias("low")))
+    firsts = printed.groupBy("_row").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    buckets = shared_buckets(firsts.select(F.explode("prefix").alias("bucket"), F.col("_row").alias("node"), "n"))
+    wanted = buckets.select(F.col("node").alias("_row")).distinct().join(distinct, "_row").select("low._key", "_row")
     wanted = sent_if_small(settle(wanted)).alias("w")
     owners = read.alias("d").join(wanted, F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row")))
     sets = settle(shingle_sets(owners.select("d._row", "d._text")).dropDuplicates(["_row"]))
-    sides = pairs.join(sets.select(F.col("_row").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("_row").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    alike = sides.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
-    roots = components(alike).select(F.col("node").alias("_row"), "root")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        sides = pairs.join(sets.select(F.col("_row").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("_row").alias("b"), F.col("shingles").alias("y")), "b")
+        common = F.size(F.array_intersect("x", "y"))
+        return sides.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common))
+
+    roots = linked(buckets, alike, similarity).select(F.col("node").alias("_row"), "root")
     classed = settle(distinct.join(roots, "_row", "left").select("_row", F.coalesce("root", "_row").alias("root"), "low"))
     keepers = classed.groupBy("root").agg(F.min("low").alias("keeper"))
     keeper = classed.join(keepers, "root").select("_row", "keeper")

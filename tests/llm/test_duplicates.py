@@ -240,3 +240,23 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in packed.collect()} == set(left)
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def variants(draw, words, n, changed):
+    """A text and ``n`` copies with ``changed`` words replaced, which are less like each other than like the text."""
+    out = [words]
+    for _ in range(n):
+        copy = list(words)
+        for at in draw.sample(range(len(words)), changed):
+            copy[at] = draw.choice(VOCABULARY)
+        out.append(copy)
+    return out
+
+
+def test_all_variants_of_one_text_are_linked(spark):
+    draw = random.Random(31)
+    rows = [(i, " ".join(w)) for i, w in enumerate(variants(draw, prose(draw, 450), 2000, 7))]
+    sets = [shingles(t) for _, t in rows]
+    want = {0} | {i for i in range(1, len(rows)) if len(sets[0] & sets[i]) < 0.8 * len(sets[0] | sets[i])}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.without_near_copies(docs).collect()} == want == {0}
