@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.components import components
+from gridloom.llm.linking import linked, shared_buckets
 from gridloom.llm.text import MIXERS, MULTIPLY, Words, mixed, powers, slices, texts_of, tidy
 from gridloom.session import fresh_path, settle
 
@@ -136,20 +136,6 @@ def contents(docs: DataFrame) -> DataFrame:
     return docs.select("_text", "_wanted").mapInArrow(tidy(run), "unit long, shingles array<int>")
 
 
-def candidate_links(distinct: DataFrame) -> DataFrame:
-    """Pairs of distinct paragraphs that share a band: each with two pivots of each of its buckets.
-
-    The pivots are the least and the greatest of a bucket by a hash that differs from band to band, so a bucket of
-    m paragraphs makes at most 2 m pairs, and each paragraph meets other pivots in other bands. Up to three
-    paragraphs in a bucket are all paired. Two that are not paired in one band are linked through any common pivot.
-    """
-    rows = distinct.select("unit", F.explode("bands").alias("band"))
-    order = F.xxhash64("unit", "band")
-    pivots = rows.groupBy("band").agg(F.min_by("unit", order).alias("low"), F.max_by("unit", order).alias("high")).filter("low <> high")
-    met = rows.join(pivots, "band").select("unit", F.explode(F.array("low", "high")).alias("pivot")).filter("unit <> pivot")
-    return met.select(F.least("unit", "pivot").alias("a"), F.greatest("unit", "pivot").alias("b")).distinct()
-
-
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """Stretches of documents that another document keeps: ``_key``, ``_row`` (a hash that tells rows of one
     key apart), ``start`` and ``stop`` (words), ``class_id`` and ``kept_in`` (the key of the document that keeps it).
@@ -169,21 +155,25 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     units(read).write.parquet(path)
     found = spark.read.parquet(path)
 
-    # Paragraphs: distinct ones, their candidate pairs, the content of these, and the links that hold.
+    # Paragraphs: distinct ones, those that share a band, the content of these, and the links that hold.
     lines = found.filter(F.col("kind") == PARAGRAPH)
     known = lines.groupBy("unit").agg(F.first(F.struct("_key", "_row", "at", "n", "bands")).alias("f"), F.min("_key").alias("keeper"), F.max("_key").alias("last"))
     path = fresh_path(spark, "distinct")
     known.select("unit", "f.*", "keeper", "last").write.parquet(path)
     known = spark.read.parquet(path)
-    pairs = settle(candidate_links(known.select("unit", "bands")))
-    wanted = pairs.select(F.col("a").alias("unit")).union(pairs.select("b")).distinct()
+    # All have one size: that of their shingle sets is not known yet.
+    buckets = shared_buckets(known.select(F.explode("bands").alias("bucket"), F.col("unit").alias("node"), F.lit(1).alias("n")))
+    wanted = buckets.select(F.col("node").alias("unit")).distinct()
     wanted = wanted.join(known, "unit").groupBy("_key", "_row").agg(F.collect_list(F.struct("unit", "at", "n")).alias("_wanted"))
     owners = read.dropDuplicates(["_key", "_row"]).alias("d").join(wanted.alias("w"), F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row")))
     sets = settle(contents(owners.select("_text", "_wanted")))
-    sides = pairs.join(sets.select(F.col("unit").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("unit").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    alike = sides.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common)).select("a", "b")
-    roots = components(alike).select(F.col("node").alias("unit"), "root")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        sides = pairs.join(sets.select(F.col("unit").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("unit").alias("b"), F.col("shingles").alias("y")), "b")
+        common = F.size(F.array_intersect("x", "y"))
+        return sides.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common))
+
+    roots = linked(buckets, alike, similarity).select(F.col("node").alias("unit"), "root")
     classed = known.join(roots, "unit", "left").select("unit", F.coalesce("root", "unit").alias("class_id"), "keeper", "last")
     keepers = classed.groupBy("class_id").agg(F.min("keeper").alias("keeper"), F.max("last").alias("last")).filter("keeper <> last")
     line_classes = classed.select("unit", "class_id").join(keepers, "class_id").select("unit", "class_id", "keeper")

@@ -260,3 +260,15 @@ def test_all_variants_of_one_text_are_linked(spark):
     want = {0} | {i for i in range(1, len(rows)) if len(sets[0] & sets[i]) < 0.8 * len(sets[0] | sets[i])}
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r["doc_id"] for r in simhash.without_near_copies(docs).collect()} == want == {0}
+
+
+def test_all_variants_of_one_paragraph_are_linked(spark):
+    draw = random.Random(33)
+    lines = [" ".join(w) for w in variants(draw, prose(draw, 100), 300, 2)]
+    sets = [shingles(x) for x in lines]
+    links = [(i, j) for i in range(len(lines)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    root = roots(len(lines), links)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r["_key"] for r in paragraph_dedup.repeats(docs).filter("stop - start = 100 AND kept_in = 0").collect()}
+    missed = {i for i in range(1, len(lines)) if root[i] == 0} - found
+    assert len(missed) <= 0.03 * len(lines)
