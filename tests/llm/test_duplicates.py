@@ -272,3 +272,22 @@ def test_all_variants_of_one_paragraph_are_linked(spark):
     found = {r["_key"] for r in paragraph_dedup.repeats(docs).filter("stop - start = 100 AND kept_in = 0").collect()}
     missed = {i for i in range(1, len(lines)) if root[i] == 0} - found
     assert len(missed) <= 0.03 * len(lines)
+
+
+def test_blocks_added_and_long_texts_of_few_words_are_found(spark):
+    draw = random.Random(32)
+    rows = []
+    for n in (40, 100, 400, 1500):
+        for _ in range(10):
+            base = prose(draw, n)
+            rows += [base, [*base, *prose(draw, int(n * 0.23))], base[: int(n * 0.83)]]
+    few = [VOCABULARY[draw.randint(0, 999)] for _ in range(9000)]
+    new = list(few)
+    for at in draw.sample(range(9000), 200):
+        new[at] = f"new{at}"
+    rows = [(i, " ".join(w)) for i, w in enumerate([*rows, few, new])]
+    sets = [shingles(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(links) > 60
+    assert {r["doc_id"] for r in simhash.without_near_copies(docs).collect()} == set(roots(len(rows), links))
