@@ -39,6 +39,9 @@ COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|reply|respond|reader-?c
 SIGMA, REACH = 1.0, 3
 KERNEL = [math.exp(-(k * k) / (2 * SIGMA * SIGMA)) for k in range(-REACH, REACH + 1)]
 
+# Prior of the elements named for it: a line inside an article or main element weighs so much more than one outside.
+PRIOR = 2.0
+
 
 class Lines(HTMLParser):
     """Lines of a page: text of one block, tags seen in it, its region, whether it is inside an article or main
@@ -87,7 +90,9 @@ class Lines(HTMLParser):
                     furniture = True
         if furniture:
             self.flush()
-        main, region = tag in MAIN, tag in SECTIONING
+        # An article or main element is one region, whatever sections and tables are inside it.
+        main = tag in MAIN
+        region = main or (tag in SECTIONING and not self.main)
         if region:
             self.n_regions += 1
             self.regions.append(self.n_regions)
@@ -159,10 +164,9 @@ def main_text(html: str | None) -> str:
     """The blocks of the content regions of a page, one a line; empty for a null or empty page.
 
     Lines in menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are no
-    candidates. If some candidate is inside an article or main element, the others are not either. The
-    regions (innermost sectioning element) with a line whose smoothed text-to-tag ratio reaches the threshold
-    between the two clusters of ratios are content, whole: a short line beside long ones stays. Inside article
-    and main elements all regions are content.
+    candidates. The regions (innermost article or main element, outside of these innermost sectioning element) with
+    a line whose smoothed text-to-tag ratio, times PRIOR inside an article or main element, reaches the threshold
+    between the two clusters of these values are content, whole: a short line beside long ones stays.
     """
     if not html:
         return ""
@@ -171,12 +175,10 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.flush()
     lines = parser.lines
-    inside = [line for line in lines if line[3]]
-    if inside:
-        return "\n".join(line[0] for line in inside)
     if not lines:
         return ""
     ratios = smoothed([len(text) / tags for text, tags, _, _ in lines])
+    ratios = [ratio * PRIOR if line[3] else ratio for line, ratio in zip(lines, ratios, strict=True)]
     cut = threshold(ratios)
     content = {line[2] for line, ratio in zip(lines, ratios, strict=True) if ratio >= cut}
     return "\n".join(line[0] for line in lines if line[2] in content)

@@ -145,3 +145,12 @@ def test_classifier_on_odd_rows(spark):
     network = quality_cnn.fit(docs, labels, F.lit(True))
     assert all(0 <= r["score"] <= 1 for r in quality_cnn.score(docs, network).collect())
     assert quality_cnn.score(docs.limit(0), quality_cnn.fit(docs.limit(0), labels.limit(0), F.lit(True))).count() == 0
+
+
+def test_ratios_decide_on_pages_with_an_article_too():
+    long = [f"<p>{'A long line of the story that goes on and on. ' * 6}{k}</p>" for k in range(6)]
+    story = "\n".join(x[3:-4] for x in long)
+    card = "<article class='quote'><p>A short quote.</p></article><div class='story'>" + "".join(long) + "</div>"
+    assert story in html_extract.main_text(card)
+    second = "<article>" + "".join(long) + "</article><article><h2>Next</h2><p>Short.</p><p>More here.</p><p>Read on.</p><p>Also.</p></article>"
+    assert html_extract.main_text(second) == story
