@@ -1,55 +1,77 @@
-"""Links between members of buckets, found in rounds of pivots until every pair that shares a bucket is compared
-or in one component."""
+"""Links between members of buckets: every pair that shares a bucket is compared or is in one component already."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gridloom.llm.components import components
 from gridloom.session import settle
 
+# After the rounds of one pivot per bucket, so many parts of the nodes are pivots, the last time all.
+PARTS = (16, 4, 1)
+
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """Distinct rows of ``bucket``, ``node`` and ``n`` (size of the node) in buckets with two nodes or more, once for
-    buckets of the same nodes, with the place ``i`` of the node in its bucket: first those that meet most others."""
-    many = settle(rows.withColumn("_m", F.count("*").over(W.partitionBy("bucket"))).filter("_m > 1"))
-    signs = many.groupBy("bucket").agg(F.first("_m").alias("m"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y"))
-    once = signs.groupBy("m", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket")
-    score = many.groupBy("node").agg(F.sum("_m").alias("_score"))
-    order = W.partitionBy("bucket").orderBy(F.desc("_score"), "node")
-    return settle(many.join(once, "bucket", "left_semi").join(score, "node").select("bucket", "node", "n", (F.row_number().over(order) - 1).alias("i")))
+    """``bucket``, ``node``, ``pos`` (place of the bucket in the node's order) and ``score`` for buckets of two nodes or more.
+
+    Of buckets with the same nodes only the one first in the nodes' common order stays. The score of a node is the
+    number of members of all its buckets: high for one that many others are like. ``rows`` has a node
+    once in a bucket. Buckets are counted by partial aggregation, so none is gathered in one task.
+    """
+    size, x, y = F.count("*").alias("m"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")
+    sizes = rows.groupBy("bucket").agg(size, x, y, F.sum("pos").alias("places")).filter("m > 1")
+    once = sizes.groupBy("m", "x", "y").agg(F.min(F.struct("places", "bucket")).alias("f")).select("f.bucket", "m")
+    many = settle(rows.join(once, "bucket"))
+    return settle(many.join(many.groupBy("node").agg(F.sum("m").alias("score")), "node").select("bucket", "node", "pos", "score"))
 
 
-def linked(buckets: DataFrame, alike: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+def linked(tables: list[DataFrame], facts: DataFrame, near: str, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``node`` and ``root`` (the least node of its component) of the nodes linked to another one.
 
-    ``buckets`` comes from ``shared_buckets``; ``alike`` takes pairs (``a``, ``b``) and keeps the true ones. In each
-    round the first members of every bucket, twice as many as before, are pivots and meet all others of another
-    component, unless the sizes alone rule out the similarity; then they leave. A bucket is done when all that
-    is left of it is one component. So the result is that of all pairs; a bucket of m members around one that is
-    like all costs m pairs, and one of members that are all unlike each other costs all its pairs.
+    ``tables`` come from ``shared_buckets``; the last one decides, those before it are there to connect what is very
+    much alike at little cost. ``facts`` has more columns of each node; ``near`` is an SQL condition on two members
+    ``p`` and ``m`` of a bucket that no true pair fails; ``alike`` takes pairs (``a``, ``b``) and keeps the true ones.
+
+    First one member of each bucket, the one with the highest score, meets all others; then a sixteenth of the
+    nodes, a fourth, and all of them meet the rest, always only those of another component. A pair's round depends
+    on its two nodes alone, so it is verified once. The result is that of all pairs: no pair is left out but those
+    that are connected already.
     """
-    rows = buckets.withColumn("label", F.col("node"))
-    seen = stars = None
-    done = 0
-    while True:
-        to = 2 * done + 1
-        pivots = rows.filter(F.col("i") < to).select("bucket", F.col("node").alias("_node"), F.col("n").alias("_n"), F.col("i").alias("_i"), F.col("label").alias("_label"))
-        near = F.least("n", "_n") >= F.lit(similarity) * F.greatest("n", "_n")
-        met = rows.join(pivots, "bucket").filter((F.col("i") > F.col("_i")) & (F.col("label") != F.col("_label")) & near)
-        pairs = met.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
-        pairs = settle(pairs if seen is None else pairs.join(seen, ["a", "b"], "left_anti"))
-        seen = pairs if seen is None else seen.union(pairs)
+    stars = tested = None
+    steps = [(table, 0) for table in tables] + [(tables[-1], part) for part in PARTS]
+    for table, part in steps:
+        labelled = table.withColumn("label", F.col("node"))
+        if stars is not None:
+            labelled = table.join(stars, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+        labelled = settle(labelled)
+        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
+        mixed = settle(mixed)
+        if mixed.isEmpty():
+            continue
+        rows = labelled.join(mixed, "bucket", "left_semi")
+        order = F.xxhash64("node", F.lit(part))
+        if part:
+            pivots = rows.filter(F.pmod(F.xxhash64("node"), F.lit(part)) == 0)
+            # two pivots meet once; one that was a pivot of the round before has met all
+            before = [p for p in PARTS if p > part]
+            fresh = F.lit(True) if not before else F.pmod(F.xxhash64("node"), F.lit(before[-1])) != 0
+            rows, pivots = rows.filter(fresh), pivots.filter(fresh)
+            once = (F.pmod(F.xxhash64("m.node"), F.lit(part)) != 0) | (F.col("p.node") < F.col("m.node"))
+        else:
+            first = rows.groupBy("bucket").agg(F.max(F.struct("score", order, "node")).alias("f")).select("bucket", "f.node")
+            pivots = rows.join(first, ["bucket", "node"], "left_semi")
+            once = F.lit(True)
+        m, p = rows.join(facts, "node").alias("m"), pivots.join(facts, "node").alias("p")
+        met = m.join(p, (F.col("m.bucket") == F.col("p.bucket")) & (F.col("m.label") != F.col("p.label")) & once & F.expr(near))
+        pairs = met.select(F.least("m.node", "p.node").alias("a"), F.greatest("m.node", "p.node").alias("b")).distinct()
+        pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        if not part:
+            tested = pairs if tested is None else settle(tested.union(pairs))
         found = alike(pairs).select("a", "b")
         stars = settle(components(found if stars is None else found.union(stars.select("node", "root"))))
-        rows = rows.filter(F.col("i") >= to).drop("label").join(stars, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-        rows = settle(rows)
-        left = rows.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-        rows = settle(rows.join(left, "bucket", "left_semi"))
-        if rows.isEmpty():
-            return stars
-        done = to
+    return tables[-1].select("node", F.col("node").alias("root")).limit(0) if stars is None else stars

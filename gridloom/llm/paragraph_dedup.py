@@ -25,8 +25,13 @@ PARAGRAPH_WORDS, PASSAGE_WORDS = 20, 20
 # A passage begins at a word whose hash is the least among so many words to either side.
 REACH = 6
 
-# Bands of minima: two paragraphs at similarity 0.8 share one with a chance of 1 - (1 - 0.8 ** 2) ** 5 = 99.4 %.
-BANDS, ROWS = 5, 2
+# Bands of minima: two paragraphs at similarity 0.8 share one with a chance of 1 - (1 - 0.8 ** 4) ** 10 = 99.5 %, at
+# similarity 0.4 with 23 %. Two bands together (8 minima) are shared by what is very much alike.
+BANDS, ROWS = 10, 4
+
+# A set of so many shingles or fewer goes with a member of a bucket as it is; of a larger one the least so many, which
+# have fewer in common by SLACK (over four deviations) than the sets' similarity says with a chance of 1 in 100,000.
+SAMPLE, SLACK = 256, 28
 
 SLICE_BYTES = 1 << 20
 PARAGRAPH, PASSAGE = 0, 1
@@ -67,7 +72,8 @@ class Hashed:
         unit = mixed(np.add.reduceat(self.hashes[at] * powers(int(size.max()))[inside], starts) ^ (size.astype(np.uint64) * MIXERS[1]))
         whole = inside <= np.repeat(size, size) - SHINGLE
         shingles, begin = self.shingles[at[whole]], np.cumsum(size - SHINGLE + 1) - (size - SHINGLE + 1)
-        minima = [np.minimum.reduceat(mixed(shingles + seed), begin) for seed in powers(BANDS * ROWS)]
+        # A product with an odd number is another order of hashes that are well mixed already.
+        minima = [np.minimum.reduceat(shingles * (mixed(seed) | np.uint64(1)), begin) for seed in powers(BANDS * ROWS + 1)[1:, None]]
         bands = [mixed(minima[b * ROWS] * MULTIPLY + sum(minima[b * ROWS + 1 : (b + 1) * ROWS]) + np.uint64(b)) for b in range(BANDS)]
         return first, size, unit, np.stack(bands, axis=1)
 
@@ -119,21 +125,33 @@ def units(docs: DataFrame) -> DataFrame:
 
 
 def contents(docs: DataFrame) -> DataFrame:
-    """Shingle sets of wanted paragraphs: from ``_text`` and ``_wanted`` (their hash, first word and words)."""
+    """Shingle sets of wanted paragraphs: from ``_text`` and ``_wanted`` (their hash, first word and words). ``part`` is
+    the least SAMPLE of them at 32 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", SLICE_BYTES):
                 hashed = Hashed(part.column("_text"))
-                names, sets = [], []
+                names, sets, parts = [], [], []
                 for begin, wanted in zip(hashed.words.text_bounds[:-1].tolist(), part.column("_wanted").to_pylist(), strict=True):
                     for w in wanted:
                         first = begin + w["at"]
                         names.append(w["unit"])
-                        sets.append(np.unique(hashed.shingles[first : first + w["n"] - SHINGLE + 1].astype(np.uint32).view(np.int32)))
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.list_(pa.int32()))], names=["unit", "shingles"])
+                        own = np.unique(hashed.shingles[first : first + w["n"] - SHINGLE + 1])
+                        sets.append(own.view(np.int64))
+                        parts.append((own[:SAMPLE] >> np.uint64(32)).astype(np.uint32).view(np.int32))
+                columns = [pa.array(names, pa.int64()), pa.array(sets, pa.list_(pa.int64())), pa.array(parts, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["unit", "shingles", "part"])
+
+    return docs.select("_text", "_wanted").mapInArrow(tidy(run), "unit long, shingles array<bigint>, part array<int>")
+
 
-    return docs.select("_text", "_wanted").mapInArrow(tidy(run), "unit long, shingles array<int>")
+def near(similarity: float) -> str:
+    """Condition on two paragraphs ``p`` and ``m``: their sizes ``n``, and the common shingles of ``part``, which small sets
+    have whole (one more, as two may have the same 32 bits) and large ones to the extent of the larger one's sample."""
+    large = "greatest(m.n, p.n)"
+    least = f"{similarity / (1 + similarity)} * (m.n + p.n) * least({SAMPLE}, {large}) / {large}"
+    return f"least(m.n, p.n) >= {similarity} * {large} AND size(array_intersect(m.part, p.part)) + if({large} > {SAMPLE}, {SLACK}, 1) >= {least}"
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -161,8 +179,12 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     path = fresh_path(spark, "distinct")
     known.select("unit", "f.*", "keeper", "last").write.parquet(path)
     known = spark.read.parquet(path)
-    # All have one size: that of their shingle sets is not known yet.
-    buckets = shared_buckets(known.select(F.explode("bands").alias("bucket"), F.col("unit").alias("node"), F.lit(1).alias("n")))
+    bands = known.select(F.col("unit").alias("node"), F.lit(0).alias("pos"), F.posexplode("bands").alias("band", "bucket"))
+    buckets = shared_buckets(bands.select("bucket", "node", "pos"))
+    pair = F.xxhash64(F.get("bands", F.col("band")), F.get("bands", (F.col("band") + 1) % BANDS))
+    deep = known.join(buckets.select(F.col("node").alias("unit")).distinct(), "unit", "left_semi")
+    deep = deep.select(F.col("unit").alias("node"), F.lit(0).alias("pos"), "bands", F.posexplode("bands").alias("band", "_one")).select("node", "pos", pair.alias("bucket"))
+    deep = shared_buckets(deep)
     wanted = buckets.select(F.col("node").alias("unit")).distinct()
     wanted = wanted.join(known, "unit").groupBy("_key", "_row").agg(F.collect_list(F.struct("unit", "at", "n")).alias("_wanted"))
     owners = read.dropDuplicates(["_key", "_row"]).alias("d").join(wanted.alias("w"), F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row")))
@@ -173,7 +195,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
         common = F.size(F.array_intersect("x", "y"))
         return sides.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common))
 
-    roots = linked(buckets, alike, similarity).select(F.col("node").alias("unit"), "root")
+    facts = sets.select(F.col("unit").alias("node"), F.size("shingles").alias("n"), "part")
+    roots = linked([deep, buckets], facts, near(similarity), alike).select(F.col("node").alias("unit"), "root")
     classed = known.join(roots, "unit", "left").select("unit", F.coalesce("root", "unit").alias("class_id"), "keeper", "last")
     keepers = classed.groupBy("class_id").agg(F.min("keeper").alias("keeper"), F.max("last").alias("last")).filter("keeper <> last")
     line_classes = classed.select("unit", "class_id").join(keepers, "class_id").select("unit", "class_id", "keeper")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm import ctw, decontaminate, html_extract, packing, paragraph_dedup, pfor, quality_cnn, quotes, repetition, simhash
+from gridloom.llm import ctw, decontaminate, hadamard, html_extract, ngram_join, packing, paragraph_dedup, pfor, quality_cnn, quotes, repair, repetition, simhash
 from gridloom.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,44 @@ def op4(spark, d):
 def op3(spark, d):
     found = paragraph_dedup.stretches(paragraph_dedup.repeats(table(spark, d, "documents")))
     return found.select(F.col("_key").alias("doc_id"), "start", "stop", "class_id", "kept_in")
+
+
+def assigned_sql(source: str, centroids: str) -> str:
+    return f"""SELECT r, arg_min(c, row(d, c)) AS cluster, min(d) AS distance FROM (SELECT r, c, sum((v - w) * (v - w)) AS d
+      FROM {source} JOIN {centroids} USING (i) GROUP BY r, c) GROUP BY r"""
+
+
+def round_sql(k: int) -> str:
+    return f"""a{k} AS MATERIALIZED ({assigned_sql('x', f'c{k}')}),
+m{k} AS (SELECT cluster AS c, i, CAST(sum(v) AS HUGEINT) AS s, count(*) AS n FROM x JOIN a{k} USING (r) GROUP BY cluster, i),
+c{k + 1} AS MATERIALIZED (SELECT c, i, CASE WHEN n IS NULL THEN w ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS w FROM c{k} LEFT JOIN m{k} USING (c, i)),"""
+
+
+CLUSTER_SQL = f"""
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+x AS MATERIALIZED (SELECT r, i, CAST(floor(64 * CAST(u AS DOUBLE)) AS BIGINT) AS v FROM (SELECT r, unnest(embedding) AS u, unnest(range(64)) AS i FROM e)),
+s AS (SELECT r, row_number() OVER (ORDER BY h, f) - 1 AS c FROM (SELECT r, sha256('1:' || vec_id) AS h, list_transform(embedding, lambda u: floor(64 * CAST(u AS DOUBLE))) AS f FROM e) ORDER BY h, f LIMIT 16),
+c0 AS MATERIALIZED (SELECT c, i, v AS w FROM x JOIN s USING (r)),
+{round_sql(0)}
+{round_sql(1)}
+{round_sql(2)}
+f AS MATERIALIZED ({assigned_sql('x', 'c3')}),
+g AS (SELECT cluster, CAST(sum(distance) AS BIGINT) AS cluster_inertia FROM f GROUP BY cluster),
+h AS (SELECT c AS cluster, sha256(string_agg(CAST(w AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY c)
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, cluster_inertia, CAST((SELECT sum(distance) FROM f) AS BIGINT) AS inertia, centroid_sha256
+FROM f JOIN e USING (r) JOIN g USING (cluster) JOIN h USING (cluster)"""
+
+
+@query("op11_centroid_clustering", CLUSTER_SQL)
+def op11(spark, d):
+    return hadamard.cluster(table(spark, d, "embeddings")).withColumnRenamed("_key", "vec_id")
+
+
+@query("op12_ngram_join")
+def op12(spark, d):
+    return ngram_join.similar(table(spark, d, "documents")).withColumnRenamed("_key", "doc_id")
+
+
+@query("op13_conversation_repair")
+def op13(spark, d):
+    return repair.repair(table(spark, d, "conversations"), damage=True).withColumnRenamed("_conv", "conv_id")

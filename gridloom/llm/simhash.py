@@ -12,21 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloom.llm.components import components
-from gridloom.llm.linking import linked, shared_buckets
 from gridloom.llm.text import Words, slices, texts_of, tidy
-from gridloom.llm.sizes import sent_if_small
 from gridloom.session import fresh_path, settle
 
 BITS = 64
 SEED = 42
 RADIUS = 2
 
-# Near copies of documents: words of a shingle and similarity that decide.
-NEAR_SHINGLE, NEAR_SIMILARITY = 5, 0.8
-
-# One in so many texts is looked at to learn which shingles are common, and how many of them are known. Both change
-# the cost only: any order of the shingles finds all pairs.
-COMMON_SAMPLE, COMMON_LEAST, COMMON_KNOWN = 16, 3, 1 << 18
 SLICE_BYTES = 1 << 20
 
 
@@ -119,6 +111,12 @@ def close_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return groups.select(F.array_min("all").alias("b"), F.explode("all").alias("a")).filter("a <> b").select("a", "b").distinct()
 
 
+def rooted(distinct: DataFrame, radius: int) -> DataFrame:
+    """``distinct`` (one row per ``_print``) with ``root``, a fingerprint that stands for its component."""
+    found = components(close_links(distinct.select("_print"), radius)).select(F.col("node").alias("_print"), "root")
+    return settle(distinct.join(found, "_print", "left").withColumn("root", F.coalesce("root", "_print")))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
     """Each row's ``key``, its fingerprint (``_print``) and ``component_id``: the smallest key reachable over links
     between fingerprints at most ``radius`` bits apart.
@@ -127,116 +125,29 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     same component. A null key never becomes a component's id (unless all its keys are null). Equal
     fingerprints are one row before any hashing, so copies cost nothing more, however many there are.
     """
-    spark = docs.sparkSession
-    path = fresh_path(spark, "fingerprints")
+    path = fresh_path(docs.sparkSession, "fingerprints")
     fingerprints(docs, text, shingle, [key]).withColumnRenamed(key, "_key").write.parquet(path)
-    printed = spark.read.parquet(path)
-    distinct = settle(printed.groupBy("_print").agg(F.min("_key").alias("low")))
-    rooted = components(close_links(distinct.select("_print"), radius)).select(F.col("node").alias("_print"), "root")
-    rooted = settle(distinct.join(rooted, "_print", "left").withColumn("root", F.coalesce("root", "_print")))
-    lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    labels = rooted.join(lows, "root").select("_print", "component_id")
+    printed = docs.sparkSession.read.parquet(path)
+    distinct = rooted(settle(printed.groupBy("_print").agg(F.min("_key").alias("low"))), radius)
+    lows = distinct.groupBy("root").agg(F.min("low").alias("component_id"))
+    labels = distinct.join(lows, "root").select("_print", "component_id")
     return printed.join(labels, "_print").select(F.col("_key").alias(key), "_print", "component_id")
 
 
-def shingle_sets(docs: DataFrame, size: int = NEAR_SHINGLE) -> DataFrame:
-    """The distinct shingles (32-bit hashes) of ``_text``, as ``shingles`` beside ``_row``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text", SLICE_BYTES):
-                hashes, bounds = shingle_hashes(Words(texts_of(part.column("_text")).lowered()), size)
-                small = hashes.astype(np.uint32).view(np.int32)
-                sets = [np.unique(small[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("_row"), pa.array(sets, pa.list_(pa.int32()))], names=["_row", "shingles"])
-
-    return docs.select("_row", "_text").mapInArrow(tidy(run), "_row long, shingles array<int>")
-
-
-def common_shingles(docs: DataFrame, size: int = NEAR_SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that stand in several of a sample of the distinct texts (``_text``, ``_row``): their hashes in order,
-    and in how many texts of the sample each is."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text", SLICE_BYTES):
-                hashes, bounds = shingle_hashes(Words(texts_of(part.column("_text")).lowered()), size)
-                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes[a:b]).view(np.int64))], names=["shingle"])
-
-    sample = docs.filter(F.pmod(F.col("_row"), F.lit(COMMON_SAMPLE)) == 0).select("_row", "_text").dropDuplicates(["_row"])
-    counts = sample.select("_text").mapInArrow(tidy(run), "shingle long").groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON_LEAST)
-    top = counts.orderBy(F.desc("n"), "shingle").limit(COMMON_KNOWN).toArrow()
-    known = top.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(known)
-    return known[order], top.column("n").to_numpy()[order]
-
-
-def prefixes(docs: DataFrame, keep: list[str], similarity: float, size: int = NEAR_SHINGLE) -> DataFrame:
-    """The columns ``keep`` of ``docs``, ``n`` (distinct shingles of ``_text``), and ``prefix``: so many of these, the
-    least common first and then by hash, that two texts at ``similarity`` or more have one of them in common."""
-    known, count = common_shingles(docs, size)
-    read = docs.select(*keep, "_text")
-    schema = T.StructType([*read.schema.fields[:-1], *T.StructType.fromDDL("n int, prefix array<bigint>").fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text", SLICE_BYTES):
-                hashes, bounds = shingle_hashes(Words(texts_of(part.column("_text")).lowered()), size)
-                sizes, firsts = [], []
-                for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                    own = np.unique(hashes[a:b])
-                    n = len(own)
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                        own = own[np.argsort(np.where(known[at] == own, count[at], 0), kind="stable")]
-                    # A text without a word has one mark, so that such texts meet.
-                    firsts.append((own[: n - int(np.ceil(similarity * n - 1e-9)) + 1] if n else np.zeros(1, np.uint64)).view(np.int64))
-                    sizes.append(n)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(sizes, pa.int32()), pa.array(firsts, pa.list_(pa.int64()))], names=schema.names)
-
-    return read.mapInArrow(tidy(run), schema)
-
-
-def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = NEAR_SIMILARITY) -> DataFrame:
-    """The documents that are copies or near copies of another one that stays: ``_key`` and ``_row`` (text hash).
-
-    Two documents are linked if the Jaccard similarity of their five-word shingles is ``similarity`` or more; of
-    each component of links the document with the least key stays. In any common order of the shingles, two such texts
-    share one of the first fifth of each: these are the buckets, so no pair is missed, whatever the edit and
-    however many texts are alike. Pairs are verified exactly, but for those that are connected already.
+def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one document of each component of ``near_duplicates``: the one with the least key, null keys last.
 
-    A null text is an empty one. Texts without a word are alike. Equal texts are one before any hashing. Rows with
-    the same key and text are one document and stay or go together; null keys are least.
+    Rows with the same key and text are one document and stay or go together; of different texts with one key in
+    one component, one stays. A null text is an empty one. Columns and values of what stays are as before.
     """
-    spark = docs.sparkSession
-    read = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text")).withColumn("_row", F.xxhash64("_text"))
-    path = fresh_path(spark, "prefixes")
-    prefixes(read, ["_key", "_row"], similarity).write.parquet(path)
-    printed = spark.read.parquet(path)
-    distinct = settle(printed.groupBy("_row").agg(F.min(F.struct("_key", "_row")).alias("low")))
-    firsts = printed.groupBy("_row").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    buckets = shared_buckets(firsts.select(F.explode("prefix").alias("bucket"), F.col("_row").alias("node"), "n"))
-    wanted = buckets.select(F.col("node").alias("_row")).distinct().join(distinct, "_row").select("low._key", "_row")
-    wanted = sent_if_small(settle(wanted)).alias("w")
-    owners = read.alias("d").join(wanted, F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row")))
-    sets = settle(shingle_sets(owners.select("d._row", "d._text")).dropDuplicates(["_row"]))
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        sides = pairs.join(sets.select(F.col("_row").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("_row").alias("b"), F.col("shingles").alias("y")), "b")
-        common = F.size(F.array_intersect("x", "y"))
-        return sides.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common))
-
-    roots = linked(buckets, alike, similarity).select(F.col("node").alias("_row"), "root")
-    classed = settle(distinct.join(roots, "_row", "left").select("_row", F.coalesce("root", "_row").alias("root"), "low"))
-    keepers = classed.groupBy("root").agg(F.min("low").alias("keeper"))
-    keeper = classed.join(keepers, "root").select("_row", "keeper")
-    stays = F.col("_key").eqNullSafe(F.col("keeper._key")) & (F.col("_row") == F.col("keeper._row"))
-    return printed.join(keeper, "_row").filter(~stays).select("_key", "_row")
-
-
-def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without ``near_copies``; columns and values of the others stay as they are."""
-    gone = sent_if_small(settle(near_copies(docs, key, text).distinct())).alias("g")
+    content = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
+    read = docs.select(F.col(f"`{key}`").alias("_key"), content.alias("_row"), F.col(f"`{text}`").alias("_text"))
+    path = fresh_path(docs.sparkSession, "fingerprints")
+    fingerprints(read, "_text", shingle, ["_key", "_row"]).write.parquet(path)
+    printed = docs.sparkSession.read.parquet(path).withColumn("_place", F.struct(F.col("_key").isNull().alias("last"), "_key", "_row"))
+    distinct = rooted(settle(printed.groupBy("_print").agg(F.min("_place").alias("low"), F.max("_place").alias("high"))), radius)
+    keepers = distinct.groupBy("root").agg(F.min("low").alias("keeper"), F.max("high").alias("other")).filter("keeper <> other").select("root", "keeper")
+    labels = distinct.join(keepers, "root").select("_print", "keeper")
+    gone = printed.join(labels, "_print").filter("_place <> keeper").select("_key", "_row").distinct().alias("g")
     same = F.col(f"d.`{key}`").eqNullSafe(F.col("g._key")) & (F.xxhash64(F.coalesce(F.col(f"d.`{text}`"), F.lit(""))) == F.col("g._row"))
     return docs.alias("d").join(gone, same, "left_anti")

@@ -6,7 +6,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from gridloom.llm import decontaminate, paragraph_dedup, simhash
+from gridloom.llm import decontaminate, ngram_join, paragraph_dedup, simhash
 from gridloom.llm.components import components
 
 DRAW = random.Random(9)
@@ -115,17 +115,66 @@ def corpus():
     return [(k, " ".join(w), "en", "s", 1) for k, w in enumerate(rows)]
 
 
-def test_near_copies(spark):
-    rows = corpus() + [(None, None, None, None, None), (900, "", "", "", 0), (901, "tiny", None, None, None), (902, "tiny", None, None, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, source string, n_chars int")
-    kept = simhash.without_near_copies(docs)
-    assert kept.columns == docs.columns
+def brute_join(rows):
+    """(key, n_shingles, component_id) of every row."""
     sets = [shingles(r[1]) for r in rows]
-    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
     root = roots(len(rows), links)
-    want = {min((-1 if rows[i][0] is None else rows[i][0]) for i in range(len(rows)) if root[i] == r) for r in set(root)}
-    assert {-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()} == want
-    assert simhash.without_near_copies(docs.limit(0)).count() == 0
+    low = {}
+    for i, r in enumerate(rows):
+        low[root[i]] = min((k for k in (low.get(root[i]), r[0]) if k is not None), default=None)
+    return sorted((-1 if r[0] is None else r[0], len(sets[i]), -1 if low[root[i]] is None else low[root[i]]) for i, r in enumerate(rows))
+
+
+def joined(docs):
+    return sorted(tuple(-1 if v is None else v for v in r) for r in ngram_join.similar(docs).collect())
+
+
+ODD = [(None, None, None, None, None), (900, "", "", "", 0), (904, " \n\t", "", "", 0), (901, "tiny", None, None, None), (902, "Tiny", None, None, None), (None, "tiny", "a", "b", 1)]
+
+
+def test_join_against_brute_force(spark):
+    rows = corpus() + ODD + [(3, "another text under a key that is there already", "", "", 0), (903, "one two three four", "", "", 1), (905, "one two three four five", "", "", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string, prefix string, n int")
+    got = ngram_join.similar(docs)
+    assert got.columns == ["_key", "n_shingles", "component_id"]
+    assert joined(docs) == brute_join(rows)
+    assert sum(k != c for k, _, c in joined(docs)) > 30
+    assert ngram_join.similar(docs.limit(0)).count() == 0
+
+
+def test_join_filters_lose_no_pair():
+    """Prefix, length, positional and suffix filters hold for every pair at the threshold, for any common order."""
+    draw = random.Random(3)
+    for _ in range(2000):
+        whole = draw.sample(range(10000), draw.randint(1, 60))
+        x, y = set(whole), set(whole)
+        while True:
+            (x if draw.random() < 0.5 else y).symmetric_difference_update({draw.randint(0, 10000)})
+            if not x or not y or 100 * len(x & y) < 80 * len(x | y):
+                break
+            first = min(x & y)
+            i, j = sorted(x).index(first), sorted(y).index(first)
+            assert i < ngram_join.prefix_length(len(x), 80) and j < ngram_join.prefix_length(len(y), 80)
+            both = len(x) + len(y)
+            assert 180 * min(len(x) - i, len(y) - j) >= 80 * both
+            apart = sum(abs(sum(e % 16 == k for e in x) - sum(e % 16 == k for e in y)) for k in range(16))
+            assert 180 * (both - apart) >= 160 * both
+
+
+def test_one_of_each_group_of_near_duplicates_stays(spark):
+    rows = corpus() + ODD
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, source string, n_chars int")
+    kept = simhash.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    component = {}
+    prints = [brute_print(r[1]) for r in rows]
+    root = roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2])
+    for i, r in enumerate(rows):
+        component.setdefault(root[i], []).append((r[0] is None, r[0]))
+    want = sorted(min(c)[1] if not min(c)[0] else -1 for c in component.values())
+    assert sorted(-1 if r["doc_id"] is None else r["doc_id"] for r in kept.collect()) == want
+    assert simhash.without_near_duplicates(docs.limit(0)).count() == 0
 
 
 def windows(text, n):
@@ -257,9 +306,9 @@ def test_all_variants_of_one_text_are_linked(spark):
     draw = random.Random(31)
     rows = [(i, " ".join(w)) for i, w in enumerate(variants(draw, prose(draw, 450), 2000, 7))]
     sets = [shingles(t) for _, t in rows]
-    want = {0} | {i for i in range(1, len(rows)) if len(sets[0] & sets[i]) < 0.8 * len(sets[0] | sets[i])}
+    assert all(len(sets[0] & x) >= 0.8 * len(sets[0] | x) for x in sets)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r["doc_id"] for r in simhash.without_near_copies(docs).collect()} == want == {0}
+    assert {r["component_id"] for r in ngram_join.similar(docs).collect()} == {0}
 
 
 def test_all_variants_of_one_paragraph_are_linked(spark):
@@ -286,8 +335,7 @@ def test_blocks_added_and_long_texts_of_few_words_are_found(spark):
     for at in draw.sample(range(9000), 200):
         new[at] = f"new{at}"
     rows = [(i, " ".join(w)) for i, w in enumerate([*rows, few, new])]
-    sets = [shingles(t) for _, t in rows]
-    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert len(links) > 60
-    assert {r["doc_id"] for r in simhash.without_near_copies(docs).collect()} == set(roots(len(rows), links))
+    want = brute_join(rows)
+    assert sum(k != c for k, _, c in want) > 60
+    assert joined(docs) == want
