@@ -19,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies (five-word shingles, similarity 0.8 or more)."""
-    return simhash.without_near_copies(docs)
+    """One document of each group of near duplicates: SimHash of three-word shingles, two bits or fewer apart."""
+    return simhash.without_near_duplicates(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
