@@ -2,37 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridloom.session import clean, lookup_join, settle
+from gridloom.session import clean, lookup_join, noted
 
-BUCKETS, STEPS = 256, 4096
+# A value's image has so many bits after the whole part of its logarithm to base 2; OFFSET makes all logarithms positive.
+FRACTION_BITS, OFFSET = 41, 1100.0
+
+# Levels of the selection tree, as the low bits of an image that a level leaves out: of values and of md5 texts.
+VALUE_LEVELS = (35, 23, 11, 0)
+MD5_LEVELS = (44, 36, 28, 20, 8, 0)
+
+# Rows of a cell that are ordered together without another level.
+LEAF = 1 << 16
 
 # Rows that share an md5 prefix, at most about: the prefix grows with the table.
 PREFIX_ROWS = 100_000
 
-# Hex digits by which the rows of a group are counted: as many counts as rows to rank, at 10 ** 12 rows.
-DIGITS = 5
 
+def image(v: Column) -> Column:
+    """A whole number of 53 bits and a sign that follows the order of doubles: a greater one never has a smaller image.
 
-def _bucketed(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """by..., name, bucket, value: the non-missing values of the columns under one another, in BUCKETS buckets that
-    follow the value order.
-
-    Only the balance depends on the approximate quantiles between the buckets: counting and ranking are exact.
+    It is the logarithm to base 2 in fixed point, so its high digits are sign and exponent and a few codes far outside do
+    not stretch the cells of the others. Logarithm, sum, product and floor all keep the order.
     """
-    doubles = df.select(*by, *[clean(F.col(f"`{c}`").cast("double")).alias(f"_v{i}") for i, c in enumerate(columns)])
-    names, outs = [f"_v{i}" for i in range(len(columns))], [f"_b{i}" for i in range(len(columns))]
-    infinite = float("inf")
-    bounds = doubles.select(*names).approxQuantile(names, [k / BUCKETS for k in range(1, BUCKETS)], 1.0 / (4 * BUCKETS))
-    splits = [[-infinite, *sorted({x for x in found if abs(x) != infinite} or {0.0}), infinite] for found in bounds]
-    marked = Bucketizer(splitsArray=splits, inputCols=names, outputCols=outs, handleInvalid="keep").transform(doubles)
-    cells = [F.struct(F.lit(c).alias("name"), F.col(o).cast("int").alias("bucket"), F.col(v).alias("value")) for c, o, v in zip(columns, outs, names)]
-    return marked.select(*by, F.explode(F.array(*cells)).alias("_c")).select(*by, "_c.*").filter(F.col("value").isNotNull())
+    size = F.floor((F.log2(F.abs(v)) + F.lit(OFFSET)) * F.lit(float(1 << FRACTION_BITS))).cast("bigint")
+    far = F.lit(1 << (FRACTION_BITS + 12)).cast("bigint")
+    size = F.when(v == 0, F.lit(0).cast("bigint")).when(F.abs(v) == float("inf"), far).otherwise(size)
+    return F.when(v < 0, -size).otherwise(size)
 
 
 def _holding(parts: Column, rank: Column) -> Column:
@@ -49,48 +49,67 @@ def _holding(parts: Column, rank: Column) -> Column:
     return F.aggregate(parts, none, add)
 
 
-def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def located(
+    rows: DataFrame, keys: Sequence[str], levels: Sequence[int], wants: Callable[[DataFrame], DataFrame], leaf: int = LEAF
+) -> tuple[DataFrame, DataFrame]:
+    """Where wanted ranks are: the rows of the small cells that hold one (with ``_cell``), and the wanted ranks counted inside
+    their cell.
+
+    ``rows`` has ``keys`` and ``image``. Images are counted by their high digits, for all keys in one aggregation, and only
+    the cells that hold a wanted rank by their next digits, until no such cell has more than ``leaf`` rows of
+    different images. ``wants`` makes the ranks (column ``rank``) from the first counts: a table of keys, ``n`` and ``_parts``.
+    """
+    keys, wanted, cells = list(keys), None, rows
+    for shift in levels:
+        cell = F.shiftright("image", shift)
+        parent = [] if wanted is None else ["_cell"]
+        counts = cells.groupBy(*keys, *parent, cell.alias("cell")).agg(F.count("*").alias("size"), (F.min("image") < F.max("image")).alias("open"))
+        parts = counts.groupBy(*keys, *parent).agg(F.sort_array(F.collect_list(F.struct("cell", "size", "open"))).alias("_parts"), F.sum("size").alias("n"))
+        if wanted is None:
+            wanted = wants(parts)
+        else:
+            wanted = lookup_join(wanted, parts.drop("n"), [*keys, "_cell"], "inner")
+        found = wanted.withColumn("_in", _holding(F.col("_parts"), F.col("rank"))).filter("_in.part IS NOT NULL")
+        kept = [c for c in wanted.columns if c not in ("rank", "_parts", "_cell")]
+        wanted = noted(found.select(*kept, (F.col("rank") - F.col("_in.before")).alias("rank"), F.col("_in.part.cell").alias("_cell"), "_in.part.size", "_in.part.open"))
+        cells = lookup_join(rows.withColumn("_cell", cell), wanted.select(*keys, "_cell"), [*keys, "_cell"], "left_semi")
+        largest = wanted.filter("open").agg(F.max("size")).first()[0]
+        wanted = wanted.drop("size", "open")
+        if largest is None or largest <= leaf:
+            break
+    return cells, wanted
+
+
+def exact_percentiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), leaf: int = LEAF) -> DataFrame:
     """by..., name, n, q: linearly interpolated percentiles of each column (per group), exact at any size.
 
-    Values are counted in value-ordered buckets, and those buckets that hold a wanted rank are counted again
-    in equal steps of their range; only the steps that hold one are counted by value and ranked. So a task
-    never orders more than one step of one bucket, by distinct value. A column (of a group) without a value
-    has no row. An infinite value is an ordinary one at its end of the order.
+    A selection tree over the values' images (``located``): all columns and groups are counted together, level by
+    level, and only the cells that hold a wanted rank are looked at again. What is left is counted by value and
+    ranked, so a task never orders more than ``leaf`` rows that differ. A column (of a group) without a value has
+    no row. An infinite value is an ordinary one at its end of the order.
     """
     by = list(by)
     keys = [*by, "name"]
-    cells = _bucketed(df, columns, by)
-    sizes = cells.groupBy(*keys, "bucket").agg(F.count("*").alias("size"), F.min("value").alias("low"), F.max("value").alias("high"))
-    parts = sizes.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("bucket", "size", "low", "high"))).alias("_parts"), F.sum("size").alias("n"))
+    values = [F.struct(F.lit(c).alias("name"), clean(F.col(f"`{c}`").cast("double")).alias("value")) for c in columns]
+    rows = df.select(*by, F.explode(F.array(*values)).alias("_c")).select(*by, "_c.*").filter(F.col("value").isNotNull()).withColumn("image", image(F.col("value")))
     at = F.col("p") * (F.col("n") - 1)
-    wanted = parts.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    wanted = wanted.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))))
-    wanted = wanted.withColumn("_in", _holding(F.col("_parts"), F.col("rank")))
-    wanted = settle(wanted.select(*keys, "n", "p", "_in.part.bucket", "_in.part.low", "_in.part.high", (F.col("rank") - F.col("_in.before")).alias("rank")))
-
-    width = F.col("high") - F.col("low")
-    step = F.least(F.floor((F.col("value") - F.col("low")) / width * STEPS), F.lit(STEPS - 1)).cast("int")
-    hit = wanted.select(*keys, "bucket", "low", "high").distinct()  # at most two per probability and key
-    inner = lookup_join(cells, hit, [*keys, "bucket"], "inner")
-    finite = (width > 0) & (width < F.lit(float("inf")))
-    inner = inner.withColumn("step", F.when(finite, step).otherwise(F.lit(0))).drop("low", "high")
-    steps = inner.groupBy(*keys, "bucket", "step").agg(F.count("*").alias("size"))
-    parts = steps.groupBy(*keys, "bucket").agg(F.sort_array(F.collect_list(F.struct("step", "size"))).alias("_parts"))
-    wanted = lookup_join(wanted.drop("low", "high"), parts, [*keys, "bucket"], "inner").withColumn("_in", _holding(F.col("_parts"), F.col("rank")))
-    wanted = settle(wanted.select(*keys, "n", "p", "bucket", "_in.part.step", (F.col("rank") - F.col("_in.before")).alias("rank")))
-
-    place = [*keys, "bucket", "step"]
-    values = lookup_join(inner, wanted.select(*place).distinct(), place, "left_semi")
-    counted = values.groupBy(*place, "value").agg(F.count("*").alias("size"))
+
+    def wants(parts: DataFrame) -> DataFrame:
+        wanted = parts.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        return wanted.withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(at), F.ceil(at)))))
+
+    cells, wanted = located(rows, keys, VALUE_LEVELS, wants, leaf)
+    place = [*keys, "_cell"]
+    counted = cells.groupBy(*place, "value").agg(F.count("*").alias("size"))
     counted = counted.withColumn("before", F.sum("size").over(Window.partitionBy(*place).orderBy("value")) - F.col("size"))
-    found = lookup_join(wanted, counted, place, "inner").filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
+    found = lookup_join(counted, wanted, place, "inner").filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
 
     low, high, share = F.min("value"), F.max("value"), F.first(at - F.floor(at))
     between = F.when((high > low) & (share > 0), low + (high - low) * share).otherwise(low)
     pairs = found.groupBy(*keys, "n", "p").agg(between.alias("value"))
     by_p = F.map_from_entries(F.collect_list(F.struct("p", "value")))  # one entry per probability
     picked = F.transform(F.array(*[F.lit(float(p)) for p in probs]), lambda p: F.element_at(F.col("_m"), p))
-    return pairs.groupBy(*keys, "n").agg(by_p.alias("_m")).select(*keys, "n", picked.alias("q"))
+    return noted(pairs.groupBy(*keys, "n").agg(by_p.alias("_m")).select(*keys, "n", picked.alias("q")))
 
 
 def percentile_row(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
@@ -108,19 +127,14 @@ def rows_at(rows: DataFrame, wanted: DataFrame, keys: list[str], key: str) -> Da
     """The rows at wanted places of the md5 order of their group: ``wanted`` with ``_cut``, a struct of h and k.
 
     ``rows`` has ``keys``, the md5 text ``_h`` and the unique ``key``; ``wanted`` has ``keys`` and ``take``, counted from
-    1. Groups are counted by prefix (a million counts at most), and only rows that share the prefix of a
-    wanted place are ranked: one in a million of the group.
+    1. It is a descent in the digits of the md5 text: each level counts 256 parts of what holds a cut, and nothing else.
     """
-    wanted = wanted.withColumn("rank", F.col("take") - 1)
-    others, within = [c for c in wanted.columns if c not in (*keys, "rank")], [*keys, "_p"]
-    rows = rows.select(*keys, "_h", F.col(key).alias("_k"), F.substring("_h", 1, DIGITS).alias("_p"))
-    sizes = rows.groupBy(*within).agg(F.count("*").alias("size"))
-    sizes = sizes.withColumn("before", F.sum("size").over(Window.partitionBy(*keys).orderBy("_p")) - F.col("size"))
-    placed = lookup_join(wanted, sizes, keys, "inner").filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
-    wanted = settle(placed.select(*within, *others, (F.col("rank") - F.col("before")).alias("rank")))
-    near = lookup_join(rows, wanted.select(*within).distinct(), within, "left_semi")
-    nth = F.row_number().over(Window.partitionBy(*within).orderBy("_h", "_k")) - 1
-    found = lookup_join(near.withColumn("_nth", nth), wanted, within, "inner").filter("_nth = rank")
+    others = [c for c in wanted.columns if c not in keys]
+    digits = F.conv(F.substring("_h", 1, 13), 16, 10).cast("bigint")
+    imaged = rows.select(*keys, "_h", F.col(key).alias("_k"), digits.alias("image"))
+    cells, placed = located(imaged, keys, MD5_LEVELS, lambda parts: lookup_join(wanted.withColumn("rank", F.col("take") - 1), parts.drop("n"), keys, "inner"))
+    nth = F.row_number().over(Window.partitionBy(*keys, "_cell").orderBy("_h", "_k")) - 1
+    found = lookup_join(cells.withColumn("_nth", nth), placed, [*keys, "_cell"], "inner").filter("_nth = rank")
     return found.select(*keys, *others, F.struct(F.col("_h").alias("h"), F.col("_k").alias("k")).alias("_cut"))
 
 

@@ -98,25 +98,27 @@ def apply_quantile_normalize(df: DataFrame, fitted: DataFrame, columns: Sequence
     position is a binary search in the JVM and no row leaves its partition.
     """
     row = fitted.first()
-    splits, tables, positions = [], [], []
+    splits, positions, places = [], [], []
+    infinite = float("inf")
     for c in columns:
-        q = [x for x in (row[c] or [0.0]) if x not in (float("inf"), float("-inf"))] or [0.0]  # no value: nothing to place
-        distinct = sorted(set(q))
+        q = row[c] or [0.0]  # no value: nothing to place
         first, last = {v: i for i, v in reversed(list(enumerate(q)))}, {v: i for i, v in enumerate(q)}
-        tables.append((distinct, [first[v] for v in distinct], [last[v] for v in distinct], len(q) - 1))
-        splits.append([float("-inf"), *distinct, float("inf")])
+        finite = sorted(v for v in first if abs(v) != infinite) or [0.0]
+        places.append((q, finite, [first.get(v, 0) for v in finite], [last.get(v, 0) for v in finite]))
+        splits.append([-infinite, *finite, infinite])
     work = df.withColumns({f"_x{i}": clean(_c(c).cast("double")) for i, c in enumerate(columns)})
     marks = [f"_b{i}" for i in range(len(columns))]
     finder = Bucketizer(splitsArray=splits, inputCols=[f"_x{i}" for i in range(len(columns))], outputCols=marks, handleInvalid="keep")
     work = finder.transform(work)
-    for i, (values, first, last, steps) in enumerate(tables):
-        x, k = F.col(f"_x{i}"), F.col(f"_b{i}").cast("int") - 1  # the last distinct landmark not above x
-        marks_at = _array(values)
+    for i, (q, finite, first, last) in enumerate(places):
+        x, k = F.col(f"_x{i}"), F.col(f"_b{i}").cast("int") - 1  # the last finite landmark not above x
+        marks_at = _array(finite)
         left, right = F.get(marks_at, k), F.get(marks_at, k + 1)
-        inside = F.get(_array(last), k) + F.try_divide(x - left, right - left)
+        # between a finite and an infinite landmark a value is at the finite one
+        inside = F.when(k < 0, F.lit(float(first[0]))).otherwise(F.get(_array(last), k) + F.coalesce(F.try_divide(x - left, right - left), F.lit(0.0)))
         on = F.get(_array([(a + b) / 2.0 for a, b in zip(first, last)]), k)
-        p = F.when(x == left, on).otherwise(inside) / F.lit(float(steps))
-        p = F.when(x <= values[0], F.lit(PROBABILITY_CLIP)).when(x >= values[-1], F.lit(1.0 - PROBABILITY_CLIP)).otherwise(p)
+        p = F.when(x == left, on).otherwise(inside) / F.lit(float(max(1, len(q) - 1)))
+        p = F.when(x <= q[0], F.lit(PROBABILITY_CLIP)).when(x >= q[-1], F.lit(1.0 - PROBABILITY_CLIP)).otherwise(p)
         p = F.least(F.greatest(p, F.lit(PROBABILITY_CLIP)), F.lit(1.0 - PROBABILITY_CLIP))
         positions.append(F.when(x.isNotNull(), p))
     # one lambda for all columns: written out per column, the polynomials outgrow a generated method

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.binning import cut_uniform
 from gridloom.operators.quantiles import md5_order, rows_at, shuffled_rank
-from gridloom.session import lookup_join, settle, with_params
+from gridloom.session import lookup_join, noted, with_params
 
 # Parts in which remainders are counted.
 PARTS = 4096
@@ -44,9 +44,9 @@ def _mark_test(df: DataFrame, percent: int, key: str, stratum: str, by: list[str
     every = [*by, "_all"]
     df = df.withColumn("_all", F.lit(0))
     keys = [*every, stratum]
-    quotas = _quotas(settle(df.groupBy(*keys).agg(F.count("*").alias("n_s"))), percent, stratum, every)
+    quotas = _quotas(noted(df.groupBy(*keys).agg(F.count("*").alias("n_s"))), percent, stratum, every)
     points = rows_at(df.select(*keys, "_h", key), quotas.filter("quota > 0").withColumnRenamed("quota", "take"), keys, key).drop("take")
-    points = settle(points)  # one row per stratum; rows are marked by it without another look at the order
+    points = noted(points)  # one row per stratum; rows are marked by it without another look at the order
     split = lookup_join(df, points, keys)
     here = F.struct(F.col("_h").alias("h"), F.col(key).alias("k"))
     return split.withColumn("is_test", F.coalesce(here <= F.col("_cut"), F.lit(False))).drop("_cut", "_h", "_all")

@@ -36,6 +36,14 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def noted(df: DataFrame) -> DataFrame:
+    """``df`` as a table written to the shared folder and read again. The optimizer then knows its bytes, so a join
+    with a small one moves no row of the other side; ``settle`` leaves that to the end of a shuffle."""
+    path = fresh_path(df.sparkSession, "noted")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def lookup_join(df: DataFrame, table: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a per-key table (unique on ``on``) to a large ``df``; NULL keys match NULL keys.
 

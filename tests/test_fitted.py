@@ -127,3 +127,15 @@ def test_missing_features_are_told_from_minus_one(spark):
     model = models.fit_boosted(df, ["x"], "y", None, models.BoostParams(trees=4, depth=3, rate=0.5))
     got = model.transform(models.numbers_only(spark.createDataFrame([(-1.0,), (None,)], "x double"), ["x"])).collect()
     assert got[0]["prediction"] < 15 < 40 < got[1]["prediction"]
+
+
+def test_infinite_landmarks_move_nothing_else(spark):
+    def scores(last):
+        df = spark.createDataFrame([(float(i),) for i in range(200)] + [(last,)], "x double")
+        return [r["x"] for r in scaling.quantile_normalize(df.orderBy("x"), ["x"]).collect()]
+
+    far, infinite = scores(1e9), scores(float("inf"))
+    assert far[:198] == infinite[:198] and far[-1] == infinite[-1]
+    below = spark.createDataFrame([(float("-inf"),)] * 3 + [(float(i),) for i in range(97)], "x double")
+    z = [r["x"] for r in scaling.quantile_normalize(below, ["x"]).collect()]
+    assert z[0] == z[2] < z[3] < z[4] and z[3:] == sorted(z[3:])

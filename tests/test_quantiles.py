@@ -66,3 +66,43 @@ def test_shuffled_rank_is_global(spark):
     order = sorted(range(5000), key=lambda k: (hashlib.md5(f"9{k}".encode()).hexdigest(), k))
     assert got == {k: i for i, k in enumerate(order)}
     assert [r["k"] for r in split.shuffle(df, 9, "k").collect()] == order
+
+
+def test_every_level_of_the_tree(spark):
+    """Values that differ in their last digits only, equal ones, signs, zeros, subnormal and infinite ones: with a leaf of one
+    row the descent ends at the last level."""
+    draw = random.Random(11)
+    values = [1000.0 + i * 2.0**-40 for i in range(300)] + [-5.0] * 200 + [0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, float("inf")]
+    values += [draw.gauss(0, 1) for _ in range(500)]
+    draw.shuffle(values)
+    probs = [k / 50 for k in range(51)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for leaf in (1, 50, 10**6):
+        q = quantiles.exact_percentiles(df, ["x"], probs, leaf=leaf).first()["q"]
+        order = sorted(values)
+        for p, got in zip(probs, q):
+            at = p * (len(order) - 1)
+            low, high = order[int(np.floor(at))], order[int(np.ceil(at))]
+            assert got == (low if low == high else pytest.approx(low + (high - low) * (at - np.floor(at)), rel=1e-12))
+
+
+def test_images_follow_the_order(spark):
+    draw = random.Random(12)
+    values = sorted([draw.uniform(-1, 1) * 10.0 ** draw.randint(-300, 300) for _ in range(3000)] + [np.nextafter(1.0, k) for k in (0, 2)] + [1.0, 0.0, float("-inf")])
+    got = [r[0] for r in spark.createDataFrame([(float(v),) for v in values], "x double").select(quantiles.image(F.col("x"))).collect()]
+    assert got == sorted(got) and len(set(got)) > 2990
+
+
+@pytest.mark.parametrize("shape", ["normal", "long tail", "a code far outside"])
+def test_small_share_of_rows_is_ordered_together(spark, shape):
+    """At most one row in 100,000 is in a cell that is ordered in one task."""
+    x = {"normal": F.randn(1), "long tail": F.exp(F.randn(1) * 3), "a code far outside": F.when(F.rand(2) < 0.001, 9.97e36).otherwise(0.5 + F.randn(1) * 0.1)}[shape]
+    df = spark.range(1_000_000).select(x.alias("x"))
+
+    def wants(parts):
+        return parts.withColumn("rank", F.explode(F.expr("transform(sequence(0, 20), k -> cast(k * (n - 1) div 20 as bigint))")))
+
+    rows = df.select("x", F.lit(0).alias("g"), quantiles.image(F.col("x")).alias("image"))
+    cells, _ = quantiles.located(rows, ["g"], quantiles.VALUE_LEVELS, wants, leaf=10)
+    sizes = cells.groupBy("_cell", "x").count().groupBy("_cell").count().agg(F.max("count")).first()[0]
+    assert sizes <= 10
