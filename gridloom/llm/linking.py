@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.components import components
-from gridloom.session import settle
+from gridloom.session import noted, settle
 
 # After the rounds of one pivot per bucket, so many parts of the nodes are pivots, the last time all.
 PARTS = (16, 4, 1)
@@ -18,14 +18,16 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     """``bucket``, ``node``, ``pos`` (place of the bucket in the node's order) and ``score`` for buckets of two nodes or more.
 
     Of buckets with the same nodes only the one first in the nodes' common order stays. The score of a node is the
-    number of members of all its buckets: high for one that many others are like. ``rows`` has a node
-    once in a bucket. Buckets are counted by partial aggregation, so none is gathered in one task.
+    number of members of all its buckets: high for one that many others are like. Buckets are counted by partial
+    aggregation of their hashes alone, and only rows of the shared ones carry more; none is gathered in one task.
     """
+    shared = noted(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"))
+    many = settle(rows.join(shared, "bucket", "left_semi").groupBy("bucket", "node").agg(F.min("pos").alias("pos")))
     size, x, y = F.count("*").alias("m"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")
-    sizes = rows.groupBy("bucket").agg(size, x, y, F.sum("pos").alias("places")).filter("m > 1")
+    sizes = many.groupBy("bucket").agg(size, x, y, F.sum("pos").alias("places")).filter("m > 1")
     once = sizes.groupBy("m", "x", "y").agg(F.min(F.struct("places", "bucket")).alias("f")).select("f.bucket", "m")
-    many = settle(rows.join(once, "bucket"))
-    return settle(many.join(many.groupBy("node").agg(F.sum("m").alias("score")), "node").select("bucket", "node", "pos", "score"))
+    kept = noted(many.join(once, "bucket"))
+    return kept.join(noted(kept.groupBy("node").agg(F.sum("m").alias("score"))), "node").select("bucket", "node", "pos", "score")
 
 
 def linked(tables: list[DataFrame], facts: DataFrame, near: str, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -43,15 +45,12 @@ def linked(tables: list[DataFrame], facts: DataFrame, near: str, alike: Callable
     stars = tested = None
     steps = [(table, 0) for table in tables] + [(tables[-1], part) for part in PARTS]
     for table, part in steps:
-        labelled = table.withColumn("label", F.col("node"))
-        if stars is not None:
+        if stars is None:
+            rows = table.withColumn("label", F.col("node"))
+        else:
             labelled = table.join(stars, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-        labelled = settle(labelled)
-        mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-        mixed = settle(mixed)
-        if mixed.isEmpty():
-            continue
-        rows = labelled.join(mixed, "bucket", "left_semi")
+            mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
+            rows = noted(labelled.join(mixed, "bucket", "left_semi"))
         order = F.xxhash64("node", F.lit(part))
         if part:
             pivots = rows.filter(F.pmod(F.xxhash64("node"), F.lit(part)) == 0)
@@ -67,11 +66,11 @@ def linked(tables: list[DataFrame], facts: DataFrame, near: str, alike: Callable
         m, p = rows.join(facts, "node").alias("m"), pivots.join(facts, "node").alias("p")
         met = m.join(p, (F.col("m.bucket") == F.col("p.bucket")) & (F.col("m.label") != F.col("p.label")) & once & F.expr(near))
         pairs = met.select(F.least("m.node", "p.node").alias("a"), F.greatest("m.node", "p.node").alias("b")).distinct()
-        pairs = settle(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        pairs = noted(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
         if not part:
-            tested = pairs if tested is None else settle(tested.union(pairs))
+            tested = pairs if tested is None else tested.union(pairs)
         found = alike(pairs).select("a", "b")
-        stars = settle(components(found if stars is None else found.union(stars.select("node", "root"))))
+        stars = noted(components(found if stars is None else found.union(stars.select("node", "root"))))
     return tables[-1].select("node", F.col("node").alias("root")).limit(0) if stars is None else stars

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from gridloom.llm.linking import linked, shared_buckets
 from gridloom.llm.text import MULTIPLY, Words, mixed, powers, slices, texts_of, tidy
-from gridloom.session import fresh_path, settle
+from gridloom.session import fresh_path, noted, settle
 
 SHINGLE = 5
 PERCENT = 80
@@ -159,15 +159,12 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
 
     nodes = printed.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.col("_key").isNull().alias("last"), "_key", "_row")).alias("low"), F.first("n").alias("n"))
     nodes = settle(nodes.select("node", "n", "low._key", "low._row"))
-    owned = printed.join(nodes.select("node", F.col("_key").alias("_k"), F.col("_row").alias("_r")), "node").filter("_key <=> _k AND _row = _r")
-    # rows of one key and text have one node; they are alike, so any of them does
-    firsts = owned.dropDuplicates(["node"]).select("node", F.posexplode("prefix").alias("pos", "bucket"))
-    buckets = shared_buckets(firsts)
-    wanted = buckets.select("node").distinct()
-    facts = settle(printed.join(wanted, "node", "left_semi").select("node", "n", "ranges").dropDuplicates(["node"]))
-    wanted = wanted.join(nodes, "node").alias("w")
-    owners = read.dropDuplicates(["_key", "_row"]).alias("d").join(wanted, F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row")))
-    sets = settle(whole_sets(owners.select("node", "d._text"), size))
+    buckets = shared_buckets(printed.filter("node IS NOT NULL").select("node", F.posexplode("prefix").alias("pos", "bucket")))
+    wanted = noted(buckets.select("node").distinct().join(nodes, "node"))
+    facts = noted(printed.join(wanted.select("node"), "node", "left_semi").select("node", "n", "ranges").dropDuplicates(["node"]))
+    same = F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row"))
+    owners = read.alias("d").join(wanted.alias("w"), same).select("node", "d._text").dropDuplicates(["node"])
+    sets = noted(whole_sets(owners, size))
 
     def alike(pairs: DataFrame) -> DataFrame:
         sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from gridloom.llm.linking import linked, shared_buckets
 from gridloom.llm.text import MIXERS, MULTIPLY, Words, mixed, powers, slices, texts_of, tidy
-from gridloom.session import fresh_path, settle
+from gridloom.session import fresh_path, noted
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -186,9 +186,10 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
     deep = deep.select(F.col("unit").alias("node"), F.lit(0).alias("pos"), "bands", F.posexplode("bands").alias("band", "_one")).select("node", "pos", pair.alias("bucket"))
     deep = shared_buckets(deep)
     wanted = buckets.select(F.col("node").alias("unit")).distinct()
-    wanted = wanted.join(known, "unit").groupBy("_key", "_row").agg(F.collect_list(F.struct("unit", "at", "n")).alias("_wanted"))
-    owners = read.dropDuplicates(["_key", "_row"]).alias("d").join(wanted.alias("w"), F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row")))
-    sets = settle(contents(owners.select("_text", "_wanted")))
+    wanted = noted(wanted.join(known, "unit").groupBy("_key", "_row").agg(F.collect_list(F.struct("unit", "at", "n")).alias("_wanted")))
+    same = F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row"))
+    owners = read.alias("d").join(wanted.alias("w"), same).select("d.*", "_wanted").dropDuplicates(["_key", "_row"])
+    sets = noted(contents(owners.select("_text", "_wanted")))
 
     def alike(pairs: DataFrame) -> DataFrame:
         sides = pairs.join(sets.select(F.col("unit").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("unit").alias("b"), F.col("shingles").alias("y")), "b")
