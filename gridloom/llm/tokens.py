@@ -3,21 +3,35 @@
 from __future__ import annotations
 
 import os
+from itertools import chain, repeat
 
 import numpy as np
 
 from gridloom.llm.text import IS_WHITE, Texts, numbered
 
-# Words whose ids a Python worker remembers, and ids it keeps for them, before it forgets the rarer half.
-MAX_WORDS, MAX_IDS = 500_000, 5_000_000
+# Words whose ids a Python worker remembers, and bytes and ids it keeps for them, before it forgets the rarer half.
+MAX_WORDS, MAX_BYTES, MAX_IDS = 150_000, 4_000_000, 1_500_000
+
+# A word of ASCII letters is one pre-token of the tokenizers used here. What it is before the merges, for each kind of
+# tokenizer: in lower case without white space, or with its one space as the byte-level sign for it.
+SPACE = "\u0120"
+MIXED = ["word,", " x-y", "(Two) and", "a1b 22c", "end.\nNext", "-- 'tis", "3.5%"]
+PROBES = ["a", "Of", " the", " Quickly", "zzzqqxj", " iii", "\nBreak", "  two", " Straightforwardness"]
 
 # Distinct words handed to the tokenizer at once.
 GROUP = 4_000
 
 
-def safe_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+# ASCII letters, digits and signs; an apostrophe is none of them, as it may begin a contraction.
+KINDS = np.zeros(256, dtype=np.uint8)
+KINDS[[*range(65, 91), *range(97, 123)]] = 1
+KINDS[48:58] = 2
+KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and b != 39]] = 3
+
+
+def safe_starts(data: np.ndarray, bounds: np.ndarray, kinds: bool = False) -> np.ndarray:
     """Places where a text may be cut without a change of its ids: before white space that follows
-    something that is certainly none, and where a text begins.
+    something that is certainly none, and where a text begins; with ``kinds`` between ASCII letters, digits and signs too.
 
     Pre-tokens of the byte-level and the word tokenizers never reach from solid text into white space, and a run of
     white space stays in one piece with the word after it. Bytes that may end a Unicode space are no such place.
@@ -31,10 +45,24 @@ def safe_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         two = data[np.maximum(at - 2, 0)]
         three = data[np.maximum(at - 3, 0)]
         cut[at[(two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3))]] = False
+        if kinds:
+            kind = KINDS[data]
+            cut[1:-1] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
     cut[bounds[:-1]] = True
     return np.flatnonzero(cut[:-1])
 
 
+def lowered(word: bytes) -> str | None:
+    word = word.strip()
+    return word.lower().decode() if word.isalpha() else None
+
+
+def spaced(word: bytes) -> str | None:
+    if word.isalpha():
+        return word.decode()
+    return SPACE + word[1:].decode() if word[:1] == b" " and word[1:].isalpha() else None
+
+
 class Encoder:
     """Ids of texts; equal words of any texts are encoded once as long as they are remembered."""
 
@@ -45,9 +73,25 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # only a way that gives the library's ids for all probes is taken
+        self.plain = next((way for way in (lowered, spaced) if all(self._agrees(way(w.encode()), w) for w in PROBES)), None)
+        self.kinds = all(self._splits(w) for w in MIXED)
         self.forget()
 
+    def _splits(self, word: str) -> bool:
+        """Whether the ids of a text are those of its pieces."""
+        data = np.frombuffer(word.encode(), dtype=np.uint8)
+        cuts = [*safe_starts(data, np.array([0, len(data)]), True).tolist(), len(data)]
+        parts = [self.tokenizer.encode(word[a:b], add_special_tokens=False).ids for a, b in zip(cuts, cuts[1:])]
+        return [x for part in parts for x in part] == self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _agrees(self, form: str | None, word: str) -> bool:
+        return form is None or self._merged(form) == self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def _merged(self, form: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(form)]
+
     @classmethod
     def of(cls, path: str) -> Encoder:
         if path not in cls._made:
@@ -56,6 +100,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.held = 0  # bytes of the words
         self.ids = np.zeros(1 << 16, dtype=np.int32)
         self.stops = np.zeros(1 << 16, dtype=np.int64)  # of word w: ids[stops[w]:stops[w + 1]]
         self.uses = np.zeros(1 << 16, dtype=np.int32)  # in how many slices, halved when words are forgotten
@@ -73,12 +118,21 @@ class Encoder:
         self.stops = np.concatenate([[0], ends])
         self.uses = uses[kept] // 2
         self.known = {words[k]: i for i, k in enumerate(kept.tolist())}
+        self.held = sum(map(len, self.known))
+
+    def _found(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of some words: those of ASCII letters by the merges alone, all others by the whole tokenizer."""
+        if self.plain is None:
+            return [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        forms, tokenize = list(map(self.plain, words)), self.tokenizer.model.tokenize
+        others = iter(self.tokenizer.encode_batch_fast([w.decode() for w, f in zip(words, forms, strict=True) if f is None], add_special_tokens=False))
+        return [next(others).ids if f is None else [t.id for t in tokenize(f)] for f in forms]
 
     def _learn(self, words: list[bytes]) -> None:
         at = len(self.known)
         for i in range(0, len(words), GROUP):
             group = words[i : i + GROUP]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in group], add_special_tokens=False)]
+            found = self._found(group)
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             end = self.stops[at]
             total = int(end + lengths.sum())
@@ -87,20 +141,51 @@ class Encoder:
             if at + len(group) + 1 > min(len(self.stops), len(self.uses)):
                 self.stops = np.concatenate([self.stops, np.zeros(max(len(group) + 1, len(self.stops)), np.int64)])
                 self.uses = np.concatenate([self.uses, np.zeros(max(len(group) + 1, len(self.uses)), np.int32)])
-            self.ids[end:total] = [x for y in found for x in y]
+            self.ids[end:total] = np.fromiter(chain.from_iterable(found), np.int32, total - int(end))
             self.stops[at + 1 : at + 1 + len(group)] = end + np.cumsum(lengths)
             self.known.update(zip(group, range(at, at + len(group)), strict=True))
             at += len(group)
+        self.held += sum(map(len, words))
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts in a row (without special tokens), and the bounds of each text in them."""
-        if len(self.known) > MAX_WORDS or self.stops[len(self.known)] > MAX_IDS:
+        """All ids of the texts in a row, and the bounds of each text in them. The text of a special token inside a text is that
+        token, as the library has it; a text with one is encoded as a whole."""
+        odd = self._with_special(texts)
+        if not odd:
+            return self._encode(texts)
+        sizes = np.diff(texts.bounds)
+        kept = np.repeat(~np.isin(np.arange(len(texts)), odd), sizes)
+        sizes[odd] = 0
+        ids, bounds = self._encode(Texts(texts.data[kept], np.concatenate([[0], np.cumsum(sizes)])))
+        parts = [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        for i in odd:
+            parts[i] = np.array(self.tokenizer.encode(texts.raw(i).decode(), add_special_tokens=False).ids, dtype=np.int32)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+    def _with_special(self, texts: Texts) -> list[int]:
+        """The numbers of the texts that hold the text of a special token."""
+        raw, odd = texts.data.tobytes(), set()
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                i = int(np.searchsorted(texts.bounds, at, "right")) - 1
+                if at + len(token) <= texts.bounds[i + 1]:
+                    odd.add(i)
+                    at = raw.find(token, int(texts.bounds[i + 1]))
+                else:
+                    at = raw.find(token, at + 1)
+        return sorted(odd)
+
+    def _encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > MAX_WORDS or self.held > MAX_BYTES or self.stops[len(self.known)] > MAX_IDS:
             self.forget_rare()
-        starts = safe_starts(texts.data, texts.bounds)
+        starts = safe_starts(texts.data, texts.bounds, self.kinds)
         numbers, distinct = numbered(texts.data, np.append(starts, len(texts.data))) if len(texts.data) else (np.zeros(0, np.int64), None)
         words = distinct.to_pylist() if distinct is not None else []
-        self._learn([w for w in words if w not in self.known])
-        places = np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        places = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(places < 0)
+        places[new] = len(self.known) + np.arange(len(new))
+        self._learn([words[i] for i in new.tolist()])
         self.uses[places] += 1
         known = places[numbers] if words else numbers
         first, lengths = self.stops[known], self.stops[known + 1] - self.stops[known]

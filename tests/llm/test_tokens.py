@@ -29,7 +29,6 @@ def test_ids_by_words_are_those_of_the_whole_text(path):
     texts = odd_texts()
     ids, bounds = Encoder(path).encode(texts_of(pa.array(texts)))
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     for i, text in enumerate(texts):
         assert ids[bounds[i] : bounds[i + 1]].tolist() == plain.encode(text or "", add_special_tokens=False).ids, text
 
@@ -76,7 +75,6 @@ def test_token_files(spark):
     pfor.write_tokens(docs, uri, WORDS)
     got = sorted(pfor.read_tokens(spark, uri, with_ids=True).collect(), key=lambda r: r["start"])
     plain = Tokenizer.from_file(WORDS)
-    plain.encode_special_tokens = True
     assert [(-1 if r["doc_id"] is None else r["doc_id"]) for r in got] == sorted(-1 if r[0] is None else r[0] for r in rows)
     at = 0
     want = sorted((-1 if k is None else k, plain.encode(t or "", add_special_tokens=False).ids + [1]) for k, t, *_ in rows)
@@ -93,7 +91,6 @@ def test_packing(spark):
     docs, rows = docs_with_odd_rows(spark)
     got = packing.pack(docs, BYTES, most=64, with_ids=True).collect()
     plain = Tokenizer.from_file(BYTES)
-    plain.encode_special_tokens = True
     want = sorted((-1 if k is None else k, plain.encode(t or "", add_special_tokens=False).ids + [2]) for k, t, *_ in rows)
     by_doc: dict = {}
     for r in sorted(got, key=lambda r: (r["piece"])):
@@ -127,3 +124,21 @@ def test_plan_places_all_and_wastes_little(seed):
             used[length] += n
     assert (used == histogram).all()
     assert sum(done.values()) <= 1.01 * max(-(-lengths.sum() // most), (lengths > most // 2).sum()) + 1
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_text_of_special_tokens_is_that_token(path):
+    texts = ["hello <|endoftext|> world", None, "<|endoftext|>", "a b <|endof", "text|> c", "x <|startoftext|><|endoftext|> y z", "plain words", "<|endoftext|>" * 3 + " end"]
+    plain = Tokenizer.from_file(path)
+    ids, bounds = Encoder(path).encode(texts_of(pa.array(texts)))
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_of_letters_go_past_the_pre_tokenizer(path):
+    encoder, plain = Encoder(path), Tokenizer.from_file(path)
+    assert encoder.plain is not None
+    words = [f"{white}{w}" for white in ("", " ", "\n", "  ") for w in ("the", "THE", "Antidisestablishmentarianism", "qzxqzx", "don", "s", "É", "a1", "x-y", "it's")]
+    for w in words:
+        form = encoder.plain(w.encode())
+        assert form is None or encoder._merged(form) == plain.encode(w, add_special_tokens=False).ids, w
