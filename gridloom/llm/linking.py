@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.components import components
-from gridloom.session import noted, settle
+from gridloom.session import noted
 
 # After the rounds of one pivot per bucket, so many parts of the nodes are pivots, the last time all.
 PARTS = (16, 4, 1)
@@ -22,7 +22,7 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     aggregation of their hashes alone, and only rows of the shared ones carry more; none is gathered in one task.
     """
     shared = noted(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket"))
-    many = settle(rows.join(shared, "bucket", "left_semi").groupBy("bucket", "node").agg(F.min("pos").alias("pos")))
+    many = noted(rows.join(shared, "bucket", "left_semi").groupBy("bucket", "node").agg(F.min("pos").alias("pos")))
     size, x, y = F.count("*").alias("m"), F.bit_xor("node").alias("x"), F.bit_xor(F.xxhash64("node")).alias("y")
     sizes = many.groupBy("bucket").agg(size, x, y, F.sum("pos").alias("places")).filter("m > 1")
     once = sizes.groupBy("m", "x", "y").agg(F.min(F.struct("places", "bucket")).alias("f")).select("f.bucket", "m")

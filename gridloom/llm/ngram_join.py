@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from gridloom.llm.linking import linked, shared_buckets
 from gridloom.llm.text import MULTIPLY, Words, mixed, powers, slices, texts_of, tidy
-from gridloom.session import fresh_path, noted, settle
+from gridloom.session import fresh_path, noted
 
 SHINGLE = 5
 PERCENT = 80
@@ -158,21 +158,24 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     printed = spark.read.parquet(path)
 
     nodes = printed.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.col("_key").isNull().alias("last"), "_key", "_row")).alias("low"), F.first("n").alias("n"))
-    nodes = settle(nodes.select("node", "n", "low._key", "low._row"))
+    nodes = noted(nodes.select("node", "n", "low._key", "low._row"))
     buckets = shared_buckets(printed.filter("node IS NOT NULL").select("node", F.posexplode("prefix").alias("pos", "bucket")))
-    wanted = noted(buckets.select("node").distinct().join(nodes, "node"))
-    facts = noted(printed.join(wanted.select("node"), "node", "left_semi").select("node", "n", "ranges").dropDuplicates(["node"]))
-    same = F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row"))
-    owners = read.alias("d").join(wanted.alias("w"), same).select("node", "d._text").dropDuplicates(["node"])
-    sets = noted(whole_sets(owners, size))
+    facts = printed.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "n", "ranges")
+    facts = noted(facts.dropDuplicates(["node"]))
 
     def alike(pairs: DataFrame) -> DataFrame:
+        """The texts of the pairs are read again, and no others: what passes the filters is few."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = noted(ends.join(nodes, "node").select("node", "_key", "_row"))
+        same = F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row"))
+        owners = read.alias("d").join(wanted.alias("w"), same).select("node", "d._text").dropDuplicates(["node"])
+        sets = noted(whole_sets(owners, size))
         sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
         return sides.filter(100 * common >= percent * (F.size("x") + F.size("y") - common))
 
     roots = linked([buckets], facts, filters(percent), alike)
-    classed = settle(nodes.join(roots, "node", "left").select("node", "_key", F.coalesce("root", "node").alias("root")))
+    classed = noted(nodes.join(roots, "node", "left").select("node", "_key", F.coalesce("root", "node").alias("root")))
     lows = classed.groupBy("root").agg(F.min("_key").alias("component_id"))
     labels = classed.join(lows, "root").select("node", "component_id")
     linked_rows = printed.filter("node IS NOT NULL").join(labels, "node").select("_key", F.col("n").alias("n_shingles"), "component_id")
