@@ -4,11 +4,12 @@ Krichevsky-Trofimov estimates are mixed over all depths."""
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -286,6 +287,18 @@ def scored(left: pa.Table, right: pa.Table, depth: int, n_tokens: int, n_ends: i
             yield pa.RecordBatch.from_arrays(columns, names=["_key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def context_tree_scores(docs: DataFrame, held_out, key: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
     """For every row of ``docs``: key, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
@@ -299,13 +312,16 @@ def context_tree_scores(docs: DataFrame, held_out, key: str = "doc_id", text: st
     Texts are dealt into groups of about 32 MB by a hash. A task cuts a group down to its distinct grams and
     words, so that what is shuffled are those. Their counts are added up by key; the tree is built where
     all contexts that share their last two bytes meet (distinct grams only, not occurrences); each
-    group gets back the values of its own grams and words, never the whole model. The session's Arrow batches
-    are set to at most BATCH_ROWS rows.
+    group gets back the values of its own grams and words, never the whole model. Groups reach Python in Arrow
+    batches of at most BATCH_ROWS rows; the session's setting is as before when the scores are written.
     """
     spark = docs.sparkSession
-    rows_now = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
-    if not 0 < rows_now <= BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    with small_batches(spark):
+        return _written_scores(docs, held_out, key, text, depth)
+
+
+def _written_scores(docs: DataFrame, held_out, key: str, text: str, depth: int) -> DataFrame:
+    spark = docs.sparkSession
     read = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     size = read.agg(F.sum(F.octet_length("_text")).alias("bytes"), F.count_if(~F.col("held_out")).alias("ends")).first()
     n_groups = max(1, -(-(size["bytes"] or 0) // GROUP_BYTES))
@@ -334,7 +350,8 @@ def context_tree_scores(docs: DataFrame, held_out, key: str = "doc_id", text: st
         give_back()
         return pa.Table.from_batches(list(scored(left, right, depth, n_tokens, n_ends, distinct)))
 
-    return grouped.groupBy("_group").cogroup(looked.groupBy("_group")).applyInArrow(run, schema).withColumnRenamed("_key", key)
+    grouped.groupBy("_group").cogroup(looked.groupBy("_group")).applyInArrow(run, schema).write.parquet(f"{path}/scores")
+    return spark.read.schema(schema).parquet(f"{path}/scores").withColumnRenamed("_key", key)
 
 
 def told_apart(key: str, parts: int, held: int):

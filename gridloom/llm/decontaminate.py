@@ -8,8 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.sizes import sent_if_small
-from gridloom.session import fresh_path, settle
+from gridloom.session import fresh_path, noted
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -65,23 +64,23 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT,
     of their own. Other columns are not looked at; empty tables give an empty table.
 
     Documents are read once: their shingle hashes are cut down to those of any item by a join with the
-    item's hashes (broadcast only if counted as small), and only these few rows are kept, for candidates
+    item's hashes (a written table, so the optimizer knows its bytes), and only these few rows are kept, for candidates
     (a whole band of minima is in the document) and for the exact count.
     """
     spark = docs.sparkSession
     tests = items.select(F.col(f"`{item_key}`").alias("_item"), words(F.col(f"`{item_text}`")).alias("_w"))
     tests = tests.select("_item", F.explode(shingles("_w")).alias("h")).groupBy("_item").agg(F.collect_set("h").alias("hs"))
-    tests = settle(tests.select("_item", F.size("hs").alias("n"), F.explode("hs").alias("h")))
-    known = sent_if_small(settle(tests.select("h").distinct()))
+    tests = noted(tests.select("_item", F.size("hs").alias("n"), F.explode("hs").alias("h")))
+    known = noted(tests.select("h").distinct())
     texts = docs.select(F.col(f"`{key}`").alias("_key"), words(F.col(f"`{text}`")).alias("_w"))
     path = fresh_path(spark, "hits")
     texts.select("_key", F.explode(shingles("_w")).alias("h")).join(known, "h", "left_semi").distinct().write.parquet(path)
     hits = spark.read.parquet(path)
 
-    sketch = sent_if_small(settle(sketches(tests, threshold)))
+    sketch = noted(sketches(tests, threshold))
     found = hits.join(sketch, "h").groupBy("_key", "_item", "band").agg(F.count("*").alias("has"), F.first("need").alias("need"))
     pairs = found.filter("has >= need").select("_key", "_item").distinct()
-    wanted = pairs.alias("p").join(sent_if_small(tests).alias("t"), F.col("p._item").eqNullSafe(F.col("t._item"))).select("p._key", "p._item", "h", "n")
+    wanted = pairs.alias("p").join(tests.alias("t"), F.col("p._item").eqNullSafe(F.col("t._item"))).select("p._key", "p._item", "h", "n")
     exact = wanted.alias("a").join(hits.alias("b"), F.col("a._key").eqNullSafe(F.col("b._key")) & (F.col("a.h") == F.col("b.h")))
     counted = exact.groupBy("a._key", "a._item").agg(F.count("*").alias("n_found"), F.first("n").alias("n_shingles"))
     passed = counted.filter(F.col("n_found") >= F.lit(threshold) * F.col("n_shingles"))
@@ -90,5 +89,5 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = CONTAINMENT,
 
 def without(docs: DataFrame, rows: DataFrame, key: str = "doc_id") -> DataFrame:
     """``docs`` but for those whose key is in ``rows``. A null key is a key."""
-    gone = sent_if_small(settle(rows.select(F.col(f"`{key}`").alias("_gone")).distinct()))
+    gone = noted(rows.select(F.col(f"`{key}`").alias("_gone")).distinct())
     return docs.join(gone, docs[f"`{key}`"].eqNullSafe(gone["_gone"]), "left_anti")

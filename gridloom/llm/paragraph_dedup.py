@@ -258,13 +258,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     left. Documents without a repeat stay as they are, empty and null texts too; columns and their order stay."""
     marks = repeats(docs, key, text).groupBy("_key", "_row").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("_spans"))
     same = F.col(f"d.`{key}`").eqNullSafe(F.col("m._key")) & (F.hash(F.col(f"d.`{text}`")) == F.col("m._row"))
-    joined = docs.alias("d").join(marks.alias("m"), same, "left").select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("m._spans").alias("_spans"))
+    joined = docs.alias("d").join(marks.alias("m"), same, "left").select(*[F.col(f"d.`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)], F.col("m._spans").alias("_spans"))
     names = docs.columns
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            spans, texts = batch.column("_spans").to_pylist(), batch.column(at).to_pylist()
+            spans, texts = batch.columns[-1].to_pylist(), batch.column(at).to_pylist()
             cut = [t if s is None else without_words(t, union(s)) for t, s in zip(texts, spans, strict=True)]
             columns = batch.columns[:-1]
             columns[at] = pa.array(cut, columns[at].type)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.text import Texts, slices, texts_of, tidy
+from gridloom.llm.text import Texts, carried, slices, texts_of, tidy
 
 # Bytes a filter sees, filters, hidden units, bytes by which overlapping chunks of two blocks advance.
 WIDTH, FILTERS, HIDDEN, BLOCK = 5, 24, 16, 128
@@ -22,6 +22,9 @@ EPOCHS, BATCH, RATE, SEED = 14, 32, 0.004, 7
 
 SLICE_BYTES = 256 << 10
 
+# Bytes of a text whose filter outputs are in memory at once when texts are scored.
+PIECE = 96 << 10
+
 
 class Network:
     """Filters over one-hot bytes, maxima over overlapping chunks that cover the whole text, a hidden layer
@@ -39,26 +42,41 @@ class Network:
     def parameters(self) -> list[np.ndarray]:
         return [self.filters, self.bias, self.w1, self.b1, self.w2, self.b2]
 
-    def forward(self, texts: Texts) -> dict[str, np.ndarray]:
-        """All layers for some texts. Each text is followed by WIDTH zero bytes, so an empty one has a block too."""
+    def signal(self, data: np.ndarray) -> np.ndarray:
+        """The filters' outputs at every window of some bytes."""
+        windows = len(data) - WIDTH + 1
+        out = np.zeros((windows, FILTERS), dtype=np.float32)
+        for k in range(WIDTH):
+            out += self.filters[k][data[k : k + windows]]
+        return out
+
+    def maxima(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The largest output of each filter in every block; the outputs of PIECE bytes are in memory at once."""
+        blocks = np.zeros((len(start), FILTERS), dtype=np.float32)
+        at = 0
+        while at < len(start):
+            to = max(at + 1, int(np.searchsorted(stop, start[at] + PIECE, "right")))
+            edges = np.stack([start[at:to], stop[at:to]], axis=1).reshape(-1) - start[at]
+            blocks[at:to] = np.maximum.reduceat(self.signal(data[start[at] : stop[to - 1] + WIDTH]), edges, axis=0)[::2]
+            at = to
+        return blocks
+
+    def forward(self, texts: Texts, trains: bool = False) -> dict[str, np.ndarray]:
+        """All layers for some texts, with the filters' outputs if they are needed to train. Each text is followed by WIDTH
+        zero bytes, so an empty one has a block too."""
         n = len(texts)
         sizes = np.diff(texts.bounds)
         begin = texts.bounds[:-1] + WIDTH * np.arange(n)
         data = np.zeros(len(texts.data) + WIDTH * n, dtype=np.uint8)
-        data[np.arange(len(texts.data)) + np.repeat(WIDTH * np.arange(n), sizes)] = texts.data
-        windows = len(data) - WIDTH + 1 if n else 0
-        signal = np.zeros((windows, FILTERS), dtype=np.float32)
-        for k in range(WIDTH):
-            signal += self.filters[k][data[k : k + windows]]
+        for to, low, high in zip(begin.tolist(), texts.bounds[:-1].tolist(), texts.bounds[1:].tolist(), strict=True):
+            data[to : to + high - low] = texts.data[low:high]
         # Windows that begin in the text (or at its first zero) belong to it.
         count = np.maximum(1, -(-sizes // BLOCK))
         first = np.concatenate([[0], np.cumsum(count)])
         inside = np.arange(first[-1]) - np.repeat(first[:-1], count)
         start = np.repeat(begin, count) + BLOCK * inside
         stop = np.minimum(start + BLOCK, np.repeat(begin + np.maximum(sizes, 1), count))
-        edges = np.stack([start, stop], axis=1).reshape(-1)
-        edges = np.minimum(edges, max(windows - 1, 0))
-        blocks = np.maximum.reduceat(signal, edges, axis=0)[::2] if n else np.zeros((0, FILTERS), np.float32)
+        blocks = self.maxima(data, start, stop)
         # A chunk is a block and the next one of the text; the last block stands alone.
         following = np.arange(len(blocks)) + (inside + 1 < np.repeat(count, count))
         pooled = np.maximum(blocks, blocks[following]) + self.bias
@@ -68,11 +86,12 @@ class Network:
         high = np.maximum.reduceat(hidden, first[:-1], axis=0) if n else hidden[:0]
         joined = np.concatenate([mean, high], axis=1)
         chance = 1 / (1 + np.exp(-np.clip(joined @ self.w2 + self.b2, -30, 30)))
+        signal = self.signal(data) if trains and n else np.zeros((0, FILTERS), np.float32)
         return {"data": data, "signal": signal, "start": start, "stop": stop, "blocks": blocks, "following": following, "active": active, "hidden": hidden,
                 "count": count, "first": first, "high": high, "joined": joined, "chance": chance}
 
     def gradients(self, texts: Texts, labels: np.ndarray) -> list[np.ndarray]:
-        x = self.forward(texts)
+        x = self.forward(texts, trains=True)
         slope = ((x["chance"] - labels) / len(labels)).astype(np.float32)
         to_joined = slope[:, None] * self.w2
         owner = np.repeat(np.arange(len(labels)), x["count"])
@@ -131,17 +150,17 @@ def fit(docs: DataFrame, labels: DataFrame, learns: Column, key: str = "doc_id",
 def score(docs: DataFrame, network: Network, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default: all) of ``docs`` and ``score``, the chance that a text's quality is 1.
 
-    Every byte of a text is seen. Null is empty; an empty text is scored as one block of padding. Equal texts
+    Every byte of a text is seen, PIECE bytes at a time. Null is empty; an empty text is scored as one block of padding. Equal texts
     score the same, whatever their other columns; a column ``score`` in ``docs`` is replaced.
     """
     keep = [c for c in (keep or docs.columns) if c != "score"]
-    read = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_scored"))
-    schema = T.StructType([*read.schema.fields[:-1], T.StructField("score", T.DoubleType())])
+    read, fields = carried(docs, keep, F.col(f"`{text}`"))
+    schema = T.StructType([*fields, T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_scored", SLICE_BYTES):
-                chance = network.forward(texts_of(part.column("_scored")))["chance"].astype(np.float64)
+            for part in slices(batch, len(keep), SLICE_BYTES):
+                chance = network.forward(texts_of(part.column(len(keep))))["chance"].astype(np.float64)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(chance)], names=schema.names)
 
     return read.mapInArrow(tidy(run), schema)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.llm.text import Texts, Words, slices, texts_of, tidy
+from gridloom.llm.text import Texts, Words, carried, slices, texts_of, tidy
 
 # Characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -167,8 +167,8 @@ def judge(column: pa.Array) -> dict[str, pa.Array]:
     return out | {"spans": spans, "base_failed": pa.array(base_failed), "kept": pa.array(kept)}
 
 
-def repetition_rules(docs: DataFrame, text: str = "text", keep: list[str] | None = None, only_kept: bool = False) -> DataFrame:
-    """The columns ``keep`` (default: all) of ``docs`` and one struct column ``rules`` (see RULES).
+def repetition_rules(docs: DataFrame, text: str = "text", keep: list[str] | None = None, only_kept: bool = False, out: str | None = "rules") -> DataFrame:
+    """The columns ``keep`` (default: all) of ``docs`` and one struct column ``out`` (see RULES; none if it is None).
 
     * ``n_repeat_words`` counts words inside substrings of at least 8 words that occur again in the same
       text; ``spans`` are their unions (word numbers), ``longest_repeat`` is the longest of them.
@@ -177,19 +177,20 @@ def repetition_rules(docs: DataFrame, text: str = "text", keep: list[str] | None
       that is over 15 % of the text. ``only_kept`` leaves out all other rows.
 
     A null or empty text has no words: all counts are 0 and it fails. Ties and repeated rows are judged
-    row by row; an empty table gives an empty table. A column named ``rules`` in ``docs`` is replaced.
-    Memory: one Arrow batch, and the suffix ranks of 2 MB of text or of one longer text.
+    row by row; an empty table gives an empty table. A column named ``out`` in ``docs`` is replaced.
+    Memory: one Arrow batch, and the suffix ranks of 1 MB of text or of one longer text.
     """
-    keep = [c for c in (keep or docs.columns) if c != "rules"]
-    read = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_judged"))
-    schema = T.StructType([*read.schema.fields[:-1], T.StructField("rules", T.StructType.fromDDL(RULES))])
+    keep = [c for c in (keep or docs.columns) if c != out]
+    read, fields = carried(docs, keep, F.col(f"`{text}`"))
+    made = [T.StructField(out, T.StructType.fromDDL(RULES))] if out else []
+    schema = T.StructType([*fields, *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_judged", SLICE_BYTES):
-                rules = judge(part.column("_judged"))
-                struct = pa.StructArray.from_arrays(list(rules.values()), names=list(rules))
-                out = pa.RecordBatch.from_arrays([*part.columns[:-1], struct], names=[*keep, "rules"])
-                yield out.filter(rules["kept"]) if only_kept else out
+            for part in slices(batch, len(keep), SLICE_BYTES):
+                rules = judge(part.column(len(keep)))
+                struct = [pa.StructArray.from_arrays(list(rules.values()), names=list(rules))] if out else []
+                judged = pa.RecordBatch.from_arrays([*part.columns[:-1], *struct], names=schema.names)
+                yield judged.filter(rules["kept"]) if only_kept else judged
 
     return read.mapInArrow(tidy(run), schema)

@@ -7,6 +7,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField
 
 # The bytes that end a word (space, tab, line feed, vertical tab, form feed, carriage return).
 WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -48,7 +51,7 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(raw[bounds[0] : bounds[-1]], bounds - bounds[0])
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, size: int) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``size`` bytes of text each (a longer text is a part of its own)."""
     bounds = texts_of(batch.column(column)).bounds
     at = 0
@@ -58,6 +61,13 @@ def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordB
         at = to
 
 
+def carried(docs: DataFrame, keep: list[str], last: Column) -> tuple[DataFrame, list[StructField]]:
+    """The columns ``keep`` of ``docs`` under names of their own and ``last`` after them, so that no name clashes on the way
+    through a function on Arrow batches; and the fields that the columns had."""
+    plain = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.fields
+    return docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)], last.alias("_last")), plain
+
+
 class Words:
     """Words of several texts: their bytes without white space, bounds in those bytes, and first word per text."""
 

@@ -255,15 +255,14 @@ def test_contained_items(spark):
 def test_large_items_are_not_missed_by_the_sketch(spark):
     """Without a broadcast the plan joins by shuffle and gives the same pairs."""
     docs, tests = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
-    import gridloom.llm.sizes as sizes
-
     small = {tuple(r) for r in decontaminate.contained(docs, tests).collect()}
-    default = sizes.sent_if_small.__defaults__
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
     try:
-        sizes.sent_if_small.__defaults__ = (0,)
+        spark.conf.set(name, -1)
         assert {tuple(r) for r in decontaminate.contained(docs, tests).collect()} == small
     finally:
-        sizes.sent_if_small.__defaults__ = default
+        spark.conf.set(name, before)
 
 
 def test_pipeline_keeps_clean_documents(spark, tmp_path):
@@ -273,8 +272,8 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     passage = " ".join(prose(draw, 70))
     more = [(100, clean[3][1]), (101, clean[4][1].replace("\n", "\nnew ", 1)), (102, "the " * 200), (103, "few words"), (104, " ".join(prose(draw, 80)) + " " + bench[2][1] + " " + " ".join(prose(draw, 80)))]
     more += [(k, " ".join(prose(draw, 60)) + " " + passage + " " + " ".join(prose(draw, 60))) for k in (105, 106)] + [(None, None), (107, "")]
-    rows = [(k, t, "en", "s", len(t or "")) for k, t in clean + more]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = [(k, t, "en", "s", len(t or ""), 1, "a", 2.0, [3]) for k, t in clean + more]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, rules int, _judged string, _spans double, _text array<int>").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -1,6 +1,7 @@
 """Extraction, repetition rules and the classifier against brute force and on odd input."""
 
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -79,16 +80,73 @@ PAGES = [
 ]
 
 
+def said(draw, n):
+    return " ".join("".join(draw.choice("abcdefghij") for _ in range(draw.randint(2, 8))) for _ in range(n))
+
+
+def pages_without_article(seed):
+    """Pages without an article or main element, most without any telling name: (html, text). Ratios have to decide."""
+    draw = random.Random(seed)
+    title, one, two, three, short, note = said(draw, 6), said(draw, 60), said(draw, 45), said(draw, 80), said(draw, 4), said(draw, 9)
+    menu = "".join(f"<li><a href=/{i}>{said(draw, 1)}</a></li>" for i in range(6))
+    links = "".join(f"<a href=/{i}>{said(draw, 2)}</a> | " for i in range(8))
+    story = f"<h1>{title}</h1><p>{one}</p><p>{short}</p><p>{two}</p>"
+    text = "\n".join([title, one, short, two])
+    return [
+        (f"<div><ul>{menu}</ul></div><div>{story}</div>", text),
+        (f"<div>{links}</div><div>{story}</div><div>{links}</div>", text),
+        (f"<table><tr><td><ul>{menu}</ul></td><td>{story}</td></tr></table>", text),
+        (f"<div><div><ul>{menu}</ul></div><div><h1>{title}</h1></div><div><p>{one}</p></div><div><p>{two}</p></div></div>", "\n".join([title, one, two])),
+        (f"<body class='page comments-open'><div class='page no-sidebar'>{story}</div></body>", text),
+        (f"<div>{story}</div><div><span>{said(draw, 1)}</span><span>{said(draw, 1)}</span><i>{said(draw, 1)}</i><b>{said(draw, 1)}</b><a href=/>{said(draw, 2)}</a></div>", text),
+        (f"<ul>{menu}</ul><section>{story}</section><section>{links}</section>", text),
+        (f"<form action=/><div>{story}</div><input type=hidden><select><option>{note}</select></form>", text),
+        (f"<div class=content>{story}<div class=ad>{note}</div><p>{three}</p></div>", text + "\n" + three),
+        (f"<div class=cookie-notice>{note}</div><div>{story}</div><div class=newsletter>{note}</div>", text),
+        (f"<div>{story}</div><div id=comments><p>{note}</p><p>{note} {short}</p></div>", text),
+        (f"<header><h2>{short}</h2></header><div>{story}</div><footer>{note}</footer>", text),
+        (f"<nav>{menu}</nav><aside>{two}</aside><div>{story}</div><script>x</script>", text),
+        (f"<div><p>{one}<p>{two}<p>{three}</div><div class=share>{links}</div>", "\n".join([one, two, three])),
+        (f"<p>{one}</p><p>{short}</p><p>{two}</p>", "\n".join([one, short, two])),
+    ]
+
+
+@pytest.mark.parametrize("html,text", pages_without_article(1) + pages_without_article(2))
+def test_main_text_by_ratios(html, text):
+    assert html_extract.main_text(html) == text
+
+
+NAMED = [
+    ('<div class="page no-sidebar"><p>long text</p></div>', "long text"), ('<div class="site no-sidebar"><article><p>a long text of it</article></div>', "a long text of it"),
+    ('<main><div class="legal-news"><p>long text', "long text"), ("<div><h1>Title</h1></div><div><p>long text that goes on and on</div>", "Title\nlong text that goes on and on"),
+    ("<div>short</div><div>long text that goes on and on</div><div>short</div>", "short\nlong text that goes on and on\nshort"),
+    ("<article><p>the story itself</article><div id=comments><article><p>a long comment of a reader that is longer than the story</article></div>", "the story itself"),
+]
+
+
+@pytest.mark.parametrize("html,text", NAMED)
+def test_names_do_not_delete_the_text(html, text):
+    assert html_extract.main_text(html) == text
+
+
+def test_time_follows_the_length_of_the_page():
+    deep = ["<div>" * n + "<p>x<p>y" for n in (20_000, 80_000)] + ["<div><p>" * 20_000 + "<li>a</span></b>" * 20_000, "<ul><li>" * 20_000]
+    start = time.process_time()
+    for html in deep:
+        html_extract.main_text(html)
+    assert time.process_time() - start < 10
+
+
 @pytest.mark.parametrize("html,text", PAGES)
 def test_main_text(html, text):
     assert html_extract.main_text(html) == text
 
 
 def test_extraction_columns(spark):
-    pages = spark.createDataFrame([(i, None, h, 5, "old") for i, (h, _) in enumerate(PAGES)], "page_id long, url string, html string, n_chars int, text string")
+    pages = spark.createDataFrame([(i, None, h, 5, "old", i) for i, (h, _) in enumerate(PAGES)], "page_id long, url string, html string, n_chars int, text string, _html long")
     got = html_extract.extract(pages).orderBy("page_id").collect()
     assert [(r["text"], r["n_chars"]) for r in got] == [(t, len(t)) for _, t in PAGES]
-    assert html_extract.extract(pages.limit(0)).columns == ["page_id", "url", "text", "n_chars"]
+    assert html_extract.extract(pages.limit(0)).columns == ["page_id", "url", "_html", "text", "n_chars"]
 
 
 def test_smoothing_and_threshold():
@@ -154,3 +212,35 @@ def test_ratios_decide_on_pages_with_an_article_too():
     assert story in html_extract.main_text(card)
     second = "<article>" + "".join(long) + "</article><article><h2>Next</h2><p>Short.</p><p>More here.</p><p>Read on.</p><p>Also.</p></article>"
     assert html_extract.main_text(second) == story
+
+
+def test_scores_do_not_depend_on_pieces_or_neighbours():
+    """Long texts go through the filters in pieces; a plain loop over windows and chunks gives the same."""
+    draw = np.random.default_rng(4)
+    texts = [bytes(draw.integers(0, 256, n, dtype=np.uint8)) for n in (0, 1, 4, 127, 128, 129, 1000, 3000)]
+    network = quality_cnn.Network(3)
+
+    def plain(text):
+        data = np.frombuffer(text + bytes(quality_cnn.WIDTH), np.uint8)
+        size, block = max(1, len(text)), quality_cnn.BLOCK
+        out = [sum(network.filters[k][data[i + k]] for k in range(quality_cnn.WIDTH)) for i in range(size)]
+        tops = [np.max(out[i : i + block], axis=0) for i in range(0, size, block)]
+        chunks = [np.maximum(a, b) + network.bias for a, b in zip(tops, [*tops[1:], tops[-1]])]
+        hidden = np.array([np.maximum(np.maximum(c, 0) @ network.w1 + network.b1, 0) for c in chunks])
+        return 1 / (1 + np.exp(-(np.concatenate([hidden.mean(axis=0), hidden.max(axis=0)]) @ network.w2 + network.b2[0])))
+
+    want = [plain(t) for t in texts]
+    before = quality_cnn.PIECE
+    for piece in (1, 200, 96 << 10):
+        quality_cnn.PIECE = piece
+        got = network.forward(quality_cnn.joined(texts))["chance"]
+        assert np.allclose(got, want, atol=1e-5)
+    quality_cnn.PIECE = before
+
+
+def test_columns_with_names_of_helpers(spark):
+    docs = spark.createDataFrame([(1, "some words here", 5, "x", 2.0)], "doc_id long, text string, _scored int, _judged string, score double")
+    out = quality_cnn.score(docs, quality_cnn.Network(1))
+    assert out.columns == ["doc_id", "text", "_scored", "_judged", "score"] and out.first()["_scored"] == 5
+    judged = repetition.repetition_rules(docs, out=None)
+    assert judged.columns == docs.columns and judged.first()["_judged"] == "x"
