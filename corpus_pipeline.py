@@ -15,7 +15,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the repetition rules."""
-    return repetition.repetition_rules(docs, only_kept=True).drop("rules")
+    return repetition.repetition_rules(docs, only_kept=True, out=None)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
