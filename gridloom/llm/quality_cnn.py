@@ -57,7 +57,8 @@ class Network:
         while at < len(start):
             to = max(at + 1, int(np.searchsorted(stop, start[at] + PIECE, "right")))
             edges = np.stack([start[at:to], stop[at:to]], axis=1).reshape(-1) - start[at]
-            blocks[at:to] = np.maximum.reduceat(self.signal(data[start[at] : stop[to - 1] + WIDTH]), edges, axis=0)[::2]
+            signal = self.signal(data[start[at] : stop[to - 1] + WIDTH])
+            blocks[at:to] = np.maximum.reduceat(signal, np.minimum(edges, len(signal) - 1), axis=0)[::2]
             at = to
         return blocks
 
