@@ -27,6 +27,13 @@ def _small_star(links: DataFrame) -> DataFrame:
     return others.union(least.select("a", F.col("low").alias("b")))
 
 
+def _not_done(links: DataFrame) -> DataFrame:
+    """Nodes that have two lower neighbours, or a lower and a higher one: none is left when all links are stars."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("down")))).alias("e"))
+    counts = ends.groupBy("e.node").agg(F.sum("e.down").alias("down"), F.min("e.down").alias("low"))
+    return counts.filter("down > 1 OR down = 1 AND low = 0")
+
+
 def components(links: DataFrame) -> DataFrame:
     """The least node of its component for every node that has a link: columns ``node`` and ``root``.
 
@@ -37,12 +44,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     first, second = links.columns
     now = settle(_downward(links.select(F.col(f"`{first}`").alias("a"), F.col(f"`{second}`").alias("b"))))
-    total, before = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), None
-    while True:
-        seen = tuple(now.agg(F.count("*"), total).first())
-        if seen == before or not seen[0]:
-            break
-        before = seen
+    while not _not_done(now).isEmpty():
         now = settle(_downward(_small_star(_downward(_large_star(now)))))
     lows = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(lows)

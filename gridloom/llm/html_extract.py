@@ -87,6 +87,7 @@ class Lines(HTMLParser):
         self.open: Counter[str] = Counter()
         self.items = [0]  # open list items, by open list
         self.parents, self.regions = [0], [0]  # parent of each region; the open ones
+        self.articles = [False]  # whether a region is an article or main element
         # of named elements: the one around each, those open now, whether the first article is inside, whether it is about comments or
         # adverts, whether it is inside an article
         self.outer, self.around, self.first, self.hard, self.within = [0], [0], [False], [False], [False]
@@ -156,6 +157,7 @@ class Lines(HTMLParser):
         region = main or (tag in SECTIONING and not self.main)
         if region:
             self.parents.append(self.regions[-1])
+            self.articles.append(main)
             self.regions.append(len(self.parents) - 1)
         self.stack.append(Open(tag, silent, furniture, named, main, region))
         self.open[tag] += 1
@@ -252,7 +254,7 @@ def main_text(html: str | None) -> str:
     or main element, less than one inside an element named for a notice, advert, form, comments and the like, and
     for links. The values' two clusters give the threshold. Regions (an article or main element; outside of these
     the innermost sectioning element) with a line that reaches it are content, and so are those beside them, inside or
-    right around them with a line that reaches half of it. A content region stays whole, a short line beside
+    right around them with a line that reaches half of it, but for articles, which stand for themselves. A content region stays whole, a short line beside
     long ones too, but for doubted lines below the threshold.
 
     A name is no reason to doubt what has the page's first article or most of its text inside.
@@ -274,7 +276,7 @@ def main_text(html: str | None) -> str:
     content = {line.region for line, value in zip(lines, values, strict=True) if value >= cut}
     beside = content | {parents[r] for r in content}
     near = {line.region for line, value in zip(lines, values, strict=True) if value >= BESIDE * cut and line.inline <= line.text.count(" ") + 1}
-    content |= {r for r in near if r in beside or parents[r] in beside}
+    content |= {r for r in near if (r in beside or parents[r] in beside) and not parser.articles[r]}
     return "\n".join(line.text for line, value in zip(lines, values, strict=True) if line.region in content and (value >= cut or not doubted[line.named]))
 
 

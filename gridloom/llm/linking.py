@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from gridloom.llm.components import components
 from gridloom.session import noted
 
-# After the rounds of one pivot per bucket, so many parts of the nodes are pivots, the last time all.
-PARTS = (16, 4, 1)
-
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
     """``bucket``, ``node``, ``pos`` (place of the bucket in the node's order) and ``score`` for buckets of two nodes or more.
@@ -37,40 +34,31 @@ def linked(tables: list[DataFrame], facts: DataFrame, near: str, alike: Callable
     much alike at little cost. ``facts`` has more columns of each node; ``near`` is an SQL condition on two members
     ``p`` and ``m`` of a bucket that no true pair fails; ``alike`` takes pairs (``a``, ``b``) and keeps the true ones.
 
-    First one member of each bucket, the one with the highest score, meets all others; then a sixteenth of the
-    nodes, a fourth, and all of them meet the rest, always only those of another component. A pair's round depends
-    on its two nodes alone, so it is verified once. The result is that of all pairs: no pair is left out but those
-    that are connected already.
+    First one member of each bucket, the one with the highest score, meets all others; then all members meet, but
+    only those of different components. The result is that of all pairs: no pair is left out but those that are
+    connected already, and none is verified twice.
     """
     stars = tested = None
-    steps = [(table, 0) for table in tables] + [(tables[-1], part) for part in PARTS]
-    for table, part in steps:
+    steps = [(table, True) for table in tables] + [(tables[-1], False)]
+    for table, one in steps:
         if stars is None:
             rows = table.withColumn("label", F.col("node"))
         else:
             labelled = table.join(stars, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
             mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
             rows = noted(labelled.join(mixed, "bucket", "left_semi"))
-        order = F.xxhash64("node", F.lit(part))
-        if part:
-            pivots = rows.filter(F.pmod(F.xxhash64("node"), F.lit(part)) == 0)
-            # two pivots meet once; one that was a pivot of the round before has met all
-            before = [p for p in PARTS if p > part]
-            fresh = F.lit(True) if not before else F.pmod(F.xxhash64("node"), F.lit(before[-1])) != 0
-            rows, pivots = rows.filter(fresh), pivots.filter(fresh)
-            once = (F.pmod(F.xxhash64("m.node"), F.lit(part)) != 0) | (F.col("p.node") < F.col("m.node"))
-        else:
-            first = rows.groupBy("bucket").agg(F.max(F.struct("score", order, "node")).alias("f")).select("bucket", "f.node")
-            pivots = rows.join(first, ["bucket", "node"], "left_semi")
-            once = F.lit(True)
+        pivots, once = rows, F.col("p.node") < F.col("m.node")
+        if one:
+            first = rows.groupBy("bucket").agg(F.max(F.struct("score", F.xxhash64("node").alias("h"), "node")).alias("f")).select("bucket", "f.node")
+            pivots, once = rows.join(first, ["bucket", "node"], "left_semi"), F.lit(True)
         m, p = rows.join(facts, "node").alias("m"), pivots.join(facts, "node").alias("p")
         met = m.join(p, (F.col("m.bucket") == F.col("p.bucket")) & (F.col("m.label") != F.col("p.label")) & once & F.expr(near))
         pairs = met.select(F.least("m.node", "p.node").alias("a"), F.greatest("m.node", "p.node").alias("b")).distinct()
         pairs = noted(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
-        if not part:
-            tested = pairs if tested is None else tested.union(pairs)
-        found = alike(pairs).select("a", "b")
-        stars = noted(components(found if stars is None else found.union(stars.select("node", "root"))))
+        tested = pairs if tested is None else tested.union(pairs)
+        found = noted(alike(pairs).select("a", "b"))
+        if not found.isEmpty():
+            stars = noted(components(found if stars is None else found.union(stars.select("node", "root"))))
     return tables[-1].select("node", F.col("node").alias("root")).limit(0) if stars is None else stars
