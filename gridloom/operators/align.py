@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from gridloom.functions.grid import Grid, cell_of, in_box
 from gridloom.functions.physics import haversine_m
 from gridloom.functions.temporal import hour_start
 from gridloom.operators.select import arg_best
-from gridloom.session import clean, lookup_join
+from gridloom.session import clean, lookup_join, noted
 
 CELL = ["row", "col"]
 
@@ -101,40 +102,51 @@ def sample_fields(
 
     Bilinear in space with weights renormalised over valid neighbours, linear in time by whole minutes
     between the hour and the next; NULL where an hour has no valid neighbour. It gives what regridding
-    every hour and then interpolating would, but only at the cells asked for: each cell asks for four
-    neighbours of two hours, and one aggregation puts them together.
+    every hour and then interpolating would, but only at the cells asked for.
+
+    A field's pixel goes to the four quads it is a corner of, for its own hour and the one before, and one aggregation
+    makes a row of each quad and hour with eight values per variable. Cells are joined to these once and stay one
+    row each; the quads are a written table, so a small one is broadcast by its bytes.
     """
     value = clean("value") if nodata is None else F.when(F.col("value") != nodata, clean("value"))
     wide = fields.groupBy(hour, "row", "col").agg(*_columns_of("variable", variables, value))
-    wide = wide.select(F.col(hour).alias("_h"), F.col("row").alias("_i"), F.col("col").alias("_j"), *variables)
+    hours = [F.col(hour), F.col(hour) - F.expr("interval 1 hour")]
+    ends = [F.struct(h.alias("h"), (F.col("row") - i).alias("i"), (F.col("col") - j).alias("j"), F.lit(4 * t + 2 * i + j).alias("k")) for t, h in enumerate(hours) for i in (0, 1) for j in (0, 1)]
+    sent = wide.select(F.explode(F.array(*ends)).alias("_e"), *[F.col(v).cast("double").alias(f"_v{n}") for n, v in enumerate(variables)])
+    corners = [F.max(F.when(F.col("_e.k") == k, F.col(f"_v{n}"))).alias(f"_c{n}_{k}") for n in range(len(variables)) for k in range(8)]
+    quads = sent.groupBy(F.col("_e.h").alias("_h"), F.col("_e.i").alias("_i"), F.col("_e.j").alias("_j")).agg(*corners)
+    packed = [F.array(*[F.col(f"_c{n}_{k}") for k in range(8)]) for n in range(len(variables))]
+    quads = noted(quads.select("_h", "_i", "_j", F.array(*packed).alias("_q")))
 
     fy = _position(F.col("row"), src.y0, src.dy, dst.y0, dst.dy, -1.0)
     fx = _position(F.col("col"), src.x0, src.dx, dst.x0, dst.dx, 1.0)
-    i, j, minute = F.floor(fy).cast("int"), F.floor(fx).cast("int"), F.minute(F.col(ts)).cast("double")
     start = hour_start(F.col(ts)).cast(fields.schema[hour].dataType)
+    asked = cells.select(*keys, "row", "col", ts, F.minute(F.col(ts)).cast("double").alias("_m"), start.alias("_h"), fy.alias("_y"), fx.alias("_x"))
+    asked = asked.withColumns({"_i": F.floor("_y").cast("int"), "_j": F.floor("_x").cast("int")})
+    asked = asked.withColumn("_w", F.array(*_shares(F.col("_y") - F.col("_i"), F.col("_x") - F.col("_j")))).drop("_y", "_x")
+    joined = lookup_join(asked, quads, ["_h", "_i", "_j"])
 
-    def options(first: Column, at: Column, names: tuple[str, str]) -> Column:
-        share = at - first
-        return F.array(
-            F.struct(first.alias(names[0]), (F.lit(1.0) - share).alias(names[1])), F.struct((first + 1).alias(names[0]), share.alias(names[1]))
-        )
+    def at_time(q: Column) -> Column:
+        first, then = (_weighted([q[4 * t + k] for k in range(4)], [F.col("_w")[k] for k in range(4)]) for t in (0, 1))
+        return (then * F.col("_m") + first * (F.lit(60.0) - F.col("_m"))) / F.lit(60.0)
+
+    # one lambda for all variables: written out for each, the sums outgrow a generated method
+    mixed = joined.withColumn("_z", F.transform("_q", at_time))
+    return mixed.select(*keys, "row", "col", ts, *[F.get("_z", F.lit(n)).alias(v) for n, v in enumerate(variables)])
 
-    hours = F.array(
-        F.struct(F.lit(0).alias("term"), start.alias("_h")), F.struct(F.lit(1).alias("term"), (start + F.expr("interval 1 hour")).alias("_h"))
-    )
-    asked = cells.select(*keys, "row", "col", ts, minute.alias("_m"), options(i, fy, ("_i", "wy")).alias("_y"), options(j, fx, ("_j", "wx")).alias("_x"), hours.alias("_t"))
-    asked = asked.withColumn("_y", F.explode("_y")).withColumn("_x", F.explode("_x")).withColumn("_t", F.explode("_t"))
-    asked = asked.select(*keys, "row", "col", ts, "_m", "_t.term", "_t._h", "_y._i", "_x._j", (F.col("_y.wy") * F.col("_x.wx")).alias("w"))
-    joined = lookup_join(asked, wide, ["_h", "_i", "_j"])
 
-    sums = []
-    for n, v in enumerate(variables):
-        for term in (0, 1):
-            here = (F.col("term") == term) & F.col(v).isNotNull() & (F.col("w") > 0)
-            sums.append(F.try_divide(F.sum(F.when(here, F.col("w") * F.col(v))), F.sum(F.when(here, F.col("w")))).alias(f"_v{n}_{term}"))
-    both = joined.groupBy(*keys, "row", "col", ts, "_m").agg(*sums)
-    mixed = {v: (F.col(f"_v{n}_1") * F.col("_m") + F.col(f"_v{n}_0") * (F.lit(60.0) - F.col("_m"))) / F.lit(60.0) for n, v in enumerate(variables)}
-    return both.select(*keys, "row", "col", ts, *[c.alias(v) for v, c in mixed.items()])
+def _shares(v: Column, u: Column) -> list[Column]:
+    """Weights of the four corners of a quad (upper left, upper right, lower left, lower right) at a place in it."""
+    one = F.lit(1.0)
+    return [(one - v) * (one - u), (one - v) * u, v * (one - u), v * u]
+
+
+def _weighted(values: list[Column], weights: list[Column]) -> Column:
+    """Mean of the valid values; NULL where none has a weight."""
+    none = F.lit(0.0)
+    sums = [F.coalesce(w * x, none) for w, x in zip(weights, values)]
+    parts = [F.when(x.isNotNull(), w).otherwise(none) for w, x in zip(weights, values)]
+    return F.try_divide(sums[0] + sums[1] + sums[2] + sums[3], parts[0] + parts[1] + parts[2] + parts[3])
 
 
 def bbox_index_window(
@@ -188,15 +200,20 @@ def bind_columns(df: DataFrame, first: Mapping[str, Column], then: Sequence[str]
     return df.select(*[c.alias(n) for n, c in first.items()], *[F.col(f"`{n}`") for n in then])
 
 
-def _reach(at: Column, src_from: float, src_step: float, dst_from: float, dst_step: float, count: int) -> Column:
-    """Target indexes whose centre may lie within one source step of source index ``at``."""
-    lo = ((at - 0.5) * src_step + src_from - dst_from) / dst_step - 0.5
-    hi = ((at + 1.5) * src_step + src_from - dst_from) / dst_step - 0.5
+def _inside(quad: Column, src_from: float, src_step: float, dst_from: float, dst_step: float, count: int) -> Column:
+    """Target indexes whose centre may lie in a quad, which begins at the centre of source index ``quad``."""
+    lo, hi = (((quad + F.lit(0.5 + k)) * src_step + src_from - dst_from) / dst_step - 0.5 for k in (0, 1))
     first = F.greatest(F.floor(lo), F.lit(0)).cast("int")
     last = F.least(F.ceil(hi), F.lit(count - 1)).cast("int")
     return F.when(first <= last, F.sequence(first, last))
 
 
+def _first_and_last(count: int, src_from: float, src_step: float, dst_from: float, dst_step: float, sign: float) -> tuple[int, int]:
+    """Quads that the first and the last target index are in."""
+    at = [((dst_from + sign * (k + 0.5) * dst_step) - src_from) / src_step * sign - 0.5 for k in (0, count - 1)]
+    return math.floor(at[0]) - 1, math.floor(at[1]) + 1
+
+
 def _position(index: Column, src_from: float, src_step: float, dst_from: float, dst_step: float, sign: float) -> Column:
     """Centre of a target index in source index units."""
     center = F.lit(dst_from) + F.lit(sign) * ((index + F.lit(0.5)) * F.lit(dst_step))
@@ -208,30 +225,32 @@ def regrid_bilinear(
 ) -> DataFrame:
     """Bilinear resampling between regular grids; weights are renormalised over the valid neighbours.
 
-    Each source pixel is sent to the few target cells it touches with its weight there, and one
-    aggregation adds them up; so there is no join, and nodata pixels stop at the scan. With
-    ``complete`` every target cell of every raster is present, NULL where nothing reaches it.
+    Each valid source pixel goes to the four quads it is a corner of, one aggregation makes a row of each quad with its
+    corners as columns, and only then are the target cells in it listed: what is shuffled follows the source,
+    however fine the target is. With ``complete`` every target cell of every raster is present, NULL where nothing
+    reaches it.
     """
     value = clean("value")
     valid = value.isNotNull() if nodata is None else value.isNotNull() & (value != nodata)
-    sent = pixels.filter(valid).select(*keys, "row", "col", F.col("value").cast("double").alias("value"))
-    # y grows downwards in row order, hence the mirrored axis
-    sent = sent.withColumn("r", F.explode(_reach(F.col("row"), -src.y0, src.dy, -dst.y0, dst.dy, dst.rows)))
-    fy = _position(F.col("r"), src.y0, src.dy, dst.y0, dst.dy, -1.0)
-    sent = sent.withColumn("wy", F.lit(1.0) - F.abs(fy - F.col("row"))).filter(F.col("wy") > 0)
-    sent = sent.withColumn("c", F.explode(_reach(F.col("col"), src.x0, src.dx, dst.x0, dst.dx, dst.cols)))
-    fx = _position(F.col("c"), src.x0, src.dx, dst.x0, dst.dx, 1.0)
-    sent = sent.withColumn("wx", F.lit(1.0) - F.abs(fx - F.col("col"))).filter(F.col("wx") > 0)
-    parts = sent.select(
-        *keys, F.col("r").alias("row"), F.col("c").alias("col"),
-        (F.col("wx") * F.col("wy")).alias("w"), (F.col("wx") * F.col("wy") * F.col("value")).alias("wv"),
-    )
+    corner = [F.struct((F.col("row") - i).cast("int").alias("i"), (F.col("col") - j).cast("int").alias("j"), F.lit(2 * i + j).alias("k")) for i in (0, 1) for j in (0, 1)]
+    sent = pixels.filter(valid).select(*keys, F.col("value").cast("double").alias("_v"), F.explode(F.array(*corner)).alias("_c"))
+    sent = sent.select(*keys, "_c.i", "_c.j", "_c.k", "_v")
     if complete:
         rasters = pixels.select(*keys).distinct() if keys else pixels.sparkSession.range(1).select()
-        blank = rasters.withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(dst.rows - 1))))
-        blank = blank.withColumn("col", F.explode(F.sequence(F.lit(0), F.lit(dst.cols - 1))))
-        parts = parts.unionByName(blank.withColumns({"w": F.lit(None).cast("double"), "wv": F.lit(None).cast("double")}))
-    return parts.groupBy(*keys, "row", "col").agg(F.try_divide(F.sum("wv"), F.sum("w")).alias("value"))
+        top, bottom = _first_and_last(dst.rows, src.y0, src.dy, dst.y0, dst.dy, -1.0)
+        left, right = _first_and_last(dst.cols, src.x0, src.dx, dst.x0, dst.dx, 1.0)
+        blank = rasters.withColumn("i", F.explode(F.sequence(F.lit(top), F.lit(bottom)))).withColumn("j", F.explode(F.sequence(F.lit(left), F.lit(right))))
+        sent = sent.unionByName(blank.withColumns({"k": F.lit(None).cast("int"), "_v": F.lit(None).cast("double")}))
+    quads = sent.groupBy(*keys, "i", "j").agg(*[F.max(F.when(F.col("k") == k, F.col("_v"))).alias(f"_v{k}") for k in range(4)])
+
+    # y grows downwards in row order, hence the mirrored axis
+    cells = quads.withColumn("row", F.explode(_inside(F.col("i"), -src.y0, src.dy, -dst.y0, dst.dy, dst.rows)))
+    cells = cells.withColumn("_y", _position(F.col("row"), src.y0, src.dy, dst.y0, dst.dy, -1.0)).filter(F.floor("_y") == F.col("i"))
+    cells = cells.withColumn("col", F.explode(_inside(F.col("j"), src.x0, src.dx, dst.x0, dst.dx, dst.cols)))
+    cells = cells.withColumn("_x", _position(F.col("col"), src.x0, src.dx, dst.x0, dst.dx, 1.0)).filter(F.floor("_x") == F.col("j"))
+    found = _weighted([F.col(f"_v{k}") for k in range(4)], _shares(F.col("_y") - F.col("i"), F.col("_x") - F.col("j")))
+    out = cells.select(*keys, "row", "col", found.alias("value"))
+    return out if complete else out.filter(F.col("value").isNotNull())
 
 
 def interpolate_swath(

@@ -22,6 +22,9 @@ STORED_PARAMETERS = {"alpha": 0.816, "learning_rate": 0.00007}
 IMAGE_NODATA = 32635.0
 FIRE_BAND = 4
 
+# Sides of the tiles that the segmentation model reads, and how far beyond a tile it may look.
+TILE, TILE_MARGIN = 128, 16
+
 
 def samples(manifest: DataFrame, root: str, class_id: int = 2) -> DataFrame:
     """Tiles of one size class (or all), with file columns made into paths below ``root``."""
@@ -63,11 +66,11 @@ def run_evaluation(spark: SparkSession, predictions: DataFrame, root: str, run:
     return read_stage(spark, root, run, "best_model_metrics")
 
 
-def score_images(pixels: DataFrame, src: Grid, load: Callable, dst: Grid | None = None) -> DataFrame:
-    """Probability grid rows from image pixels (date, band, row, col, value): one band is regridded,
-    scaled and scored by a model from outside."""
+def score_images(pixels: DataFrame, src: Grid, load: Callable, dst: Grid | None = None, size: int = TILE, margin: int = TILE_MARGIN) -> DataFrame:
+    """Probability grid rows from image pixels (date, band, row, col, value): one band is regridded, scaled and scored
+    tile by tile by a model from outside (see ``score_tiles``), which sees the pixels around each one."""
     dst = dst or Grid.covering(FIRE_REGION, TARGET_STEP)
     band = pixels.filter(F.col("band") == FIRE_BAND).select("date", "row", "col", "value")
     regular = align.regrid_bilinear(band, src, dst, ["date"], IMAGE_NODATA)
     ready = regular.withColumn("seviri_ir39_", fire.channel(F.col("value"))).drop("value")
-    return grid_rows(models.score_outside(ready, ["seviri_ir39_"], load, "prob"), dst, F.col("prob"))
+    return grid_rows(models.score_tiles(ready, ["seviri_ir39_"], load, ["date"], size, margin, "prob"), dst, F.col("prob"))

@@ -38,13 +38,14 @@ def grid_rows(df: DataFrame, grid: Grid, value: Column, nodata: float = NODATA,
 def grid_sink(
     df: DataFrame, grid: Grid, value: Column, path: str, nodata: float = NODATA, keys: Sequence[str] = ("date",)
 ) -> None:
-    """Write the grid partitioned by date.
+    """Write the grid partitioned by date. Dates that are there already are replaced, all others stay: a date's files take
+    their place when the whole job is done, so a run that fails leaves no half date.
 
     Rows are range-partitioned by date and row first: each task writes few dates, and a huge date is
     spread over several tasks.
     """
     rows = grid_rows(df, grid, value, nodata, keys).repartitionByRange("date", "row")
-    rows.write.partitionBy("date").option("maxRecordsPerFile", 50_000_000).parquet(path)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").option("maxRecordsPerFile", 50_000_000).parquet(path)
 
 
 def read_grid(spark: SparkSession, path: str) -> DataFrame:

@@ -139,3 +139,54 @@ def test_infinite_landmarks_move_nothing_else(spark):
     below = spark.createDataFrame([(float("-inf"),)] * 3 + [(float(i),) for i in range(97)], "x double")
     z = [r["x"] for r in scaling.quantile_normalize(below, ["x"]).collect()]
     assert z[0] == z[2] < z[3] < z[4] and z[3:] == sorted(z[3:])
+
+
+def test_tiles_with_margin_score_as_the_whole_image(spark):
+    """A model that looks two pixels far gives on tiles what it gives on the whole image, holes and odd sizes included."""
+    draw = np.random.default_rng(3)
+    images = {"a": draw.normal(size=(2, 23, 41)), "b": draw.normal(size=(2, 9, 8))}
+    images["a"][:, 4:9, 10:30] = np.nan  # no pixels there
+    images["b"][1, 3, 3] = np.nan  # a missing value
+    rows = [(k, r, c, *(None if np.isnan(v) else float(v) for v in x[:, r, c])) for k, x in images.items() for r in range(x.shape[1]) for c in range(x.shape[2]) if not np.isnan(x[:, r, c]).all()]
+
+    def load():
+        def model(tiles):
+            both = np.nan_to_num(tiles[:, 0]) - 2 * np.nan_to_num(tiles[:, 1])
+            h, w = both.shape[1:]
+            padded = np.pad(both, ((0, 0), (2, 2), (2, 2)))
+            out = sum((i + 3 * j) * padded[:, i : i + h, j : j + w] for i in range(5) for j in range(5))
+            return np.where(np.isnan(tiles[:, 0]), np.nan, out)
+        return model
+
+    df = spark.createDataFrame(rows, "date string, row int, col int, `x y` double, z double")
+    whole = {k: load()(x[None])[0] for k, x in images.items()}
+    for size in (4, 16, 64):
+        got = {(r["date"], r["row"], r["col"]): r["score"] for r in models.score_tiles(df, ["x y", "z"], load, ["date"], size, 2).collect()}
+        assert set(got) == {r[:3] for r in rows}
+        for (k, r, c), v in got.items():
+            want = whole[k][r, c]
+            assert (v is None) if np.isnan(want) else v == pytest.approx(want)
+    assert models.score_tiles(df.limit(0), ["x y", "z"], load, ["date"], 8, 1).count() == 0
+
+
+def test_a_save_that_stops_in_between_leaves_no_version(spark, tmp_path, monkeypatch):
+    df, features = linear(spark), ["a b", "c"]
+    model = models.fit_boosted(df, features, "y", params=models.BoostParams(trees=1, depth=1))
+
+    def fails(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(store, "_save_signature", fails)
+        with pytest.raises(OSError):
+            store.save_model(model, str(tmp_path), "m", df.select(*features), 3)
+    assert store.versions(spark, str(tmp_path), "m") == []
+    with pytest.raises(FileNotFoundError):
+        store.load_model(str(tmp_path), "m", 3)
+    for version in (3, 5):
+        store.save_model(model, str(tmp_path), "m", df.select(*features), version)
+    with pytest.raises(FileExistsError):
+        store.save_model(model, str(tmp_path), "m", df.select(*features), 3)
+    assert store.versions(spark, str(tmp_path), "m") == [3, 5]
+    assert store.load_signature(spark, str(tmp_path), "m", None).names == features
+    assert len(store.load_model(str(tmp_path), "m", None).stages) == 2

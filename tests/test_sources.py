@@ -90,3 +90,33 @@ def test_composite_choice(spark):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_one_date_is_replaced(spark, tmp_path):
+    grid = Grid(20.0, 40.0, 1.0, 1.0, 2, 2)
+
+    def write(rows):
+        pixels.grid_sink(spark.createDataFrame(rows, "date date, row int, col int, v double"), grid, F.col("v"), str(tmp_path / "grid"))
+
+    def there():
+        return sorted((str(r["date"]), r["row"], r["col"], r["value"]) for r in pixels.read_grid(spark, str(tmp_path / "grid")).collect())
+
+    first, second = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    write([(first, 0, 0, 1.0), (first, 1, 1, 2.0), (second, 0, 0, 3.0)])
+    write([(first, 0, 1, 9.0)])
+    assert there() == [("2024-01-01", 0, 1, 9.0), ("2024-01-02", 0, 0, 3.0)]
+    bad = spark.createDataFrame([(second, 0, 0, "x")], "date date, row int, col int, v string")
+    with pytest.raises(Exception):
+        pixels.grid_sink(bad, grid, F.assert_true(F.lit(False)).cast("double"), str(tmp_path / "grid"))
+    assert there() == [("2024-01-01", 0, 1, 9.0), ("2024-01-02", 0, 0, 3.0)]
+
+
+def test_many_runs_are_one_scan(spark, tmp_path):
+    root, runs = str(tmp_path), [f"run {i}+{i}%" for i in range(12)]
+    for i, run in enumerate(runs):
+        tables.write_stage(spark.createDataFrame([(i, "x")], "a int, b string").select(*(["a", "b"] if i % 2 else ["a"])), root, run, "part")
+    got = tables.read_stages(spark, root, [*runs, runs[0]], "part")
+    assert {(r["run_id"], r["a"], r["b"]) for r in got.collect()} == {(run, i, "x" if i % 2 else None) for i, run in enumerate(runs)}
+    assert got.count() == 12
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
