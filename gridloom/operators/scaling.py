@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import Bucketizer
+from pyspark.ml.param.shared import HasInputCols, Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,17 +94,22 @@ def fit_quantiles(train: DataFrame, columns: Sequence[str], landmarks: int = 100
 
 
 def apply_quantile_normalize(df: DataFrame, fitted: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Each column to a normal score: interpolated position among the landmarks, then the inverse normal.
+    """Each column to a normal score by the landmarks of ``fit_quantiles`` (one row, read here); see ``normal_scores``."""
+    row = fitted.first()
+    return normal_scores(df, {c: row[c] for c in columns})
+
+
+def normal_scores(df: DataFrame, landmarks: Mapping[str, Sequence[float] | None]) -> DataFrame:
+    """Each column to a normal score: interpolated position among its landmarks, then the inverse normal.
 
     Among equal landmarks the positions from the left and from the right are averaged. Missing stays
     missing. The landmarks (one row, 100 numbers per column) become the splits of a Bucketizer, so a
     position is a binary search in the JVM and no row leaves its partition.
     """
-    row = fitted.first()
-    splits, positions, places = [], [], []
+    columns, splits, positions, places = list(landmarks), [], [], []
     infinite = float("inf")
-    for c in columns:
-        q = row[c] or [0.0]  # no value: nothing to place
+    for c, q in landmarks.items():
+        q = q or [0.0]  # no value: nothing to place
         first, last = {v: i for i, v in reversed(list(enumerate(q)))}, {v: i for i, v in enumerate(q)}
         finite = sorted(v for v in first if abs(v) != infinite) or [0.0]
         places.append((q, finite, [first.get(v, 0) for v in finite], [last.get(v, 0) for v in finite]))
@@ -128,3 +136,46 @@ def apply_quantile_normalize(df: DataFrame, fitted: DataFrame, columns: Sequence
 
 def quantile_normalize(df: DataFrame, columns: Sequence[str], landmarks: int = 100) -> DataFrame:
     return apply_quantile_normalize(df, fit_quantiles(df, columns, landmarks), columns)
+
+
+class _ScoreParams(HasInputCols):
+    """Columns that are replaced by their normal scores, and what a missing score becomes (NaN: it stays missing)."""
+
+    missing = Param(Params._dummy(), "missing", "value of a missing score", typeConverter=TypeConverters.toFloat)
+
+
+class NormalScores(Estimator, _ScoreParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Normal scores as a stage of a Pipeline: inside a cross-validation its landmarks are fitted on the rows of the other
+    folds only."""
+
+    count = Param(Params._dummy(), "count", "number of landmarks", typeConverter=TypeConverters.toInt)
+
+    def __init__(self, inputCols: Sequence[str] | None = None, missing: float = float("nan"), count: int = 100) -> None:
+        super().__init__()
+        self._setDefault(missing=float("nan"), count=100)
+        self._set(missing=missing, count=count, **({"inputCols": list(inputCols)} if inputCols is not None else {}))
+
+    def _fit(self, dataset: DataFrame) -> NormalScoresModel:
+        columns = self.getInputCols()
+        row = fit_quantiles(dataset, columns, self.getOrDefault(self.count)).first()
+        return NormalScoresModel(columns, [list(row[c] or []) for c in columns], self.getOrDefault(self.missing))
+
+
+class NormalScoresModel(Model, _ScoreParams, DefaultParamsReadable, DefaultParamsWritable):
+    """The fitted stage: its landmarks are a parameter, so they are saved with the pipeline and loaded again."""
+
+    landmarks = Param(Params._dummy(), "landmarks", "landmarks of each column", typeConverter=TypeConverters.identity)
+
+    def __init__(self, inputCols: Sequence[str] | None = None, landmarks: Sequence[Sequence[float]] | None = None, missing: float = float("nan")) -> None:
+        super().__init__()
+        self._setDefault(missing=float("nan"))
+        self._set(missing=missing, **({} if inputCols is None else {"inputCols": list(inputCols), "landmarks": [list(q) for q in landmarks or []]}))
+
+    def by_column(self) -> dict[str, list[float]]:
+        return dict(zip(self.getInputCols(), self.getOrDefault(self.landmarks)))
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        scored, missing = normal_scores(dataset, self.by_column()), self.getOrDefault(self.missing)
+        if missing != missing:
+            return scored
+        return scored.withColumns({c: F.coalesce(_c(c), F.lit(missing)) for c in self.getInputCols()})

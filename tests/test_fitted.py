@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gridloom.operators import models, scaling, weights
+from gridloom.operators import models, scaling, split, weights
 from gridloom.plans import precipitation
 from gridloom.session import fresh_path
 from gridloom.sources import models as store
@@ -190,3 +190,32 @@ def test_a_save_that_stops_in_between_leaves_no_version(spark, tmp_path, monkeyp
     assert store.versions(spark, str(tmp_path), "m") == [3, 5]
     assert store.load_signature(spark, str(tmp_path), "m", None).names == features
     assert len(store.load_model(str(tmp_path), "m", None).stages) == 2
+
+
+def test_each_fold_is_scored_with_landmarks_of_the_others(spark):
+    draw = np.random.default_rng(8)
+    rows = [(i, float(draw.normal()), None if i % 9 == 0 else float(draw.lognormal()), float(i % 13)) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, `a b` double, c double, y double")
+    tried = [models.BoostParams(trees=2, depth=2, rate=0.3)]
+    search, table = models.random_search(df, ["a b", "c"], "y", "k", k=3, candidates=tried, scale=True, keep_folds=True)
+    folded = split.kfold(df, "k", 3, "_fold")
+    for fold in range(3):
+        want = scaling.fit_quantiles(folded.filter(F.col("_fold") != fold), ["a b", "c"]).first()
+        assert search.subModels[fold][0].stages[0].by_column() == {"a b": want["a b"], "c": want["c"]}
+    whole = scaling.fit_quantiles(df, ["a b", "c"]).first()
+    assert search.bestModel.stages[0].by_column() == {"a b": whole["a b"], "c": whole["c"]} and table.count() == 1
+    path = fresh_path(spark, "scaled")
+    search.bestModel.write().save(path)
+    before, after = ({r["k"]: r["prediction"] for r in m.transform(df).collect()} for m in (search.bestModel, type(search.bestModel).load(path)))
+    assert before == after and len(set(before.values())) > 3
+
+
+def test_scores_in_a_pipeline_equal_those_by_hand(spark):
+    df = spark.createDataFrame([(float(i * i % 17), None if i % 5 == 0 else float(i)) for i in range(60)], "x double, z double")
+    fitted = scaling.NormalScores(["x", "z"], -9.0, 20).fit(df)
+    want = [(r["x"], -9.0 if r["z"] is None else r["z"]) for r in scaling.quantile_normalize(df, ["x", "z"], 20).collect()]
+    assert [tuple(r) for r in fitted.transform(df).collect()] == want
+    path = fresh_path(spark, "scores")
+    fitted.save(path)
+    again = scaling.NormalScoresModel.load(path)
+    assert again.by_column() == fitted.by_column() and [tuple(r) for r in again.transform(df).collect()] == want
