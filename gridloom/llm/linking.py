@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm.components import components
@@ -27,38 +28,39 @@ def shared_buckets(rows: DataFrame) -> DataFrame:
     return kept.join(noted(kept.groupBy("node").agg(F.sum("m").alias("score"))), "node").select("bucket", "node", "pos", "score")
 
 
-def linked(tables: list[DataFrame], facts: DataFrame, near: str, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def _met(m: DataFrame, p: DataFrame, condition: Column) -> DataFrame:
+    """Distinct pairs (``a``, ``b``) of members of a bucket for which ``condition`` holds."""
+    met = m.alias("m").join(p.alias("p"), (F.col("m.bucket") == F.col("p.bucket")) & condition)
+    return met.select(F.least("m.node", "p.node").alias("a"), F.greatest("m.node", "p.node").alias("b")).distinct()
+
+
+def linked(
+    tables: list[DataFrame], facts: DataFrame, near: str, alike: Callable[[DataFrame], DataFrame], first_facts: DataFrame | None = None, first_near: str | None = None
+) -> DataFrame:
     """``node`` and ``root`` (the least node of its component) of the nodes linked to another one.
 
-    ``tables`` come from ``shared_buckets``; the last one decides, those before it are there to connect what is very
-    much alike at little cost. ``facts`` has more columns of each node; ``near`` is an SQL condition on two members
-    ``p`` and ``m`` of a bucket that no true pair fails; ``alike`` takes pairs (``a``, ``b``) and keeps the true ones.
+    ``tables`` come from ``shared_buckets``; the last one decides, others are there to connect what is very much alike at
+    little cost. ``facts`` has more columns of each node; ``near`` is an SQL condition on two members ``p`` and ``m`` of
+    a bucket that no true pair fails; ``alike`` takes pairs (``a``, ``b``) and keeps the true ones.
 
-    First one member of each bucket, the one with the highest score, meets all others; then all members meet, but
-    only those of different components. The result is that of all pairs: no pair is left out but those that are
-    connected already, and none is verified twice.
+    First one member of each bucket of all tables, the one with the highest score, meets all others (by ``first_facts`` and
+    ``first_near``, if they are given); then all members meet, but only those of different components. The result is
+    that of all pairs: no pair is left out but those that are connected already, and none is verified twice.
     """
-    stars = tested = None
-    steps = [(table, True) for table in tables] + [(tables[-1], False)]
-    for table, one in steps:
-        if stars is None:
-            rows = table.withColumn("label", F.col("node"))
-        else:
-            labelled = table.join(stars, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-            mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-            rows = noted(labelled.join(mixed, "bucket", "left_semi"))
-        pivots, once = rows, F.col("p.node") < F.col("m.node")
-        if one:
-            first = rows.groupBy("bucket").agg(F.max(F.struct("score", F.xxhash64("node").alias("h"), "node")).alias("f")).select("bucket", "f.node")
-            pivots, once = rows.join(first, ["bucket", "node"], "left_semi"), F.lit(True)
-        m, p = rows.join(facts, "node").alias("m"), pivots.join(facts, "node").alias("p")
-        met = m.join(p, (F.col("m.bucket") == F.col("p.bucket")) & (F.col("m.label") != F.col("p.label")) & once & F.expr(near))
-        pairs = met.select(F.least("m.node", "p.node").alias("a"), F.greatest("m.node", "p.node").alias("b")).distinct()
-        pairs = noted(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
-        found = noted(alike(pairs).select("a", "b"))
-        if not found.isEmpty():
-            stars = noted(components(found if stars is None else found.union(stars.select("node", "root"))))
-    return tables[-1].select("node", F.col("node").alias("root")).limit(0) if stars is None else stars
+    first_facts, first_near = (facts, near) if first_facts is None else (first_facts, first_near)
+    rows = reduce(DataFrame.unionByName, tables)
+    best = rows.groupBy("bucket").agg(F.max(F.struct("score", F.xxhash64("node").alias("h"), "node")).alias("f")).select("bucket", "f.node")
+    pivots = rows.join(best, ["bucket", "node"], "left_semi").join(first_facts, "node")
+    tested = noted(_met(rows.join(first_facts, "node"), pivots, (F.col("m.node") != F.col("p.node")) & F.expr(first_near)))
+    found = noted(alike(tested).select("a", "b"))
+    stars = noted(components(found))
+
+    labelled = tables[-1].join(stars, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
+    left = noted(labelled.join(mixed, "bucket", "left_semi")).join(facts, "node")
+    pairs = _met(left, left, (F.col("p.node") < F.col("m.node")) & (F.col("m.label") != F.col("p.label")) & F.expr(near))
+    pairs = noted(pairs.join(tested, ["a", "b"], "left_anti"))
+    if pairs.isEmpty():
+        return stars
+    more = noted(alike(pairs).select("a", "b"))
+    return stars if more.isEmpty() else noted(components(more.union(stars.select("node", "root"))))

@@ -197,7 +197,8 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", similarity
         return sides.filter(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common))
 
     facts = sets.select(F.col("unit").alias("node"), F.size("shingles").alias("n"), "part")
-    roots = linked([deep, buckets], facts, near(similarity), alike).select(F.col("node").alias("unit"), "root")
+    sizes = f"least(m.n, p.n) >= {similarity} * greatest(m.n, p.n)"
+    roots = linked([deep, buckets], facts, near(similarity), alike, noted(facts.select("node", "n")), sizes).select(F.col("node").alias("unit"), "root")
     classed = known.join(roots, "unit", "left").select("unit", F.coalesce("root", "unit").alias("class_id"), "keeper", "last")
     keepers = classed.groupBy("class_id").agg(F.min("keeper").alias("keeper"), F.max("last").alias("last")).filter("keeper <> last")
     line_classes = classed.select("unit", "class_id").join(keepers, "class_id").select("unit", "class_id", "keeper")
