@@ -172,6 +172,31 @@ def m1(spark, d):
     return model.transform(models.numbers_only(test, FEATURES)).select("o_orderkey", "target", "prediction")
 
 
+def stump_rows(spark, d):
+    """Two features of few values, so that every value is a split candidate, and a weight per order."""
+    rows_ = price_rows(spark, d).withColumns({"tens": F.floor(F.col("quantity") / 10).cast("double"), "weight": (F.col("o_orderkey") % 3 + 1).cast("double")})
+    return rows_.select("o_orderkey", "o_orderpriority", "month", "tens", "weight", "target")
+
+
+@query(
+    "m1_weighted_stump",
+    f"""WITH q AS (SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey),
+    e AS (SELECT o_orderkey, o_orderpriority, month(o_orderdate)::DOUBLE AS month, floor(quantity / 10)::DOUBLE AS tens, o_orderkey % 3 + 1 AS w, ln(1 + o_totalprice) AS y FROM orders JOIN q ON o_orderkey = l_orderkey),
+    {split_ctes('one', 'e', 20, "md5('42' || o_orderkey)", 'o_orderkey', 'o_orderpriority')},
+    tr AS (SELECT * FROM one WHERE NOT is_test), f AS (SELECT 0 AS k, month AS v, y, w FROM tr UNION ALL SELECT 1, tens, y, w FROM tr),
+    h AS (SELECT k, v, sum(w) AS sw, sum(w * y) AS sy FROM f GROUP BY k, v),
+    r AS (SELECT k, v, sum(sw) OVER o AS wl, sum(sy) OVER o AS yl, sum(sw) OVER (PARTITION BY k) AS wt, sum(sy) OVER (PARTITION BY k) AS yt FROM h WINDOW o AS (PARTITION BY k ORDER BY v)),
+    b AS (SELECT k, v, yl / wl AS low, (yt - yl) / (wt - wl) AS high FROM r WHERE wt > wl ORDER BY yl * yl / wl + (yt - yl) * (yt - yl) / (wt - wl) DESC LIMIT 1)
+    SELECT o_orderkey, round(CASE WHEN (CASE k WHEN 0 THEN month ELSE tens END) <= v THEN low ELSE high END, 6) AS prediction FROM one, b WHERE is_test""",
+)
+def m1_stump(spark, d):
+    """One weighted tree of one split has a closed form: the split of least weighted variance, and the means beside it."""
+    split_rows = settle(split.stratified_split(stump_rows(spark, d), 20, 42, "o_orderkey", "o_orderpriority"))
+    train, test = split_rows.filter(~F.col("is_test")), split_rows.filter("is_test")
+    model = models.fit_boosted(train, ["month", "tens"], "target", "weight", models.BoostParams(trees=1, depth=1))
+    return model.transform(models.numbers_only(test, ["month", "tens"])).select("o_orderkey", t.r6(F.col("prediction")).alias("prediction"))
+
+
 @query("m2_random_search")
 def m2(spark, d):
     train, _ = parts(spark, d)
