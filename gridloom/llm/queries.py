@@ -108,14 +108,19 @@ x AS (SELECT id, conv_id, turn, s, line, regexp_extract(line, '^((?:>[ \t]?)+)',
 y AS (SELECT id, conv_id, turn, s, len(regexp_replace(marks, '[^>]', '', 'g')) AS level, substr(line, len(marks) + 1) AS body,
   trim(regexp_replace(lower(substr(line, len(marks) + 1)), '[\x20\x09-\x0D]+', ' ', 'g')) AS plain FROM x),
 t AS (SELECT id, coalesce(string_agg(body, chr(10) ORDER BY s) FILTER (level = 0), '') AS text, count(*) FILTER (level > 0) AS n_quoted, max(level) AS max_level FROM y GROUP BY id),
-p AS (SELECT a.conv_id, a.turn, a.plain, max(b.turn) AS source FROM (SELECT DISTINCT conv_id, turn, plain FROM y WHERE level = 1 AND plain <> '') a
-  JOIN y b ON a.conv_id = b.conv_id AND a.plain = b.plain AND b.level = 0 AND b.turn < a.turn GROUP BY ALL),
-r AS (SELECT conv_id, turn, arg_max(source, row(n, source)) AS reply_to FROM (SELECT conv_id, turn, source, count(*) AS n FROM p GROUP BY ALL) GROUP BY ALL),
+z AS (SELECT conv_id, turn, level, plain FROM y WHERE plain <> '' UNION SELECT conv_id, turn, level, string_agg(plain, ' ' ORDER BY s)
+  FROM (SELECT *, s - row_number() OVER (PARTITION BY id, level ORDER BY s) AS g FROM y WHERE plain <> '') GROUP BY id, conv_id, turn, level, g),
+a AS (SELECT conv_id, turn, plain, lv, min(choice) AS choice FROM (SELECT conv_id, turn, plain, level - 1 AS lv, 1 AS choice FROM z WHERE level > 0
+  UNION ALL SELECT conv_id, turn, plain, 0, 2 FROM z WHERE level > 1) GROUP BY ALL),
+p AS (SELECT a.conv_id, a.turn, a.plain, a.lv, a.choice, max(b.turn) AS source FROM a JOIN z b ON a.conv_id = b.conv_id AND a.plain = b.plain AND b.level = a.lv AND b.turn < a.turn GROUP BY ALL),
+r AS (SELECT conv_id, turn, arg_max(source, row(-choice, n, source)) AS reply_to FROM (SELECT conv_id, turn, choice, source, count(*) AS n FROM p GROUP BY ALL) GROUP BY ALL),
 up AS (SELECT conv_id, turn, reply_to AS thread, CAST(1 AS BIGINT) AS depth FROM r
   UNION ALL SELECT up.conv_id, up.turn, r.reply_to, depth + 1 FROM up JOIN r ON up.conv_id = r.conv_id AND up.thread = r.turn),
 top AS (SELECT conv_id, turn, arg_max(thread, depth) AS thread, max(depth) AS depth FROM up GROUP BY ALL)
-SELECT m.conv_id, m.turn, m.role, t.text, n_quoted, CAST(max_level AS BIGINT) AS max_level, reply_to, coalesce(top.thread, m.turn) AS thread, coalesce(top.depth, 0) AS depth
-FROM m JOIN t USING (id) LEFT JOIN r ON m.conv_id = r.conv_id AND m.turn = r.turn LEFT JOIN top ON m.conv_id = top.conv_id AND m.turn = top.turn"""
+SELECT *, CASE WHEN conv_id IS NOT NULL AND turn IS NOT NULL THEN row_number() OVER (PARTITION BY conv_id, turn IS NULL
+    ORDER BY thread, turn, role NULLS FIRST, text, n_quoted, max_level, reply_to NULLS FIRST) END AS position FROM (
+  SELECT m.conv_id, m.turn, m.role, t.text, n_quoted, CAST(max_level AS BIGINT) AS max_level, reply_to, coalesce(top.thread, m.turn) AS thread, coalesce(top.depth, 0) AS depth
+  FROM m JOIN t USING (id) LEFT JOIN r ON m.conv_id = r.conv_id AND m.turn = r.turn LEFT JOIN top ON m.conv_id = top.conv_id AND m.turn = top.turn)"""
 
 
 @query("op7_quotation_linking", QUOTES_SQL)

@@ -119,7 +119,42 @@ def test_nested_quotes(spark):
     assert [(got[t]["thread"], got[t]["depth"], got[t]["max_level"]) for t in range(5)] == [(0, 0, 0), (0, 1, 1), (2, 0, 0), (0, 2, 2), (0, 3, 1)]
     assert [got[t]["text"] for t in (1, 3, 4)] == ["An answer", "Thanks", "all"]
     order = quotes.in_reply_order(quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).collect()
-    assert [r["turn"] for r in order] == [0, 1, 3, 4, 2]
+    assert [r["turn"] for r in order] == [0, 1, 3, 4, 2] and [r["position"] for r in order] == [1, 2, 3, 4, 5]
+
+
+def test_deeper_levels_and_other_line_breaks(spark):
+    rows = [(1, 0, "a", "one two three\nfour five\n\nanother paragraph"), (1, 1, "b", "> one two\n> three four five\nan answer"),  # other line breaks
+            (1, 2, "c", "> > one two\n> > three four five\n> an answer\nagreed"), (1, 3, "d", ">> one two\n>> three four five\n"),  # the parent's quote, one level deeper
+            (1, 4, "e", ">>> another\n>>> paragraph\nlate"),  # nobody quoted it: the original
+            (1, 5, "f", "> one two three\nfour five"), (1, 6, "g", "> never said")]
+    got = {r["turn"]: r for r in quotes.link_quotes(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert [got[t]["reply_to"] for t in range(7)] == [None, 0, 1, 1, 0, 0, None]
+    assert [got[t]["text"] for t in (1, 2, 3, 4)] == ["an answer", "agreed", "", "late"] and got[4]["max_level"] == 3
+    assert [got[t]["position"] for t in range(7)] == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_nested_and_wrapped_quotes_equal_sql(spark, tmp_path):
+    draw = random.Random(15)
+    words = ["alpha", "beta", "gamma", "delta"]
+    rows = []
+    for conv in range(15):
+        earlier = []
+        for turn in range(draw.choice([2, 6, 20])):
+            body = [" ".join(draw.choice(words) for _ in range(draw.randint(0, 5))) for _ in range(draw.randint(1, 4))]
+            if earlier and draw.random() < 0.8:
+                quoted = draw.choice(earlier).split("\n")
+                if draw.random() < 0.4:
+                    quoted = [w for x in quoted for w in ([x[: len(x) // 2], x[len(x) // 2 :].strip()] if not x.startswith(">") else [x])]
+                body = [draw.choice(["> ", ">", "> > "]) + x for x in quoted] + body
+            earlier.append("\n".join(body))
+            rows.append((conv, turn, draw.choice(["user", "assistant", None]), earlier[-1]))
+    rows += [(3, None, "user", "> alpha"), (None, None, None, None)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    frame.write.parquet(f"{tmp_path}/c")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/c/*.parquet'")
+    ok, note = compare(quotes.link_quotes(frame), con, queries.QUOTES_SQL)
+    assert ok, note
 
 
 def test_no_python_in_native_plans(spark):
