@@ -24,6 +24,9 @@ COUNTERS, BLOCK = 1 << 20, 1 << 14
 # Ranges of hashes whose counts bound what two sets can have in common.
 RANGES = 16
 
+# Least bits of a parity sketch (one array element).
+WORD = 64
+
 SLICE_BYTES = 1 << 20
 
 
@@ -90,19 +93,28 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (n * percent + 99) // 100 + 1
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each of at least as many classes of hashes (a power of two) as there are shingles: whether the set has an
+    odd number of the class. So many bits as differ in two sketches, so many shingles at least are in one set only."""
+    size = max(WORD, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else WORD
+    classes = (shingles >> np.uint64(8)) & np.uint64(size - 1)
+    odd = np.bincount(classes.astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def prefixes(docs: DataFrame, keep: list[str], size: int, percent: int) -> DataFrame:
     """The columns ``keep`` of ``docs``, ``node`` (a hash of the shingle set of ``_text``, null for none), ``n`` (its size), ``prefix``
-    (its rarest shingles, then by hash) and ``ranges`` (how many of its shingles are in each range of hashes)."""
+    (its rarest shingles, then by hash), ``ranges`` (how many of its shingles are in each range of hashes) and ``bits`` (``parities``)."""
     counts = common_counts(docs, size)
     # What a counter holds of rare shingles only says nothing about one of them.
     rank = np.where(counts > 2 * counts.mean() + 8, counts, 0)
     read = docs.select(*keep, "_text")
-    schema = T.StructType([*read.schema.fields[:-1], *T.StructType.fromDDL("node long, n long, prefix array<bigint>, ranges array<int>").fields])
+    schema = T.StructType([*read.schema.fields[:-1], *T.StructType.fromDDL("node long, n long, prefix array<bigint>, ranges array<int>, bits array<bigint>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "_text", SLICE_BYTES):
-                nodes, sizes, firsts, ranges = [], [], [], []
+                nodes, sizes, firsts, ranges, bits = [], [], [], [], []
                 for own in shingle_sets(part.column("_text"), size):
                     n = len(own)
                     order = np.argsort(rank[counter(own)], kind="stable")
@@ -110,7 +122,9 @@ def prefixes(docs: DataFrame, keep: list[str], size: int, percent: int) -> DataF
                     sizes.append(n)
                     firsts.append(own[order[: prefix_length(n, percent)]].view(np.int64) if n else np.zeros(0, np.int64))
                     ranges.append(np.bincount((own % np.uint64(RANGES)).astype(np.int64), minlength=RANGES).astype(np.int32))
-                columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(firsts, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int32()))]
+                    bits.append(parities(own))
+                lists = [pa.array(firsts, pa.list_(pa.int64())), pa.array(ranges, pa.list_(pa.int32())), pa.array(bits, pa.list_(pa.int64()))]
+                columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), *lists]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *columns], names=schema.names)
 
     return read.mapInArrow(tidy(run), schema)
@@ -138,6 +152,16 @@ def filters(percent: int) -> str:
       AND {100 + percent} * ({together} - {apart}) >= {2 * percent} * {together}"""
 
 
+def parity_filter(percent: int) -> str:
+    """What the sketches of two sets ``a`` and ``b`` that passed the length filter must pass; a longer one (by one doubling at
+    most) is folded to the other's classes."""
+    short, long = "if(size(a.bits) <= size(b.bits), a.bits, b.bits)", "if(size(a.bits) <= size(b.bits), b.bits, a.bits)"
+    half = f"size({short})"
+    folded = f"if(size(a.bits) = size(b.bits), b.bits, zip_with(slice({long}, 1, {half}), slice({long}, {half} + 1, {half}), (x, y) -> x ^ y))"
+    apart = f"aggregate(zip_with({short}, {folded}, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    return f"{100 + percent} * (a.n + b.n - {apart}) >= {2 * percent} * (a.n + b.n)"
+
+
 def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Each row's key (``_key``), ``n_shingles`` (distinct shingles of ``size`` words, A-Z in lower case) and ``component_id``, the
     smallest key reachable over links: two rows link if 100 * common >= percent * all of their shingles.
@@ -160,11 +184,14 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     nodes = printed.filter("node IS NOT NULL").groupBy("node").agg(F.min(F.struct(F.col("_key").isNull().alias("last"), "_key", "_row")).alias("low"), F.first("n").alias("n"))
     nodes = noted(nodes.select("node", "n", "low._key", "low._row"))
     buckets = shared_buckets(printed.filter("node IS NOT NULL").select("node", F.posexplode("prefix").alias("pos", "bucket")))
-    facts = printed.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "n", "ranges")
+    facts = printed.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "n", "ranges", "bits")
     facts = noted(facts.dropDuplicates(["node"]))
 
     def alike(pairs: DataFrame) -> DataFrame:
-        """The texts of the pairs are read again, and no others: what passes the filters is few."""
+        """Pairs are compared by their sketches, an eighth of a byte a shingle; the texts of those that pass, which are few, are read
+        again, and no others."""
+        sides = pairs.alias("pairs").join(facts.alias("a"), F.col("pairs.a") == F.col("a.node")).join(facts.alias("b"), F.col("pairs.b") == F.col("b.node"))
+        pairs = noted(sides.filter(parity_filter(percent)).select("pairs.a", "pairs.b"))
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = noted(ends.join(nodes, "node").select("node", "_key", "_row"))
         same = F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row"))
@@ -174,7 +201,7 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
         common = F.size(F.array_intersect("x", "y"))
         return sides.filter(100 * common >= percent * (F.size("x") + F.size("y") - common))
 
-    roots = linked([buckets], facts, filters(percent), alike)
+    roots = linked([buckets], facts.select("node", "n", "ranges"), filters(percent), alike)
     classed = noted(nodes.join(roots, "node", "left").select("node", "_key", F.coalesce("root", "node").alias("root")))
     lows = classed.groupBy("root").agg(F.min("_key").alias("component_id"))
     labels = classed.join(lows, "root").select("node", "component_id")

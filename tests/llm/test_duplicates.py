@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -162,6 +163,26 @@ def test_join_filters_lose_no_pair():
             assert 180 * (both - apart) >= 160 * both
 
 
+def test_sketches_lose_no_pair(spark):
+    """Two sets at the threshold pass the parity filter whatever their sizes, and unlike ones mostly do not."""
+    draw = np.random.default_rng(4)
+    rows = []
+    for n in (1, 3, 60, 64, 65, 70, 128, 500, 1030, 5000):
+        for _ in range(40):
+            own = draw.integers(0, 1 << 63, n).astype(np.uint64)
+            other = np.union1d(own[int(n * draw.uniform(0, 0.25)) :], draw.integers(0, 1 << 63, int(n * draw.uniform(0, 0.25))).astype(np.uint64))
+            both = len(np.intersect1d(own, other))
+            true = 100 * both >= 80 * (len(own) + len(other) - both)
+            rows.append(("true" if true else "close", len(own), ngram_join.parities(own).tolist(), len(other), ngram_join.parities(other).tolist()))
+            far = draw.integers(0, 1 << 63, n).astype(np.uint64)
+            rows.append(("far", len(own), ngram_join.parities(own).tolist(), len(far), ngram_join.parities(far).tolist()))
+    pairs = spark.createDataFrame(rows, "kind string, n long, bits array<bigint>, m long, other array<bigint>")
+    sides = pairs.selectExpr("kind", "struct(n, bits) AS a", "struct(m AS n, other AS bits) AS b").filter("100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)")
+    passed = sides.filter(ngram_join.parity_filter(80))
+    assert passed.filter("kind = 'true'").count() == sum(r[0] == "true" for r in rows) > 50
+    assert passed.filter("kind = 'far' AND a.n > 100").count() == 0
+
+
 def test_one_of_each_group_of_near_duplicates_stays(spark):
     rows = corpus() + ODD
     docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, source string, n_chars int")
