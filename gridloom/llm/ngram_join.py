@@ -27,6 +27,10 @@ RANGES = 16
 # Least bits of a parity sketch (one array element).
 WORD = 64
 
+# So many 64-bit hashes of wanted texts at most (8 MB) are sent to all executors, so that other texts are not shuffled; with
+# more of them all texts are.
+SENT_ROWS = 1 << 20
+
 SLICE_BYTES = 1 << 20
 
 
@@ -195,7 +199,10 @@ def similar(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = noted(ends.join(nodes, "node").select("node", "_key", "_row"))
         same = F.col("d._key").eqNullSafe(F.col("w._key")) & (F.col("d._row") == F.col("w._row"))
-        owners = read.alias("d").join(wanted.alias("w"), same).select("node", "d._text").dropDuplicates(["node"])
+        some = read
+        if wanted.count() <= SENT_ROWS:
+            some = read.join(F.broadcast(wanted.select("_row").distinct()), "_row", "left_semi").select(read.columns)
+        owners = some.alias("d").join(wanted.alias("w"), same).select("node", "d._text").dropDuplicates(["node"])
         sets = noted(whole_sets(owners, size))
         sides = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))

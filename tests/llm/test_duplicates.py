@@ -134,13 +134,15 @@ def joined(docs):
 ODD = [(None, None, None, None, None), (900, "", "", "", 0), (904, " \n\t", "", "", 0), (901, "tiny", None, None, None), (902, "Tiny", None, None, None), (None, "tiny", "a", "b", 1)]
 
 
-def test_join_against_brute_force(spark):
+def test_join_against_brute_force(spark, monkeypatch):
     rows = corpus() + ODD + [(3, "another text under a key that is there already", "", "", 0), (903, "one two three four", "", "", 1), (905, "one two three four five", "", "", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, node string, prefix string, n int")
     got = ngram_join.similar(docs)
     assert got.columns == ["_key", "n_shingles", "component_id"]
     assert joined(docs) == brute_join(rows)
     assert sum(k != c for k, _, c in joined(docs)) > 30
+    monkeypatch.setattr(ngram_join, "SENT_ROWS", 0)
+    assert joined(docs) == brute_join(rows)
     assert ngram_join.similar(docs.limit(0)).count() == 0
 
 
