@@ -12,10 +12,18 @@ from gridloom.functions.grid import Grid, cell_of, in_box
 from gridloom.functions.physics import haversine_m
 from gridloom.functions.temporal import hour_start
 from gridloom.operators.select import arg_best
-from gridloom.session import clean, lookup_join, noted
+from gridloom.session import clean, lookup_join, noted, settle
 
 CELL = ["row", "col"]
 
+# Side of the blocks in which quads and cells of a grid are listed, and the quads that a task lists at most, about.
+BLOCK, TASK_QUADS = 32, 1 << 18
+
+
+def _tasks(quads: int) -> int:
+    """As many tasks as a number of quads asks for, so that the memory of one does not follow the table."""
+    return max(1, -(-quads // TASK_QUADS))
+
 
 def _columns_of(name: str, kinds: Sequence[object], value: Column) -> list[Column]:
     return [F.max(F.when(F.col(name) == F.lit(kind), value)).alias(str(kind)) for kind in kinds]
@@ -225,23 +233,45 @@ def regrid_bilinear(
 ) -> DataFrame:
     """Bilinear resampling between regular grids; weights are renormalised over the valid neighbours.
 
-    Each valid source pixel goes to the four quads it is a corner of, one aggregation makes a row of each quad with its
-    corners as columns, and only then are the target cells in it listed: what is shuffled follows the source,
-    however fine the target is. With ``complete`` every target cell of every raster is present, NULL where nothing
-    reaches it.
+    A pixel goes to the blocks (BLOCK by BLOCK quads) that its four quads are in, mostly to one, and a raster's empty quads
+    go as one row per block. Quads and target cells are listed after that shuffle only, in as many tasks as the rows ask
+    for, so neither what is shuffled nor the memory of a task follows the cells. With ``complete`` every target cell of
+    every raster is present, NULL where nothing reaches it.
     """
     value = clean("value")
     valid = value.isNotNull() if nodata is None else value.isNotNull() & (value != nodata)
-    corner = [F.struct((F.col("row") - i).cast("int").alias("i"), (F.col("col") - j).cast("int").alias("j"), F.lit(2 * i + j).alias("k")) for i in (0, 1) for j in (0, 1)]
-    sent = pixels.filter(valid).select(*keys, F.col("value").cast("double").alias("_v"), F.explode(F.array(*corner)).alias("_c"))
-    sent = sent.select(*keys, "_c.i", "_c.j", "_c.k", "_v")
+
+    def blocks(at: Column) -> Column:
+        return F.explode(F.array_distinct(F.array(F.floor((at - 1) / BLOCK), F.floor(at / BLOCK))))
+
+    sent = pixels.filter(valid).select(*keys, F.col("row").cast("int").alias("_r"), F.col("col").cast("int").alias("_c"), F.col("value").cast("double").alias("_v"))
+    sent = sent.withColumn("_bi", blocks(F.col("_r"))).withColumn("_bj", blocks(F.col("_c")))
+    top, bottom = _first_and_last(dst.rows, src.y0, src.dy, dst.y0, dst.dy, -1.0)
+    left, right = _first_and_last(dst.cols, src.x0, src.dx, dst.x0, dst.dx, 1.0)
+
+    def listed(block: Column, first: int, last: int) -> Column:
+        return F.sequence(F.greatest(block * BLOCK, F.lit(first)).cast("int"), F.least(block * BLOCK + (BLOCK - 1), F.lit(last)).cast("int"))
+
     if complete:
-        rasters = pixels.select(*keys).distinct() if keys else pixels.sparkSession.range(1).select()
-        top, bottom = _first_and_last(dst.rows, src.y0, src.dy, dst.y0, dst.dy, -1.0)
-        left, right = _first_and_last(dst.cols, src.x0, src.dx, dst.x0, dst.dx, 1.0)
-        blank = rasters.withColumn("i", F.explode(F.sequence(F.lit(top), F.lit(bottom)))).withColumn("j", F.explode(F.sequence(F.lit(left), F.lit(right))))
-        sent = sent.unionByName(blank.withColumns({"k": F.lit(None).cast("int"), "_v": F.lit(None).cast("double")}))
-    quads = sent.groupBy(*keys, "i", "j").agg(*[F.max(F.when(F.col("k") == k, F.col("_v"))).alias(f"_v{k}") for k in range(4)])
+        rasters = settle(pixels.select(*keys).distinct() if keys else pixels.sparkSession.range(1).select())
+        tasks = _tasks(rasters.count() * (bottom - top + 1) * (right - left + 1))
+        blank = rasters.withColumn("_bi", F.explode(F.sequence(F.lit(top // BLOCK), F.lit(bottom // BLOCK))))
+        blank = blank.withColumn("_bj", F.explode(F.sequence(F.lit(left // BLOCK), F.lit(right // BLOCK))))
+        sent = sent.unionByName(blank, allowMissingColumns=True)
+    else:
+        tasks = _tasks(pixels.filter(valid).count() * 4)
+    place = [*keys, "_bi", "_bj"]
+    kind = "array<struct<i: int, j: int, k: int>>"
+    corners = F.array(*[F.struct((F.col("_r") - i).alias("i"), (F.col("_c") - j).alias("j"), F.lit(2 * i + j).alias("k")) for i in (0, 1) for j in (0, 1)]).cast(kind)
+    empty = F.flatten(
+        F.transform(
+            listed(F.col("_bi"), top, bottom),
+            lambda i: F.transform(listed(F.col("_bj"), left, right), lambda j: F.struct(i.alias("i"), j.alias("j"), F.lit(None).cast("int").alias("k"))),
+        )
+    ).cast(kind)
+    held = sent.repartition(tasks, *place).select(*place, "_v", F.explode(F.when(F.col("_r").isNull(), empty).otherwise(corners)).alias("_q")).select(*place, "_v", "_q.*")
+    held = held.filter((F.floor(F.col("i") / BLOCK) == F.col("_bi")) & (F.floor(F.col("j") / BLOCK) == F.col("_bj")))
+    quads = held.groupBy(*place, "i", "j").agg(*[F.max(F.when(F.col("k") == k, F.col("_v"))).alias(f"_v{k}") for k in range(4)])
 
     # y grows downwards in row order, hence the mirrored axis
     cells = quads.withColumn("row", F.explode(_inside(F.col("i"), -src.y0, src.dy, -dst.y0, dst.dy, dst.rows)))
@@ -263,39 +293,60 @@ def interpolate_swath(
     a missing value; a cell outside of the swath has no row. A centre on a shared edge belongs to the first
     triangle in the order of scan, ground (below 2 ** 20) and triangle.
 
-    Each point goes to the four quads it is a corner of, one aggregation makes a row of each quad, and only then are
-    the cells in the quad's box listed: what is shuffled follows the points, not the cells.
+    Each point goes to the four quads it is a corner of and one aggregation makes a row of each quad. Quads go to the
+    blocks (BLOCK by BLOCK cells) that their box touches, and only there are the cells listed, in as many tasks as
+    the points ask for: what is shuffled follows the points, not the cells.
     """
     corner = [F.struct((F.col(scan) - i).alias("s"), (F.col(ground) - j).alias("g"), F.lit(2 * i + j).alias("k")) for i in (0, 1) for j in (0, 1)]
     sent = points.select(*keys, clean(F.col(lon)).alias("x"), clean(F.col(lat)).alias("y"), clean(F.col(value)).alias("v"), F.explode(F.array(*corner)).alias("c"))
     parts = [F.max(F.when(F.col("c.k") == k, F.col(n))).alias(f"{n}{k}") for k in range(4) for n in ("x", "y", "v")]
     quads = sent.groupBy(*keys, "c.s", "c.g").agg(*parts).dropna(subset=[f"{n}{k}" for k in range(4) for n in ("x", "y")])
 
-    def reach(name: str, origin: float, step: float, count: int, sign: float) -> Column:
+    def reach(name: str, origin: float, step: float, count: int, sign: float) -> tuple[Column, Column]:
         ends = [(F.col(f"{name}{k}") - F.lit(origin)) * F.lit(sign) / F.lit(step) - F.lit(0.5) for k in range(4)]
-        first = F.greatest(F.ceil(F.least(*ends)), F.lit(0)).cast("int")
-        last = F.least(F.floor(F.greatest(*ends)), F.lit(count - 1)).cast("int")
-        return F.when(first <= last, F.sequence(first, last))
+        return F.greatest(F.ceil(F.least(*ends)), F.lit(0)).cast("int"), F.least(F.floor(F.greatest(*ends)), F.lit(count - 1)).cast("int")
 
-    cells = quads.withColumn("row", F.explode(reach("y", dst.y0, dst.dy, dst.rows, -1.0))).withColumn("col", F.explode(reach("x", dst.x0, dst.dx, dst.cols, 1.0)))
-    x, y = F.lit(dst.x0) + (F.col("col") + F.lit(0.5)) * F.lit(dst.dx), F.lit(dst.y0) - (F.col("row") + F.lit(0.5)) * F.lit(dst.dy)
+    (r0, r1), (c0, c1) = reach("y", dst.y0, dst.dy, dst.rows, -1.0), reach("x", dst.x0, dst.dx, dst.cols, 1.0)
+    boxed = quads.withColumns({"_r0": r0, "_r1": r1, "_c0": c0, "_c1": c1}).filter("_r0 <= _r1 AND _c0 <= _c1")
+    for at, first, last in (("_bi", "_r0", "_r1"), ("_bj", "_c0", "_c1")):
+        boxed = boxed.withColumn(at, F.explode(F.sequence(F.floor(F.col(first) / BLOCK).cast("int"), F.floor(F.col(last) / BLOCK).cast("int"))))
+    boxed = boxed.repartition(_tasks(points.count() * 4), *keys, "_bi", "_bj")
 
-    def inside(a: int, b: int, c: int, number: int) -> Column:
+    def inside(block: str, first: str, last: str) -> Column:
+        start = F.col(block) * BLOCK
+        return F.explode(F.sequence(F.greatest(F.col(first), start), F.least(F.col(last), start + (BLOCK - 1))))
+
+    # what does not depend on the cell is made once for a quad: with all of it in the loop, the code is too long to be compiled by the JVM
+    triangles = {0: (0, 1, 2), 1: (3, 2, 1)}
+    for t, (a, b, c) in triangles.items():
         xa, ya, xb, yb, xc, yc = (F.col(f"{n}{k}") for k in (a, b, c) for n in ("x", "y"))
-        area = (yb - yc) * (xa - xc) + (xc - xb) * (ya - yc)
-        wa = F.try_divide((yb - yc) * (x - xc) + (xc - xb) * (y - yc), area)
-        wb = F.try_divide((yc - ya) * (x - xc) + (xa - xc) * (y - yc), area)
-        weights = [wa, wb, F.lit(1.0) - wa - wb]
-        values = [F.col(f"v{k}") for k in (a, b, c)]
-        known = [F.when(v.isNotNull(), w).otherwise(F.lit(0.0)) for v, w in zip(values, weights)]
-        sums = [F.when(v.isNotNull(), w * v).otherwise(F.lit(0.0)) for v, w in zip(values, weights)]
-        good = known[0] + known[1] + known[2]
-        found = F.when(good > F.lit(1e-9), (sums[0] + sums[1] + sums[2]) / good)
-        return F.when(F.least(*weights) >= F.lit(-1e-9), F.struct(F.lit(number).alias("t"), found.alias("value")))
-
-    hit = cells.withColumn("h", F.coalesce(inside(0, 1, 2, 0), inside(3, 2, 1, 1))).filter(F.col("h").isNotNull())
-    order = (F.col("s") * 2**20 + F.col("g")) * 2 + F.col("h.t")
-    return hit.select(*keys, "row", "col", order.alias("o"), F.col("h.value").alias("value")).groupBy(*keys, "row", "col").agg(F.min_by("value", "o").alias("value"))
+        boxed = boxed.withColumns({f"_p{t}": yb - yc, f"_q{t}": xc - xb, f"_s{t}": yc - ya, f"_u{t}": xa - xc, f"_area{t}": (yb - yc) * (xa - xc) + (xc - xb) * (ya - yc)})
+    own = [f"{n}{t}" for t, (_, _, c) in triangles.items() for n in ("_p", "_q", "_s", "_u", "_area")]
+    boxed = boxed.select(*keys, "s", "g", "_bi", "_bj", "_r0", "_r1", "_c0", "_c1", *own, *[f"{n}{c}" for _, _, c in triangles.values() for n in ("x", "y")], *[f"v{k}" for k in range(4)])
+    cells = boxed.withColumn("row", inside("_bi", "_r0", "_r1")).withColumn("_y", F.lit(dst.y0) - (F.col("row") + F.lit(0.5)) * F.lit(dst.dy))
+    cells = cells.withColumn("col", inside("_bj", "_c0", "_c1")).withColumn("_x", F.lit(dst.x0) + (F.col("col") + F.lit(0.5)) * F.lit(dst.dx))
+    for t, (_, _, c) in triangles.items():
+        dx, dy = F.col("_x") - F.col(f"x{c}"), F.col("_y") - F.col(f"y{c}")
+        shares = {f"_a{t}": F.try_divide(F.col(f"_p{t}") * dx + F.col(f"_q{t}") * dy, F.col(f"_area{t}")), f"_b{t}": F.try_divide(F.col(f"_s{t}") * dx + F.col(f"_u{t}") * dy, F.col(f"_area{t}"))}
+        cells = cells.withColumns(shares)
+
+    def holds(t: int) -> Column:
+        wa, wb = F.col(f"_a{t}"), F.col(f"_b{t}")
+        return F.least(wa, wb, F.lit(1.0) - wa - wb) >= F.lit(-1e-9)
+
+    cells = cells.withColumn("_t", F.when(holds(0), 0).when(holds(1), 1)).filter(F.col("_t").isNotNull())
+    first = F.col("_t") == 0
+    chosen = {"_wa": (F.col("_a0"), F.col("_a1")), "_wb": (F.col("_b0"), F.col("_b1"))}
+    chosen |= {f"_v{n}": tuple(F.col(f"v{triangles[t][i]}") for t in (0, 1)) for i, n in enumerate("abc")}
+    hit = cells.select(
+        *keys, "_bi", "_bj", "row", "col", ((F.col("s") * 2**20 + F.col("g")) * 2 + F.col("_t")).alias("o"), *[F.when(first, x).otherwise(y).alias(n) for n, (x, y) in chosen.items()]
+    )
+    weights, values = [F.col("_wa"), F.col("_wb"), F.lit(1.0) - F.col("_wa") - F.col("_wb")], [F.col(f"_v{n}") for n in "abc"]
+    known = [F.when(v.isNotNull(), w).otherwise(F.lit(0.0)) for v, w in zip(values, weights)]
+    sums = [F.when(v.isNotNull(), w * v).otherwise(F.lit(0.0)) for v, w in zip(values, weights)]
+    hit = hit.withColumns({"_good": known[0] + known[1] + known[2], "_sum": sums[0] + sums[1] + sums[2]})
+    found = F.when(F.col("_good") > F.lit(1e-9), F.try_divide(F.col("_sum"), F.col("_good")))
+    return hit.groupBy(*keys, "_bi", "_bj", "row", "col").agg(F.min_by(found, "o").alias("value")).drop("_bi", "_bj")
 
 
 def grid_swath(points: DataFrame, dst: Grid, keys: Sequence[str] = (), lon: str = "lon", lat: str = "lat") -> DataFrame:

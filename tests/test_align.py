@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pytest
@@ -152,3 +153,25 @@ def test_swath_fills_every_cell_inside(spark):
         if abs(x - x2) > 1.6 or abs(y - y2) > 1.6:
             assert v == pytest.approx(3.0 * x - y)
     assert align.interpolate_swath(points.limit(0), grid).count() == 0
+
+
+def test_regrid_lists_quads_after_the_shuffle_in_as_many_tasks_as_they_ask_for(spark, monkeypatch):
+    monkeypatch.setattr(align, "TASK_QUADS", 500)
+    pixels = spark.range(40).selectExpr("id AS tile", "explode(sequence(0, 3)) AS row").selectExpr("*", "explode(sequence(0, 3)) AS col", "cast(row AS double) AS value")
+    done = align.regrid_bilinear(pixels, Grid(0.0, 4.0, 1.0, 1.0, 4, 4), Grid(0.0, 4.0, 0.5, 0.5, 8, 8), ["tile"])
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan.partition("REPARTITION_BY_NUM")[2] and "REPARTITION_BY_NUM" in plan, plan
+    assert done.rdd.getNumPartitions() > 3
+    assert done.count() == 40 * 64
+
+
+def test_swath_code_is_short_enough_to_be_compiled(spark, capsys):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        points = spark.range(400).selectExpr("id div 20 AS scan", "id % 20 AS ground", "id % 20 * 0.3D AS lon", "10 - id div 20 * 0.3D AS lat", "cast(id AS double) AS value")
+        done = align.interpolate_swath(points, Grid(0.0, 10.0, 0.1, 0.1, 100, 100))
+        done.explain("codegen")
+        sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) < 8000, sizes  # the JVM compiles no longer methods
