@@ -219,3 +219,19 @@ def test_scores_in_a_pipeline_equal_those_by_hand(spark):
     fitted.save(path)
     again = scaling.NormalScoresModel.load(path)
     assert again.by_column() == fitted.by_column() and [tuple(r) for r in again.transform(df).collect()] == want
+
+
+def test_scores_are_not_computed_inside_lambdas(spark):
+    rows = spark.range(50).selectExpr("id", "cast(id AS double) AS a", "cast(id % 7 AS double) AS b")
+    plan = scaling.normal_scores(rows, {"a": [0.0, 10.0, 49.0], "b": [0.0, 3.0, 6.0]})._jdf.queryExecution().optimizedPlan().toString()
+    parts = plan.split("lambdafunction(")[1:]
+    assert parts and all("SQRT" not in p.partition(", lambda ")[0].upper() for p in parts), plan  # lambdas are interpreted
+
+
+def test_orders_are_put_together_once_before_the_split(spark, sf_dir, monkeypatch):
+    from workloads import fitted
+
+    seen, split_ = [], fitted.split.stratified_split
+    monkeypatch.setattr(fitted.split, "stratified_split", lambda df, *a: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or split_(df, *a))
+    fitted.parts(spark, sf_dir)
+    assert "Join" not in seen[0] and "Relation" not in seen[0], seen[0]
