@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import models, scaling, split, weights
-from gridloom.plans import precipitation
+from gridloom.plans import carbon_monoxide, precipitation
 from gridloom.session import fresh_path
 from gridloom.sources import models as store
+from gridloom.sources.tables import CO_FEATURES, CO_TARGET
 
 
 def column(df, name):
@@ -107,6 +108,32 @@ def test_boosting_cascade_and_store(spark):
     assert out.count() == 400 and out.agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0] < 6.0
 
 
+def test_a_sweep_makes_folds_and_features_once_a_holdout(spark, monkeypatch):
+    """Fits of all weights read the same kept rows, and give what separate fits give; nothing stays kept."""
+    draw = np.random.default_rng(9)
+    rows = [(i, *map(float, draw.normal(0, 1, len(CO_FEATURES))), float(i % 23)) for i in range(240)]
+    df = spark.createDataFrame(rows, ["k", *CO_FEATURES, CO_TARGET]).coalesce(2).checkpoint()
+    small = {"max_layers": 1, "forests": 1, "trees": 2, "depth": 3, "k": 2, "predictor": models.BoostParams(trees=2, depth=3, rate=0.3)}
+    plain, made, kfold = carbon_monoxide.cascade_fit("k", **small), [], models.kfold
+    monkeypatch.setattr(models, "kfold", lambda *a: made.append(a) or kfold(*a))
+    separate = carbon_monoxide.tune(df, "k", [0.0, 1.0], lambda train, weight: plain(train, weight), k=1)
+    assert len(made) == 2
+    shared = carbon_monoxide.tune(df, "k", [0.0, 1.0], plain, k=1)
+    assert len(made) == 3  # one of the holdout, not of each weight
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    assert {r["Alpha"]: round(r["Mean SERA"], 6) for r in shared.collect()} == {r["Alpha"]: round(r["Mean SERA"], 6) for r in separate.collect()}
+
+
+def test_a_later_layer_reads_the_features_and_the_layer_before(spark):
+    df, features = linear(spark), ["a b", "c"]
+    cascade = models.fit_forest_cascade(df, features, "y", "k", max_layers=3, trees=3, depth=2, k=2, predictor=models.BoostParams(trees=2, depth=3, rate=0.3))
+    for depth, layer in enumerate(cascade.layers):
+        before = [f"_layer{depth - 1}_{i}" for i in range(2)] if depth else []
+        assert all(m.stages[0].getInputCols() == [*features, *before] and m.stages[1].numFeatures == 2 + len(before) for m in layer)
+    last = [f"_layer{len(cascade.layers) - 1}_{i}" for i in range(2)]
+    assert cascade.predictor.stages[0].getInputCols() == [*features, *last] and cascade.predictor.stages[1].numFeatures == 4
+
+
 def test_outside_model(spark):
     got = models.score_outside(linear(spark, 10), ["a b", "c"], lambda: (lambda f: f["a b"] * 10 + f["c"])).collect()
     assert all(r["score"] == r["a b"] * 10 + r["c"] for r in got)
