@@ -2,36 +2,89 @@
 
 from __future__ import annotations
 
+import codecs
 import os
+import re
+import unicodedata
 from itertools import chain, repeat
 
 import numpy as np
 
-from gridloom.llm.text import IS_WHITE, Texts, numbered
+from gridloom.llm.text import IS_WHITE, WHITE, Texts, numbered
 
 # Words whose ids a Python worker remembers, and bytes and ids it keeps for them, before it forgets the rarer half.
 MAX_WORDS, MAX_BYTES, MAX_IDS = 150_000, 4_000_000, 1_500_000
 
-# A word of ASCII letters is one pre-token of the tokenizers used here. What it is before the merges, for each kind of
-# tokenizer: in lower case without white space, or with its one space as the byte-level sign for it.
-SPACE = "\u0120"
-MIXED = ["word,", " x-y", "(Two) and", "a1b 22c", "end.\nNext", "-- 'tis", "3.5%"]
-PROBES = ["a", "Of", " the", " Quickly", "zzzqqxj", " iii", "\nBreak", "  two", " Straightforwardness"]
+# A word of plain letters is one pre-token of the tokenizers used here. What it is before the merges, for each kind of
+# tokenizer: in lower case without white space, or with its one space; then the byte-level sign of each of its bytes.
+MIXED = ["word,", " x-y", "(Two) and", "a1b 22c", "end.\nNext", "-- 'tis", "3.5%", "\u00c9t\u00e9, l'\u00c9t\u00e9", "\u00f1(\u00e41\u00df)", "\u0434\u0430. \u041d\u0435\u0442!"]
+PROBES = ["a", "Of", " the", " Quickly", "zzzqqxj", " iii", "\nBreak", "  two", " Straightforwardness", "\u00e9", " \u00c9t\u00e9", "\nStra\u00dfe", " \u00d1and\u00fa", "\u0160\u0142\u017c", " \u041d\u0435\u0442"]
 
 # Distinct words handed to the tokenizer at once.
 GROUP = 4_000
 
 
-# ASCII letters, digits and signs; an apostrophe is none of them, as it may begin a contraction.
+# Letters, digits and signs of ASCII; an apostrophe is none of them, as it may begin a contraction.
 KINDS = np.zeros(256, dtype=np.uint8)
 KINDS[[*range(65, 91), *range(97, 123)]] = 1
 KINDS[48:58] = 2
 KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and b != 39]] = 3
 
 
+def is_plain(letter: str) -> bool:
+    """Whether it is a letter since Unicode 3.2 that composition leaves as it is, and its lower case too, with as many bytes. Not
+    the sigma, whose lower case follows its place in Python alone."""
+    known = unicodedata.ucd_3_2_0
+    forms = {letter, letter.lower()}
+    plain = all(len(c) == 1 and known.category(c)[0] == "L" and unicodedata.is_normalized("NFC", c) for c in forms)
+    return plain and len({len(c.encode()) for c in forms}) == 1 and letter != "\u03a3"
+
+
+# Letters of one or two bytes.
+LETTERS = "".join(filter(is_plain, map(chr, range(0x800))))
+PAIRS = np.zeros(1 << 16, dtype=bool)  # by both bytes of a letter
+PAIRS[[int.from_bytes(c.encode(), "big") for c in LETTERS if ord(c) >= 0x80]] = True
+
+PLAIN = re.compile(f"[{LETTERS}]+")
+
+# The byte-level sign of each byte: itself if it is printable Latin-1, else the next character from U+0100 on.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+SIGNS = "".join(chr(b) if b in PRINTABLE else chr(256 + sum(x not in PRINTABLE for x in range(b))) for b in range(256))
+
+# Bytes in one form for tokenizers that know neither case nor kinds of white space.
+FOLDED = np.arange(256, dtype=np.uint8)
+FOLDED[65:91] += 32
+FOLDED[list(WHITE)] = 0x20
+
+
+def is_pair(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a letter of two bytes begins at each of some places."""
+    after = data[np.minimum(at + 1, len(data) - 1)]
+    return PAIRS[(data[at].astype(np.uint16) << 8) | after]
+
+
+def kinds_of(data: np.ndarray) -> np.ndarray:
+    """1 letter, 2 digit, 3 sign, 0 anything that may be part of something else; both bytes of a letter have its kind."""
+    kind = KINDS[data]
+    at = np.flatnonzero(data >= 0xC2)
+    at = at[is_pair(data, at)]
+    kind[at] = kind[at + 1] = 1
+    return kind
+
+
+def folded(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case, but for those that a mark may follow (it may be one with the small letter alone), and all white
+    space as spaces."""
+    out = FOLDED[data]
+    at = np.flatnonzero((data[:-1] >= 65) & (data[:-1] <= 90) & (data[1:] >= 0x80))
+    at = at[~is_pair(data, at + 1)]
+    out[at] = data[at]
+    return out
+
+
 def safe_starts(data: np.ndarray, bounds: np.ndarray, kinds: bool = False) -> np.ndarray:
     """Places where a text may be cut without a change of its ids: before white space that follows
-    something that is certainly none, and where a text begins; with ``kinds`` between ASCII letters, digits and signs too.
+    something that is certainly none, and where a text begins; with ``kinds`` between plain letters, ASCII digits and signs too.
 
     Pre-tokens of the byte-level and the word tokenizers never reach from solid text into white space, and a run of
     white space stays in one piece with the word after it. Bytes that may end a Unicode space are no such place.
@@ -46,21 +99,27 @@ def safe_starts(data: np.ndarray, bounds: np.ndarray, kinds: bool = False) -> np
         three = data[np.maximum(at - 3, 0)]
         cut[at[(two == 0xC2) | ((three >= 0xE1) & (three <= 0xE3))]] = False
         if kinds:
-            kind = KINDS[data]
+            kind = kinds_of(data)
             cut[1:-1] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
     cut[bounds[:-1]] = True
     return np.flatnonzero(cut[:-1])
 
 
+def signs(word: bytes) -> str:
+    return codecs.charmap_decode(word, "strict", SIGNS)[0]
+
+
 def lowered(word: bytes) -> str | None:
-    word = word.strip()
-    return word.lower().decode() if word.isalpha() else None
+    bare = word.strip()
+    if bare.isalpha():
+        return bare.lower().decode()
+    letters = bare.decode()
+    return signs(letters.lower().encode()) if PLAIN.fullmatch(letters) else None
 
 
 def spaced(word: bytes) -> str | None:
-    if word.isalpha():
-        return word.decode()
-    return SPACE + word[1:].decode() if word[:1] == b" " and word[1:].isalpha() else None
+    bare = word.removeprefix(b" ")
+    return signs(word) if bare.isalpha() or PLAIN.fullmatch(bare.decode()) else None
 
 
 class Encoder:
@@ -77,15 +136,22 @@ class Encoder:
         # only a way that gives the library's ids for all probes is taken
         self.plain = next((way for way in (lowered, spaced) if all(self._agrees(way(w.encode()), w) for w in PROBES)), None)
         self.kinds = all(self._splits(w) for w in MIXED)
+        self.folds = self.plain is lowered and self.kinds and all(self._folds(w) for w in [*MIXED, *PROBES, *(chr(w) + "A\u00e9" for w in WHITE)])
+        # no word then becomes the text of a special token
+        self.folds = self.folds and all(len(safe_starts(np.frombuffer(t, np.uint8), np.array([0, len(t)]), True)) > 1 for t in self.special)
         self.forget()
 
     def _splits(self, word: str) -> bool:
         """Whether the ids of a text are those of its pieces."""
-        data = np.frombuffer(word.encode(), dtype=np.uint8)
-        cuts = [*safe_starts(data, np.array([0, len(data)]), True).tolist(), len(data)]
-        parts = [self.tokenizer.encode(word[a:b], add_special_tokens=False).ids for a, b in zip(cuts, cuts[1:])]
+        raw = word.encode()
+        cuts = [*safe_starts(np.frombuffer(raw, dtype=np.uint8), np.array([0, len(raw)]), True).tolist(), len(raw)]
+        parts = [self.tokenizer.encode(raw[a:b].decode(), add_special_tokens=False).ids for a, b in zip(cuts, cuts[1:])]
         return [x for part in parts for x in part] == self.tokenizer.encode(word, add_special_tokens=False).ids
 
+    def _folds(self, word: str) -> bool:
+        form = folded(np.frombuffer(word.encode(), dtype=np.uint8)).tobytes().decode()
+        return self.tokenizer.encode(form, add_special_tokens=False).ids == self.tokenizer.encode(word, add_special_tokens=False).ids
+
     def _agrees(self, form: str | None, word: str) -> bool:
         return form is None or self._merged(form) == self.tokenizer.encode(word, add_special_tokens=False).ids
 
@@ -121,7 +187,7 @@ class Encoder:
         self.held = sum(map(len, self.known))
 
     def _found(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of some words: those of ASCII letters by the merges alone, all others by the whole tokenizer."""
+        """The ids of some words: those of plain letters by the merges alone, all others by the whole tokenizer."""
         if self.plain is None:
             return [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
         forms, tokenize = list(map(self.plain, words)), self.tokenizer.model.tokenize
@@ -180,7 +246,8 @@ class Encoder:
         if len(self.known) > MAX_WORDS or self.held > MAX_BYTES or self.stops[len(self.known)] > MAX_IDS:
             self.forget_rare()
         starts = safe_starts(texts.data, texts.bounds, self.kinds)
-        numbers, distinct = numbered(texts.data, np.append(starts, len(texts.data))) if len(texts.data) else (np.zeros(0, np.int64), None)
+        data = folded(texts.data) if self.folds else texts.data
+        numbers, distinct = numbered(data, np.append(starts, len(data))) if len(data) else (np.zeros(0, np.int64), None)
         words = distinct.to_pylist() if distinct is not None else []
         places = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(places < 0)
@@ -190,8 +257,9 @@ class Encoder:
         known = places[numbers] if words else numbers
         first, lengths = self.stops[known], self.stops[known + 1] - self.stops[known]
         stops = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.ids[np.repeat(first - stops[:-1], lengths) + np.arange(stops[-1])]
-        return ids, stops[np.searchsorted(starts, texts.bounds)]
+        at = np.arange(stops[-1], dtype=np.int32)  # a slice has fewer ids than 2 ** 31
+        at += np.repeat((first - stops[:-1]).astype(np.int32), lengths)
+        return self.ids[at], stops[np.searchsorted(starts, texts.bounds)]
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

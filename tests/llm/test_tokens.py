@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from gridloom.llm import packing, pfor
 from gridloom.llm.text import texts_of
-from gridloom.llm.tokens import Encoder
+from gridloom.llm.tokens import LETTERS, Encoder
 from gridloom.session import fresh_path
 
 BYTES, WORDS = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -142,3 +142,33 @@ def test_words_of_letters_go_past_the_pre_tokenizer(path):
     for w in words:
         form = encoder.plain(w.encode())
         assert form is None or encoder._merged(form) == plain.encode(w, add_special_tokens=False).ids, w
+
+
+LATIN = ["é", " Été", "\nStraße", " Ñandú", "Šłż", " Нет", "ŒUVRE", " żółw", "ªº"]
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_of_other_letters_go_past_the_pre_tokenizer(path):
+    encoder, plain = Encoder(path), Tokenizer.from_file(path)
+    assert [encoder.plain(w.encode()) is not None for w in LATIN if w[0] != "\n"] == [True] * (len(LATIN) - 1)
+    assert all(encoder.plain(w.encode()) is None for w in ["×", " ÷", "ΣΑΣ", "İ", "é", "Ẹ́", "漢", "a b", "é1", "été."])
+    for w in [*LATIN, *LETTERS, *(f" x{c}" for c in LETTERS)]:
+        form = encoder.plain(w.encode())
+        assert form is None or encoder._merged(form) == plain.encode(w, add_special_tokens=False).ids, w
+
+
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_letters_next_to_anything_keep_their_ids(path):
+    draw, plain = random.Random(5), Tokenizer.from_file(path)
+    near = [*"aBJe.,'-1 \n\t\x0b\x1c", "'s", "'S", "́", "̌", "̸", " ", "　", "×", "Σ", "İ", "ß", "漢", "—", "<|ENDOFTEXT|>"]
+    texts = [a + c + b for c in LETTERS for a, b in [draw.choices(["", *near], k=2)]] + [a + b + c for a in near for b in near for c in ("é", "J", "Éa", "1")]
+    texts += ["".join(draw.choice(near if draw.random() < 0.6 else LETTERS) for _ in range(12)) for _ in range(2000)]
+    ids, bounds = Encoder(path).encode(texts_of(pa.array(texts)))
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_words_are_learnt_once_whatever_their_case_and_white_space():
+    encoder = Encoder(WORDS)
+    encoder.encode(texts_of(pa.array([" école the\nThe THE\tthe, the. école; école!", " J̌ Jé"])))
+    assert sorted(encoder.known) == sorted(w.encode() for w in [" école", " the", ",", ".", ";", "!", " J̌", " jé"])
