@@ -255,6 +255,14 @@ def test_scores_are_not_computed_inside_lambdas(spark):
     assert parts and all("SQRT" not in p.partition(", lambda ")[0].upper() for p in parts), plan  # lambdas are interpreted
 
 
+def test_a_position_is_written_once_in_the_plan_of_its_score(spark):
+    """A score names its position many times; as a step of its own the position is planned once."""
+    rows = spark.range(50).selectExpr("id", "cast(id AS double) AS a", "cast(id % 7 AS double) AS b")
+    plan = scaling.normal_scores(rows, {"a": [0.0, 10.0, 49.0], "b": [0.0, 3.0, 6.0]})._jdf.queryExecution()
+    for text in (plan.analyzed().toString(), plan.optimizedPlan().toString()):
+        assert text.count("greatest(") == 2, text
+
+
 def test_orders_are_put_together_once_before_the_split(spark, sf_dir, monkeypatch):
     from workloads import fitted
 
