@@ -3,6 +3,8 @@ from statistics import NormalDist
 
 import numpy as np
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from gridloom.operators import models, scaling, split, weights
@@ -270,3 +272,28 @@ def test_orders_are_put_together_once_before_the_split(spark, sf_dir, monkeypatc
     monkeypatch.setattr(fitted.split, "stratified_split", lambda df, *a: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or split_(df, *a))
     fitted.parts(spark, sf_dir)
     assert "Join" not in seen[0] and "Relation" not in seen[0], seen[0]
+
+
+def test_candidates_of_a_fold_and_weights_of_a_sweep_share_scores(spark, monkeypatch):
+    """Landmarks are fitted once a fold and once on all rows, not for each candidate and weight; errors and models are those of separate searches."""
+    draw = np.random.default_rng(12)
+    features = ["a b", "c"]
+    monkeypatch.setattr(precipitation, "MODEL_FEATURES", features)
+    rows = [(i, *map(float, draw.normal(0, 1, len(features))), float(i % 11), 1.0 + i % 3, 1.0) for i in range(150)]
+    names = ["k", *features, precipitation.PRECIPITATION_TARGET, "w0", "w1"]
+    df = spark.createDataFrame(rows, names).coalesce(2).checkpoint()
+    tried = [models.BoostParams(trees=2, depth=2, rate=0.3), models.BoostParams(trees=3, depth=3, rate=0.2, row_fraction=0.8, column_fraction=0.8)]
+    made, plain = [], models.NormalScores._fit
+    monkeypatch.setattr(models.NormalScores, "_fit", lambda self, rows_: made.append(1) or plain(self, rows_))
+    fit = precipitation.searched_fit("k", k=2, candidates=tried)
+    folds = fit.prepare(df)
+    shared = [fit(folds, w) for w in ("w0", "w1")]
+    assert len(made) == 3 and spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    pipeline = models.boosted_pipeline(features, precipitation.PRECIPITATION_TARGET, "w0", models.BoostParams(), scale=True)
+    trees = pipeline.getStages()[-1]
+    grid = [{trees.maxIter: c.trees, trees.maxDepth: c.depth, trees.stepSize: c.rate, trees.subsamplingRate: c.row_fraction, trees.featureSubsetStrategy: str(c.column_fraction)} for c in tried]
+    old = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol=precipitation.PRECIPITATION_TARGET), numFolds=2, foldCol="_fold", seed=42).fit(folds.rows)
+    new, _ = models.search_in_folds(folds, precipitation.PRECIPITATION_TARGET, "w0", candidates=tried)
+    assert new.avgMetrics == pytest.approx(old.avgMetrics, rel=1e-9) and new.stdMetrics == pytest.approx(old.stdMetrics, rel=1e-9)
+    before, after = ([r["prediction"] for r in m.transform(folds.rows).orderBy("k").collect()] for m in (old.bestModel, shared[0]))
+    assert before == pytest.approx(after, rel=1e-9)
